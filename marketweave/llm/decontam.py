@@ -6,7 +6,7 @@ the bytes read are the embedding. Windows of small edit distance fall into step
 Several walks are made and of each several samples of steps are hashed; windows that share one hash with an item's window
 are candidates. An anchor is a word start that a hash of the next bytes selects, in documents and items alike, so an item
 has several windows and edits spoil only some. For a candidate the document's stretch of the item's size is compared by
-exact edit distance (bit-parallel), and kept if that is at most ``max_edits`` of the item's length.
+exact edit distance (bit-parallel; first a count of shared 4-grams that any such stretch has), and kept if that is at most ``max_edits`` of the item's length.
 
 Items go to the tasks as one broadcast value; their number is checked, and larger sets are gone through in blocks, each a
 pass over the documents. Documents are not shuffled; hits are few columns.
@@ -26,8 +26,11 @@ from .hashing import LOWER, mix
 
 #: Characters of all items in one block: what is broadcast is bounded by it.
 BLOCK_CHARS = 4_000_000
-STEPS, WALKS, SAMPLES, SAMPLED = 48, 2, 3, 14
-MAX_EDITS = 0.2
+STEPS, WALKS, SAMPLES, SAMPLED = 40, 2, 3, 13
+LEAST_ANCHORS = 4
+#: Share of the steps of a candidate that must read the same bytes as the item's.
+AGREE = 0.6
+MAX_EDITS = 0.15
 
 _PLAIN = np.zeros(256, dtype=bool)
 _PLAIN[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -83,9 +86,28 @@ class Walks:
                     place += self.move[w, j][c]
             yield from map(mix, out)
 
+    def traces(self, walk: int, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The bytes that the windows at ``at`` read, a row each: the embeddings themselves."""
+        place, out = at.copy(), np.zeros((len(at), self.steps), dtype=np.uint8)
+        for j in range(self.steps):
+            out[:, j] = text[place]
+            place += self.move[walk, j][out[:, j]]
+        return out
 
-def anchors(text: np.ndarray) -> np.ndarray:
-    """Word starts that a hash of the next three bytes selects: about half of them."""
+
+def selection() -> np.ndarray:
+    """By a 16-bit hash of three bytes, whether a word that begins with them is an anchor: a third at first."""
+    return np.arange(1 << 16) % 3 == 0
+
+
+def anchors(text: np.ndarray, selected: np.ndarray) -> np.ndarray:
+    """Word starts whose next three bytes are selected."""
+    at, value = word_starts(text)
+    return at[selected[value]]
+
+
+def word_starts(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word starts, and the 16-bit hash of the three bytes from there."""
     start = np.zeros(len(text), dtype=bool)
     if len(text) > 3:
         start[0] = text[0] > 32
@@ -93,7 +115,7 @@ def anchors(text: np.ndarray) -> np.ndarray:
         start[-3:] = False
     at = np.flatnonzero(start)
     value = (text[at].astype(np.uint64) << np.uint64(16)) + (text[at + 1].astype(np.uint64) << np.uint64(8)) + text[at + 2]
-    return at[mix(value) & np.uint64(1) == 0]
+    return at, (mix(value) >> np.uint64(48)).astype(np.int64)
 
 
 def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
@@ -117,6 +139,13 @@ def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     return best if best[0] <= most else None
 
 
+def grams(text: np.ndarray) -> np.ndarray:
+    """16-bit hashes of all 4-grams."""
+    x = text.astype(np.uint32)
+    with np.errstate(over="ignore"):
+        return (((x[:-3] * np.uint32(0x01000193) + x[1:-2]) * np.uint32(0x01000193) + x[2:-1]) * np.uint32(0x01000193) + x[3:]) * np.uint32(0x9E3779B1) >> np.uint32(16)
+
+
 class Items:
     """The items of one block with the hashes of their windows."""
 
@@ -130,11 +159,24 @@ class Items:
         sized = [k for k in range(len(self.items)) if k not in set(self.short)]
         self.steps = min([STEPS, *(len(self.items[k][1]) for k in sized)])
         self.walks = Walks(self.steps)
+        self.grams = [grams(np.frombuffer(t, dtype=np.uint8)) for _, t in self.items]
+        self.selected = selection()
+        values = []
+        for k in sized:
+            t = np.frombuffer(self.items[k][1] + b"\0\0\0", dtype=np.uint8)
+            at, value = word_starts(t)
+            values.append(value[at + self.steps <= len(t) - 3])
+        often = np.bincount(np.concatenate([*values, np.zeros(0, np.int64)]), minlength=1 << 16)
+        for value in values:  # an item with few anchors selects more, the rarest first, in all items and documents
+            less = value[~self.selected[value]]
+            lack = LEAST_ANCHORS - (len(value) - len(less))
+            if lack > 0:
+                self.selected[less[np.argsort(often[less], kind="stable")[:lack]]] = True
         owner, place, starts, parts, base = [], [], [], [], 0
         for k in sized:
             t = np.frombuffer(self.items[k][1] + b"\0" * self.steps, dtype=np.uint8)
             n = len(t) - self.steps
-            a = anchors(t)
+            a = anchors(t, self.selected)
             a = np.union1d([0], a[a + self.steps <= n])
             owner.append(np.full(len(a), k))
             place.append(a)
@@ -145,6 +187,7 @@ class Items:
         self.owner, self.place = join(owner), join(place)
         self.tables = []
         if sized:
+            self.embedded = [self.walks.traces(w, np.concatenate(parts), join(starts)) for w in range(WALKS)]
             for keys in self.walks.keys(np.concatenate(parts), join(starts)):
                 order = np.argsort(keys, kind="stable")
                 seen = np.zeros(1 << 20, dtype=bool)
@@ -155,37 +198,41 @@ class Items:
 def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, end) for each item near to a stretch of a text; start and end are bytes of the text."""
     text, (begin, end), place = normalise(data, at, items.steps + 3)
-    candidates: set[tuple[int, int, int]] = set()
+    candidates: set[tuple[int, int]] = set()
     if items.tables:
-        all_starts = np.union1d(anchors(text), begin[end > begin])  # the text's own start too: an item's is a window
-        for lo in range(0, len(all_starts), 1 << 15):
-            starts = all_starts[lo : lo + (1 << 15)]
-            for (keys, order, seen), mine in zip(items.tables, items.walks.keys(text, starts), strict=True):
+        all_starts = np.union1d(anchors(text, items.selected), begin[end > begin])  # the text's own start too: an item's is a window
+        for lo in range(0, len(all_starts), 1 << 14):
+            starts = all_starts[lo : lo + (1 << 14)]
+            for number, ((keys, order, seen), mine) in enumerate(zip(items.tables, items.walks.keys(text, starts), strict=True)):
                 hit = np.flatnonzero(seen[(mine & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 first, last = np.searchsorted(keys, mine[hit], "left"), np.searchsorted(keys, mine[hit], "right")
-                for i in np.flatnonzero(last > first):
-                    s = int(starts[hit[i]])
-                    for a in order[first[i] : last[i]]:
-                        candidates.add((int(items.owner[a]), s - int(items.place[a]) >> 4, s - int(items.place[a])))
+                at_doc = np.repeat(starts[hit], last - first)
+                at_item = order[np.repeat(first, last - first) + np.arange(len(at_doc)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)] if len(at_doc) else at_doc
+                walk = number // SAMPLES
+                near = (items.walks.traces(walk, text, at_doc) == items.embedded[walk][at_item]).mean(axis=1) >= AGREE
+                candidates.update(zip(items.owner[at_item[near]].tolist(), (at_doc[near] - items.place[at_item[near]]).tolist(), strict=True))
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     tried: set[tuple[int, int]] = set()
-    for k, _, s in sorted(candidates):
+    marks = np.zeros(1 << 16, dtype=bool)
+    for k, s in sorted(candidates):
         item = items.items[k][1]
-        doc = int(np.searchsorted(begin, min(max(s, 0) + len(item) // 2, len(text)), "right")) - 1 if s < 0 else int(np.searchsorted(begin, s + items.steps + 3, "right")) - 1
-        doc = max(doc, 0)
-        while doc and begin[doc] > s + len(item):
-            doc -= 1
-        for d in {doc, max(doc - 1, 0)}:
-            most = int(max_edits * len(item))
-            lo, hi = max(int(begin[d]), s - most), min(int(end[d]), s + len(item) + most)
-            if hi - lo < len(item) - most or (k, lo) in tried:
-                continue
-            tried.add((k, lo))
-            if got := nearest(item, text[lo:hi].tobytes(), most):
-                stop = lo + got[1]
-                begun = nearest(item[::-1], text[lo:stop].tobytes()[::-1], most)
-                start = stop - (begun or got)[1]
-                found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], start, stop))
+        d = max(int(np.searchsorted(begin, s + len(item) // 2, "right")) - 1, 0)
+        most = int(max_edits * len(item))
+        lo, hi = max(int(begin[d]), s - most), min(int(end[d]), s + len(item) + most)
+        if hi - lo < len(item) - most or (k, lo) in tried:
+            continue
+        tried.add((k, lo))
+        here = grams(text[lo:hi])
+        marks[here] = True
+        shared = int(marks[items.grams[k]].sum())
+        marks[here] = False
+        if shared < len(item) - 3 - 4 * most:  # an edit spoils four 4-grams of the item at most
+            continue
+        if got := nearest(item, text[lo:hi].tobytes(), most):
+            stop = lo + got[1]
+            begun = nearest(item[::-1], text[lo:stop].tobytes()[::-1], most)
+            start = stop - (begun or got)[1]
+            found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], start, stop))
     for k in items.short:  # too short for a walk: exact words
         item = b" " + items.items[k][1] + b" "
         for d in range(len(begin)):

@@ -6,12 +6,14 @@ looked up in one array of counts by level. At the end of its input a task cuts t
 into full ones and the last rest into powers of two, which need no padding. No shuffle; a task holds the ids of its open
 windows only, and there are fewer of these than levels.
 
-Token ids: pre-tokens repeat, so ids are kept per pre-token (bounded) and joined as bytes. Texts with characters outside
-the ranges for which the two normalisers are the same thing, or with a special token's text, go to the tokenizer whole.
+Token ids: the tokenizer's pattern never spans white space and words repeat, so ids are kept per word (bounded) and joined
+as bytes. Texts with characters for which that, or white space itself, might be another thing to the tokenizer, or with a
+special token's text, go to it whole.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -28,12 +30,12 @@ from .common import column, passes
 
 WINDOW = 4096
 END_ID = 2
-MOST_WORDS = 400_000
+MOST_WORDS = 700_000
 _ODD = re.compile(r"[^\t-\r -~¡-ſ]|<\|")
 
 
 class WordTokenizer:
-    """Ids, as little-endian 32-bit bytes, of the texts by a tokenizers file whose model works within pre-tokens of its Split pattern."""
+    """Ids, as little-endian 32-bit bytes, of the texts by a tokenizers file that drops white space and whose pre-tokens never span it."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,24 +45,49 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(file)
+        self.model = self.whole.model
         with open(file, encoding="utf-8") as f:
             steps = json.load(f)["pre_tokenizer"]["pretokenizers"]
-        self.split = regex.compile(steps[0]["pattern"]["Regex"])
+        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        # byte level: bytes without a visible Latin-1 character are moved to U+0100 and up, in order
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.visible = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(seen)))}
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _part(self, part: str) -> bytes:
+        text = part if part.isascii() else part.encode().decode("latin-1").translate(self.visible)
+        bytes_of = self.bytes_of
+        self.parts[part] = ids = b"".join([bytes_of[t.id] for t in self.model.tokenize(text)])
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        parts = self.parts
+        if word.isalpha():  # one run of letters
+            return parts.get(word := word.lower()) or self._part(word)
+        return b"".join([parts.get(p) or self._part(p) for p in self.split(word.lower())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words: list[list[str] | None] = [None if _ODD.search(x) else self.split.findall(x.lower()) for x in texts]
+        words: list[list[str] | None] = [None if _ODD.search(x) else x.split() for x in texts]
         if len(self.known) > MOST_WORDS:
             self.known.clear()
-        new = list({w for ws in words if ws for w in ws if w not in self.known})
-        self.known.update(zip(new, self._ids(new), strict=True))
+            self.parts.clear()
+        for w in set().union(*filter(None, words)).difference(self.known):
+            self.known[w] = self._word(w)
         odd = iter(self._ids([x for x, ws in zip(texts, words, strict=True) if ws is None]))
         return [next(odd) if ws is None else b"".join(map(self.known.__getitem__, ws)) for ws in words]
 
 
+@functools.cache
+def word_tokenizer(file: str) -> WordTokenizer:
+    """One for each Python worker, so that later tasks know the words of earlier ones."""
+    return WordTokenizer(file)
+
+
 class Packer:
     """Pieces are (document, start, ids as bytes, tokens of the document)."""
 
@@ -129,7 +156,7 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = WINDOW, with_i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = WordTokenizer(tokenizer_file), Packer(window)
+        tokenizer, packer = word_tokenizer(tokenizer_file), Packer(window)
         number = TaskContext.get().partitionId() << 32
         end, rows = np.array([END_ID], dtype="<u4").tobytes(), []
 

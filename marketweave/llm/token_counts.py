@@ -12,6 +12,8 @@ Zipf-Mandelbrot law, -log(r + 2.7) less the log of the sum.
 
 from __future__ import annotations
 
+import functools
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import column, passes
 
 MARK = "▁"
-MOST_NODES = 300_000
+MOST_NODES = 1_200_000
 
 
 def unigram_scores(model_file: str) -> tuple[dict[str, float], float]:
@@ -38,55 +40,68 @@ def unigram_scores(model_file: str) -> tuple[dict[str, float], float]:
 
 
 class PrefixTrie:
-    """Nodes are numbers; children by (node, character) as one number; best holds (score, -tokens) up to each node."""
+    """Nodes are numbers; children by (node, character) as one number; score and tokens hold the best cut up to each node."""
 
     def __init__(self, scores: dict[str, float], byte_score: float):
         self.scores, self.byte_score = scores, byte_score
-        self.longest = max(map(len, scores), default=1)
+        self.tails = {piece[i:] for piece in scores for i in range(len(piece))}
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
-        self.best: list[tuple[float, int]] = [(0.0, 0)]
+        self.score, self.tokens = array("d", [0.0]), array("i", [0])
         self.done: dict[str, int] = {}
 
-    def count(self, word: str) -> int:
-        """Tokens of the best cut; of equal scores the one with fewest tokens."""
-        known = self.done.get(word)
-        if known is not None:
-            return known
-        if len(self.best) > MOST_NODES:
+    def insert(self, word: str) -> int:
+        """Tokens of the best cut of the mark and ``word``; of equal scores the one with fewest tokens."""
+        if len(self.score) > MOST_NODES:
             self.clear()
-        child, best, scores = self.child, self.best, self.scores
-        node, path = 0, [0]
-        for end, char in enumerate(word, 1):
+        child, score, tokens, scores, tails = self.child, self.score, self.tokens, self.scores, self.tails
+        text = MARK + word
+        node, path, end = 0, [0], 0
+        for char in text:
+            end += 1
             key = node << 21 | ord(char)
-            node = child.get(key, -1)
-            if node < 0:
-                before, n = best[path[end - 1]], len(char.encode("utf-8", "surrogatepass"))
-                top = (before[0] + n * self.byte_score, before[1] - n)
-                for start in range(max(0, end - self.longest), end):
-                    score = scores.get(word[start:end])
-                    if score is not None:
-                        before = best[path[start]]
-                        top = max(top, (before[0] + score, before[1] - 1))
-                node = child[key] = len(best)
-                best.append(top)
+            node = child.get(key)
+            if node is None:
+                n = 1 if char < "\x80" else len(char.encode("utf-8", "surrogatepass"))
+                top, count = score[path[-1]] + n * self.byte_score, tokens[path[-1]] + n
+                start = end - 1
+                while start >= 0 and (piece := text[start:end]) in tails:  # else no piece ends like this, nor in anything longer
+                    own = scores.get(piece)
+                    if own is not None:
+                        at = path[start]
+                        own += score[at]
+                        if own > top or own == top and tokens[at] < count - 1:
+                            top, count = own, tokens[at] + 1
+                    start -= 1
+                node = child[key] = len(score)
+                score.append(top)
+                tokens.append(count)
             path.append(node)
-        self.done[word] = known = -best[node][1]
-        return known
+        self.done[word] = count = tokens[node]
+        return count
+
+
+@functools.cache
+def prefix_trie(model_file: str) -> PrefixTrie:
+    """One for each Python worker, so that later tasks find the prefixes of earlier ones."""
+    return PrefixTrie(*unigram_scores(model_file))
 
 
 def count_tokens(documents: DataFrame, model_file: str, text: str = "text") -> DataFrame:
     """doc_id, n_chars, n_pretokens, n_distinct, n_tokens (long) for every row. Null or blank text has none; rows and ids may repeat; other columns are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = PrefixTrie(*unigram_scores(model_file))
+        trie = prefix_trie(model_file)
         for batch, texts in passes(batches, "text"):
             out = []
             for doc, x in zip(column(batch, "doc_id").to_pylist(), texts.to_pylist(), strict=True):
-                words = Counter(x.split())
-                out.append((doc, len(x), words.total(), len(words), sum(n * trie.count(MARK + w) for w, n in words.items())))
+                words, total = Counter(x.split()), 0
+                for w, n in words.items():
+                    known = trie.done.get(w)
+                    total += n * (trie.insert(w) if known is None else known)
+                out.append((doc, len(x), words.total(), len(words), total))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "n_chars", "n_pretokens", "n_distinct", "n_tokens"])
 
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
