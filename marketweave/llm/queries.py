@@ -38,6 +38,18 @@ def op4_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score
+
+    return score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import round_trip
 
@@ -59,7 +71,25 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op8_warc_salvage, op9_decontam, op10_pack)
+    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack)
 }
 
-ORACLE: dict[str, str] = {}
+_OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+keyed AS (SELECT doc_id, hash(s) AS h FROM shingles),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM keyed a JOIN keyed b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_id = d.doc_id
+GROUP BY d.doc_id, s.n
+"""
+
+ORACLE: dict[str, str] = {"op5_jaccard_join": _OP5}
