@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 ASSET = ["asset_type", "symbol"]
 
 
-def split_adjusted(bars: DataFrame, digits: int = 6) -> DataFrame:
+def split_adjusted(bars: DataFrame) -> DataFrame:
     """split_close: the close over the product of all later split factors of the asset."""
     later = Window.partitionBy(*ASSET).orderBy("date").rowsBetween(1, Window.unboundedFollowing)
     factor = F.coalesce(F.product(F.col("split_factor").cast("double")).over(later), F.lit(1.0))
-    return bars.withColumn("split_close", F.round(F.col("close").cast("double") / factor, digits))
+    return bars.withColumn("split_close", F.col("close").cast("double") / factor)
 
 
 def drawdowns(bars: DataFrame) -> DataFrame:
