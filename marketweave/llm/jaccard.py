@@ -5,7 +5,7 @@ how many documents have them (a count sketch of fixed size, summed over all docu
 two sets of n and m shingles link, they share at least T = max(ceil(0.8 n), ceil(0.8 m)) of them; then for every l their
 l-prefixes, the first n - ceil(0.8 n) + l shingles, share at least l. Each class takes the l at which its estimated cost,
 postings looked up and candidates to verify, is least. A pair is verified only if it shares min(l, l') shingles within the
-shorter of its two prefixes.
+shorter of its two prefixes, and enough are left behind the last of them.
 
 No pair is lost and no group is expanded into all its pairs. While there are many candidate pairs, each class is verified
 against one pivot only, of the buckets (classes sharing a prefix shingle) the one it shares most of; what links is joined
@@ -35,8 +35,8 @@ VERIFY = 40
 #: Classes that one bucket should have at most; commoner shingles are salted.
 BUCKET = 4000
 ROUNDS = 3
-#: Candidate pairs for each class, on average, from which a round with pivots comes first.
-PAIRS = 6
+#: Postings of other components that one posting meets, on average, beyond which a round with pivots comes first.
+MEETINGS = 4
 
 
 def need(n: np.ndarray | int, percent: int = PERCENT):
@@ -109,10 +109,10 @@ def _postings(shared, noise: int, percent: int):
                     salt = np.uint64(mix(np.array([cls]).view(np.uint64))[0]) % splits.astype(np.uint64)
                     bucket = np.where(splits > 1, mix(token + salt * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)), token)
                 k = len(token)
-                out.append((bucket.view(np.int64), token.view(np.int64), np.full(k, cls), np.full(k, len(s), np.int32), level.astype(np.int8), np.full(k, l, np.int8), splits > 1))
+                out.append((bucket.view(np.int64), token.view(np.int64), np.full(k, cls), np.full(k, len(s), np.int32), level.astype(np.int8), np.full(k, l, np.int8), np.arange(k, dtype=np.int32), splits > 1))
             if out:
                 parts = [np.concatenate(x) for x in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["bucket", "token", "cls", "n", "level", "l", "salted"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["bucket", "token", "cls", "n", "level", "l", "place", "salted"])
 
     return run
 
@@ -155,16 +155,16 @@ def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[Dat
     noise = int(np.median(counts)) + 1
     shared = spark.sparkContext.broadcast(counts.astype(np.int32))
 
-    postings = documents.mapInArrow(_postings(shared, noise, percent), "bucket long, token long, cls long, n int, level byte, l byte, salted boolean")
+    postings = documents.mapInArrow(_postings(shared, noise, percent), "bucket long, token long, cls long, n int, level byte, l byte, place int, salted boolean")
     same = Window.partitionBy("bucket")
     bucketed = postings.repartition("bucket").withColumn("low", F.min("cls").over(same)).withColumn("high", F.max("cls").over(same)).filter("salted or low <> high").drop("low", "high")
     known = settle(bucketed, "postings").dropDuplicates(["token", "cls"])
-    posted = settle(known.join(classes.filter("node is not null"), "cls").select("bucket", "token", "node", "copies", "n", "level", "l"), "postings")
+    posted = settle(known.join(classes.filter("node is not null"), "cls").select("bucket", "token", "node", "copies", "n", "level", "l", "place"), "postings")
 
     members = of_doc.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "n", "node")
 
-    # every class takes part in at most so many candidate pairs on average, else a round with pivots comes first
-    limit = PAIRS * max(1000, posted.agg(F.approx_count_distinct("node")).first()[0])
+    # a posting meets at most so many others on average, else a round with pivots comes first
+    limit = MEETINGS * max(10_000, posted.count())
     links = None
     open_ = posted.withColumn("component", F.col("node"))
     for k in range(ROUNDS + 1):
@@ -205,10 +205,13 @@ def _candidates(open_: DataFrame, percent: int) -> DataFrame:
     once = settle(open_.select("token", "component").distinct(), "component-shingles")
     met = once.withColumnRenamed("component", "component_a").join(once.withColumnRenamed("component", "component_b"), "token").filter("component_a < component_b")
     for side in "ab":
-        met = met.join(open_.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "n", "level", "l")]), ["token", f"component_{side}"])
+        met = met.join(open_.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "n", "level", "l", "place")]), ["token", f"component_{side}"])
     shorter = F.least("l_a", "l_b")
     near = met.filter(_fits("n_a", "n_b", percent)).filter(F.greatest("level_a", "level_b") <= shorter)
-    return near.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("shared"), F.min(shorter).alias("l")).filter("shared >= l").select("a", "b")
+    # behind the last shared shingle of the prefixes at most all that is left of the smaller rest can be shared
+    rest = F.min(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1).alias("rest")
+    pairs = near.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("shared"), F.min(shorter).alias("l"), rest, F.max(F.col("n_a") + F.col("n_b")).alias("both"))
+    return pairs.filter("shared >= l").filter((F.col("shared") + F.col("rest")) * (100 + percent) >= F.col("both") * percent).select("a", "b")
 
 
 def _contested(posted: DataFrame, found: DataFrame) -> DataFrame:
