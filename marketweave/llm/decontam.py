@@ -240,7 +240,12 @@ def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> I
             if p >= 0:
                 found[d, k] = (0, int(begin[d]) + p, int(begin[d]) + p + len(item) - 2)
     for (d, k), (edits, a, b) in sorted(found.items()):
-        yield d, k, edits, int(place[a] - at[d]), int(place[b - 1] - at[d]) + 1
+        start, stop = int(place[a]), int(place[b - 1]) + 1
+        while start > at[d] and data[start] & 0xC0 == 0x80:  # whole characters
+            start -= 1
+        while stop < at[d + 1] and data[stop] & 0xC0 == 0x80:
+            stop += 1
+        yield d, k, edits, start - int(at[d]), stop - int(at[d])
 
 
 def hits(documents: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -> DataFrame:

@@ -72,10 +72,10 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 4)
     doc_ids rank last. The four new columns replace columns of the same names. An empty table gives an empty one.
     """
     gone = repeated_units(documents, unit, min_words)
-    lists = gone.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("unit", "start", "end")).alias("_gone")).withColumnsRenamed({"doc_id": "_doc", "_key": "_gone_key"})
-    names = [c for c in documents.columns if c not in ("text", "n_units", "n_removed", "removed_chars", "removed_spans")]
-    whole = documents.select(*[F.col(f"`{c}`") for c in names], F.col("text"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_key"))
-    joined = whole.join(lists, whole["doc_id"].cast("long").eqNullSafe(lists["_doc"]) & (whole["_key"] == lists["_gone_key"]), "left")
+    lists = gone.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("unit", "start", "end")).alias("gone"))
+    # whole rows as one struct: their own column names cannot clash
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
+    joined = whole.join(lists, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("_key")), "left").select("row", "gone")
 
     @F.pandas_udf("text string, n_units int, n_removed int, removed_chars int, removed_spans string")
     def cut(texts, gone):
@@ -89,4 +89,5 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 4)
             out.append((kept, len(spans), len(drop), sum(b - a for a, b in drop.values()), ",".join(f"{a}-{b}" for _, (a, b) in sorted(drop.items()))))
         return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_chars", "removed_spans"])
 
-    return joined.withColumn("_cut", cut("text", "_gone")).select(*[F.col(f"`{c}`") for c in names], "_cut.*")
+    names = [c for c in documents.columns if c not in ("text", "n_units", "n_removed", "removed_chars", "removed_spans")]
+    return joined.select("row", cut("row.text", "gone").alias("cut")).select(*[F.col("row")[c].alias(c) for c in names], "cut.*")

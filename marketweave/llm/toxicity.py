@@ -37,6 +37,8 @@ _CLASSES = 64
 # Letters that a symbol may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
 _PUNCTUATION = ".,;:?\"'`()[]{}<>#%&*^~=\\/_-!$@+|"
+#: A sign at the beginning may be the word's first letter; at the end it ends a sentence.
+_LEADING = "".join(c for c in _PUNCTUATION if c not in LOOKS_LIKE)
 _STRETCHED = re.compile(r"(.)\1\1")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -137,7 +139,7 @@ class Words:
 
     def restore(self, word: str) -> list[str]:
         """Lower-case words that ``word`` stands for."""
-        low = word.lower().strip(_PUNCTUATION)
+        low = word.lower().lstrip(_LEADING).rstrip(_PUNCTUATION)
         if low.isalpha() and not _STRETCHED.search(low):
             return [low]
         parts = _LETTERS.findall(low)

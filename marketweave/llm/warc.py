@@ -23,7 +23,7 @@ REVISIT_FROM = 1000
 RECORDS_PER_FILE = 2000
 _ID = "urn:marketweave:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_VERSION = re.compile(rb"(?:^|(?<=\n))WARC/1\.[01]\r?\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 _MEMBER = b"\x1f\x8b\x08"
 
 
@@ -97,6 +97,8 @@ def _record(plain: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     stop = plain.find(b"\r\n\r\n", at)
     if not _VERSION.match(plain, at) or stop < 0:
         return "no version line or header end"
+    if _VERSION.search(plain, at + 1, stop):
+        return "version line within the headers"
     headers = {k.strip().lower().decode("utf-8", "replace"): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in plain[at:stop].split(b"\r\n")[1:])}
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit():
