@@ -7,10 +7,10 @@ l-prefixes, the first n - ceil(0.8 n) + l shingles, share at least l. Each class
 postings looked up and candidates to verify, is least. A pair is verified only if it shares min(l, l') shingles within the
 shorter of its two prefixes, and enough are left behind the last of them.
 
-No pair is lost and no group is expanded into all its pairs. While there are many candidate pairs, each class is verified
-against one pivot only, of the buckets (classes sharing a prefix shingle) the one it shares most of; what links is joined
-into components, and shingles whose classes are in one component are done. Then all candidate pairs of classes in
-different components are verified. Buckets of very common shingles are salted by the same estimate.
+No pair is lost and no group is expanded into all its pairs. In two rounds, and more while there are many candidate pairs,
+each class is verified against one pivot only, of the buckets (classes sharing a prefix shingle) the one it shares most
+of; what links is joined into components, and shingles whose classes are in one component are done. Then all candidate
+pairs of classes in different components are verified. Buckets of very common shingles are salted by the same estimate.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ MOST_L = 4
 VERIFY = 40
 #: Classes that one bucket should have at most; commoner shingles are salted.
 BUCKET = 4000
-ROUNDS = 3
-#: Postings of other components that one posting meets, on average, beyond which a round with pivots comes first.
+#: Rounds with pivots that every input gets, and the most that an input with many meetings gets.
+ROUNDS, MOST_ROUNDS = 2, 5
+#: Postings of other components that one posting meets, on average, beyond which another round with pivots comes first.
 MEETINGS = 4
 
 
@@ -46,7 +47,7 @@ def need(n: np.ndarray | int, percent: int = PERCENT):
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
     """Batches with each text's sorted distinct shingle hashes and its class: a hash of the set."""
-    for batch, texts in passes(batches, "text"):
+    for batch, texts in passes(batches, "text", 1 << 18):
         hashes, bounds = shingles(*raw(texts))
         sets = [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         with np.errstate(over="ignore"):
@@ -163,19 +164,17 @@ def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[Dat
 
     members = of_doc.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "n", "node")
 
-    # a posting meets at most so many others on average, else a round with pivots comes first
+    # further rounds while a posting meets more others than MEETINGS on average
     limit = MEETINGS * max(10_000, posted.count())
-    links = None
-    open_ = posted.withColumn("component", F.col("node"))
-    for k in range(ROUNDS + 1):
-        last = k == ROUNDS or _crossing(open_) <= limit
-        new = _verified(documents, _candidates(open_, percent) if last else _pivot_pairs(open_, k, percent), percent)
-        links = new if links is None else links.unionByName(new)
-        found = settle(components(links), "components")
-        if last:
+    open_, links = posted.withColumn("component", F.col("node")), None
+    for k in range(MOST_ROUNDS):
+        if k >= ROUNDS and _crossing(open_) <= limit:
             break
-        open_ = _contested(posted, found)
-    return found, members
+        new = _verified(documents, _pivot_pairs(open_, k, percent), percent)
+        links = new if links is None else links.unionByName(new)
+        open_ = _contested(posted, settle(components(links), "components"))
+    links = links.unionByName(_verified(documents, _candidates(open_, percent), percent))
+    return settle(components(links), "components"), members
 
 
 def _crossing(open_: DataFrame) -> int:

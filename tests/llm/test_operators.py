@@ -213,7 +213,7 @@ def variants(n, edits, seed, words=60):
 
 @pytest.mark.parametrize("meetings", [4, 0])
 def test_jaccard_join_equals_brute_force(spark, docs, monkeypatch, meetings):
-    """With no meetings allowed the rounds with pivots come first."""
+    """With no meetings allowed all rounds with pivots come first."""
     monkeypatch.setattr(jaccard, "MEETINGS", meetings)
     texts = variants(40, 2, 1) + variants(25, 4, 2) + ["a b", "A  b", "a", "", None, "one two three four five"] * 2
     rows = docs[:80] + [(6000 + i, t) for i, t in enumerate(texts)]
