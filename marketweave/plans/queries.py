@@ -471,7 +471,7 @@ def fin_candidate_choice(spark, sf):
 
 @query(f"WITH {V.PERIODS}, n AS (SELECT p.symbol, p.report_period, p.accession, p.value, q.value AS old, row_number() OVER (PARTITION BY p.symbol, p.accession ORDER BY abs((p.report_period - q.report_period) - 365), q.available_date DESC, q.accession) AS r FROM periods p LEFT JOIN periods q ON q.symbol = p.symbol AND q.fiscal_period = p.fiscal_period AND q.available_date <= p.available_date AND p.report_period - q.report_period BETWEEN 330 AND 400) SELECT symbol, report_period, accession, value::DOUBLE AS value, old::DOUBLE AS prior_value, (value * 100)::BIGINT * 1000 // (old * 100)::BIGINT AS permille FROM n WHERE r = 1")
 def fin_yoy(spark, sf):
-    out = pit.prior_year(V.periods(spark, sf), "value").select("symbol", "report_period", "accession", "value", "prior_value", F.floor((F.col("yoy") + 1) * 1000).alias("permille"))
+    out = pit.prior_year(V.periods(spark, sf), "value").select("symbol", "report_period", "accession", "value", "prior_value", F.floor((F.col("yoy") + 1) * 1000).cast("long").alias("permille"))
     return V.doubles(out)
 
 
