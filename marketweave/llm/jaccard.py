@@ -131,15 +131,15 @@ def _fetch(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, settled."""
+    """The pairs (a, b and what else they carry) that link, settled."""
     pairs = settle(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = _fetch(documents, ids)
     one = pairs.join(sets.withColumnsRenamed({"node": "a", "hashes": "of_a"}), "a")
     two = one.join(sets.withColumnsRenamed({"node": "b", "hashes": "of_b"}), "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
-    linked = two.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("both")).filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("both") - F.col("common")))
-    return settle(linked.select("a", "b"), "links")
+    linked = two.select(*pairs.columns, common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("both")).filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("both") - F.col("common")))
+    return settle(linked.select(*pairs.columns), "links")
 
 
 def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -171,8 +171,8 @@ def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[Dat
         if k >= ROUNDS and _crossing(open_) <= limit:
             break
         new = _verified(documents, _pivot_pairs(open_, k, percent), percent)
-        links = new if links is None else links.unionByName(new)
-        open_ = _contested(posted, settle(components(links), "components"))
+        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
+        open_ = _contested(open_, _merged(new, k))
     links = links.unionByName(_verified(documents, _candidates(open_, percent), percent))
     return settle(components(links), "components"), members
 
@@ -188,12 +188,24 @@ def _fits(n_a: str, n_b: str, percent: int):
 
 
 def _pivot_pairs(open_: DataFrame, k: int, percent: int) -> DataFrame:
-    """For every class the pivot that it shares most buckets with: the class with most copies, then others by hash."""
-    rank = F.struct("copies", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)), "node")
+    """For every class the pivot that it shares most buckets with (a, b, and their components): the class with most copies, later one of the component with the highest hash."""
+    rank = F.struct("copies", "node") if k == 0 else F.struct(F.xxhash64("component", F.lit(k)), "component", "node")
     pivots = settle(open_.groupBy("bucket").agg(F.max(F.struct(rank, F.col("n").alias("n"), F.col("component").alias("component"), F.col("node").alias("node"))).alias("pivot")).select("bucket", F.col("pivot.n").alias("pivot_n"), F.col("pivot.component").alias("pivot_component"), F.col("pivot.node").alias("b")), "pivots")
     met = open_.join(pivots, "bucket").filter(F.col("component") != F.col("pivot_component")).filter(_fits("n", "pivot_n", percent))
-    counted = met.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("shared"))
-    return counted.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    counted = met.groupBy(F.col("node").alias("a"), "b", F.col("component").alias("ca"), F.col("pivot_component").alias("cb")).agg(F.count("*").alias("shared"))
+    return counted.groupBy("a").agg(F.max_by(F.struct("b", "ca", "cb"), F.struct("shared", "b")).alias("to")).select("a", "to.*")
+
+
+def _merged(new: DataFrame, k: int) -> DataFrame:
+    """component, into: the component that each is merged into by the links of a round.
+
+    Links go from lower to higher pivots, so following them ends; two steps are followed here. What this leaves apart is
+    only compared again later: the components of the result come from all links at the end.
+    """
+    to = settle(new.groupBy(F.col("ca").alias("component")).agg(F.max_by("cb", F.struct(F.xxhash64("cb", F.lit(k)), "cb")).alias("into")), "merged")
+    for _ in range(2):
+        to = to.join(to.select(F.col("component").alias("into"), F.col("into").alias("further")), "into", "left").select("component", F.coalesce("further", "into").alias("into"))
+    return settle(to, "merged")
 
 
 def _candidates(open_: DataFrame, percent: int) -> DataFrame:
@@ -213,9 +225,9 @@ def _candidates(open_: DataFrame, percent: int) -> DataFrame:
     return pairs.filter("shared >= l").filter((F.col("shared") + F.col("rest")) * (100 + percent) >= F.col("both") * percent).select("a", "b")
 
 
-def _contested(posted: DataFrame, found: DataFrame) -> DataFrame:
-    """Postings of the shingles that classes of more than one component have, with the component of each."""
-    labelled = posted.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _contested(open_: DataFrame, into: DataFrame) -> DataFrame:
+    """Postings of the shingles whose classes are in more than one component, with the components of now."""
+    labelled = settle(open_.join(into, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into"), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     return settle(labelled.join(settle(mixed, "contested"), "token"), "open")
 
