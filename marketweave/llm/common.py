@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one numpy pass takes at a time; whole documents are never cut, so one longer text is a pass of its own.
 PASS_BYTES = 1 << 20
-#: Rows of a key-only table that may be broadcast (about 16 MB); larger ones are joined by a shuffle.
+#: Rows of a narrow key table that may be broadcast (16 to 100 MB); larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
