@@ -1,7 +1,7 @@
 """Exact removal of repeated lines or paragraphs.
 
 A unit (line, or paragraph between empty lines) is normalised: lower case, runs of white space become one blank, none at
-the ends. Units of under ``min_words`` words are always kept. Of all units with one digest in all documents, the one with
+the ends. Units of under ``min_words`` words are always kept; with 1, as the query and the pipeline have it, only empty ones are. Of all units with one digest in all documents, the one with
 the smallest (doc_id, place) stays; the others are removed. Offsets of what is removed are character offsets in the
 original text.
 

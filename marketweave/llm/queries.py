@@ -21,7 +21,7 @@ def op1_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import remove_repeats
 
-    return remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=1)
 
 
 def op3_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
