@@ -1,12 +1,15 @@
 """WARC archives: writing with revisit records, and a salvage reader.
 
-Archives are written by Spark's text writer (gzip), so they go wherever Spark can write; the reader takes whole archives
-from Spark's binaryFile source, a bounded number of records each. When a check fails, the reader looks for the next gzip
+Archives are written by Spark's text writer, so they go wherever Spark can write; each record is a gzip member of its own,
+so that damage costs one record. The reader takes whole archives from Spark's binaryFile source, a bounded number of records
+each. When a check fails, the reader looks for the next gzip
 member or version line that holds, takes up later records, and returns the bytes it passed over as gaps.
 """
 
 from __future__ import annotations
 
+import contextlib
+import gzip
 import hashlib
 import re
 import uuid
@@ -25,6 +28,10 @@ _ID = "urn:marketweave:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 _MEMBER = b"\x1f\x8b\x08"
+#: A gzip member of no bytes. The text writer must end each row with something; this leaves the archive a valid gzip file.
+_EMPTY = b"\x1f\x8b\x08\0\0\0\0\0\0\xff\x03\0\0\0\0\0\0\0\0\0"
+_STEP = 1 << 16
+_FIELD = re.compile(rb"(?:[!#-'*+.^_`|~0-9A-Za-z-]+:|[ \t])[^\x00-\x08\x0a-\x1f\x7f]*")
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
@@ -43,7 +50,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write the rows of ``with_revisits`` as .gz archives of at most ``RECORDS_PER_FILE`` records."""
+    """Write the rows of ``with_revisits`` as gzip archives of at most ``RECORDS_PER_FILE`` records, a member each (the writer names them .txt)."""
     line = "\r\n"
     revisit = F.col("refers_to").isNotNull()
     uri = F.regexp_replace(F.coalesce(F.nullif("url", F.lit("")), F.lit("about:blank")), r"[\x00-\x20]", "%20")
@@ -58,8 +65,43 @@ def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> No
         F.when(revisit, F.concat(F.lit(f"{line}WARC-Profile: {_PROFILE}{line}WARC-Refers-To: <{_ID}"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(""),
         F.lit(f"{line}Content-Type: application/http;msgtype=response{line}Content-Length: "), F.octet_length(block).cast("string"), F.lit(line * 2),
     )
-    record = F.concat(head, block, F.lit("\r\n\r")).alias("value")  # the writer adds the last line feed
-    pages.select(record).write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    record = F.concat(head, block, F.lit("\r\n\r\n")).cast("binary").alias("value")
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 200):
+                some = column(batch, "value").slice(first, 200)
+                yield pa.RecordBatch.from_arrays([pa.array([gzip.compress(x.as_buffer(), 6, mtime=0) for x in some], pa.binary())], ["value"])
+
+    # a cast to string leaves the bytes as they are, and so does the text writer
+    rows = pages.select(record).mapInArrow(members, "value binary").select(F.col("value").cast("string"))
+    rows.write.option("compression", "none").option("encoding", "ISO-8859-1").option("lineSep", _EMPTY.decode("latin-1")).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+
+
+def _inflate(content: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Plain bytes of the gzip member at ``at``, where it ends, and what is wrong with it.
+
+    A step that fails is taken again in halves, down to one byte and what came out of that, so all bytes before a break are kept.
+    """
+    d, parts, step, halving, view = zlib.decompressobj(31), [], 1 << 12, False, memoryview(content)
+    while at < len(content) and not d.eof:
+        before = d.copy()
+        try:
+            parts.append(d.decompress(view[at : at + step]))
+            at = min(at + step, len(content))
+            step = step if halving else min(2 * step, _STEP)
+        except zlib.error as e:
+            d, halving = before, True
+            if step > 1:
+                step //= 2
+                continue
+            some = view[at : at + 1]
+            with contextlib.suppress(zlib.error):
+                while got := d.decompress(some, 1):
+                    parts.append(got)
+                    some = d.unconsumed_tail
+            return b"".join(parts), at, f"gzip member broken: {e}"
+    return b"".join(parts), at - len(d.unused_data), None if d.eof else "gzip member cut short"
 
 
 def _unzip(content: bytes) -> Iterator[tuple[int, bytes, tuple[int, int, str] | None]]:
@@ -72,33 +114,26 @@ def _unzip(content: bytes) -> Iterator[tuple[int, bytes, tuple[int, int, str] |
             yield at, b"", (at, to - at, "no gzip member")
             at = to
             continue
-        d, parts, fault = zlib.decompressobj(31), [], None
-        try:
-            for i in range(at, len(content), 1 << 16):
-                parts.append(d.decompress(content[i : i + (1 << 16)]))
-                if d.eof:
-                    break
-            if not d.eof:
-                fault = "gzip member cut short"
-        except zlib.error as e:
-            fault = f"gzip member broken: {e}"
+        plain, end, fault = _inflate(content, at)
         if fault:
             to = content.find(_MEMBER, at + 1)
             to = len(content) if to < 0 else to
-            yield at, b"".join(parts), (at, to - at, fault)
+            yield at, plain, (at, to - at, fault)
             at = to
         else:
-            yield at, b"".join(parts), None
-            at = min(i + (1 << 16), len(content)) - len(d.unused_data)
+            yield at, plain, None
+            at = end
 
 
-def _record(plain: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
-    """End, headers and payload of the record at ``at``, or what is wrong with it."""
+def _record(plain: bytes, at: int, broken: bool = False) -> tuple[int, dict[str, str], bytes] | str:
+    """End, headers and payload of the record at ``at``, or what is wrong with it; bytes of a broken member may be spoiled, so headers must be well-formed there."""
     stop = plain.find(b"\r\n\r\n", at)
     if not _VERSION.match(plain, at) or stop < 0:
         return "no version line or header end"
     if _VERSION.search(plain, at + 1, stop):
         return "version line within the headers"
+    if broken and not all(map(_FIELD.fullmatch, plain[at:stop].split(b"\r\n")[1:])):
+        return "header fields spoiled"
     headers = {k.strip().lower().decode("utf-8", "replace"): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in plain[at:stop].split(b"\r\n")[1:])}
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit():
@@ -127,7 +162,7 @@ def salvage(content: bytes) -> tuple[list[tuple[int, dict[str, str], bytes]], li
             gaps.append(gap)
         at = 0
         while at < len(plain):
-            got = _record(plain, at)
+            got = _record(plain, at, gap is not None)
             if isinstance(got, str):
                 later = _VERSION.search(plain, at + 1)
                 to = later.start() if later else len(plain)
