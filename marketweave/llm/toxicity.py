@@ -3,7 +3,9 @@
 Noisy channel: a word with look-alike symbols, separators, spaced-out letters or stretched letters becomes a lattice in
 which each character stands for itself, for a letter that it resembles, or for nothing, each at a price. Viterbi decoding
 finds the path that is cheapest together with a character trigram model; the model is counted over all documents, one
-fixed table of cells that tasks sum up before the shuffle. Words without such signs are a lattice of one path.
+fixed table of cells that tasks sum up before the shuffle. Words without such signs are a lattice of one path. Runs of
+single characters, and words with separators or of many letters, are decoded a second time with a word break, at a price,
+before any character, so that one may give several words. The work is linear in the length.
 
 Classifier: logistic regression over the presence of words and word beginnings of the restored text. Features are chosen
 by the log-likelihood ratio over a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest hashes of doc_id), and
@@ -39,6 +41,9 @@ LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7":
 _PUNCTUATION = ".,;:?\"'`()[]{}<>#%&*^~=\\/_-!$@+|"
 #: A sign at the beginning may be the word's first letter; at the end it ends a sentence.
 _LEADING = "".join(c for c in _PUNCTUATION if c not in LOOKS_LIKE)
+#: Prices of a word break: between single characters, at a separator, between letters of one word.
+_RUN_BREAK, _SIGN_BREAK, _LETTER_BREAK = 0.5, 0.2, 3.0
+LONG_WORD = 40
 _STRETCHED = re.compile(r"(.)\1\1")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -72,6 +77,7 @@ class Speller:
         p1 = uni / uni.sum()
         p2 = (pair + 20 * p1) / (pair.sum(axis=1, keepdims=True) + 20)
         self.cost = -np.log((n + 5 * p2[None]) / (n.sum(axis=2, keepdims=True) + 5))
+        self.prices = self.cost.ravel().tolist()
 
     @staticmethod
     def lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -89,22 +95,37 @@ class Speller:
             out.append(ways)
         return out
 
-    def decode(self, word: str) -> str:
-        """The cheapest restored spelling; letters only."""
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for ways in self.lattice(word):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+    def decode(self, word: str, gap: float | None = None) -> str:
+        """The cheapest restored spelling: letters only and, if ``gap`` prices them, blanks between words."""
+        # a state: the last two classes; its text is a chain of (rest, letter)
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        price_of = self.prices
+        for i, ways in enumerate(self.lattice(word)):
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            if gap is not None and i:
+                sign = not word[i].isalnum() and word[i] not in LOOKS_LIKE
+                at = min(gap, _SIGN_BREAK) if sign else gap
+                for (x, y), (cost, text) in list(states.items()):
+                    if y:
+                        new = cost + at + price_of[(x * _CLASSES + y) * _CLASSES]
+                        if (y, 0) not in states or new < states[y, 0][0]:
+                            states[y, 0] = (new, (text, " "))
             for (x, y), (cost, text) in states.items():
                 for letter, price in ways:
                     if letter:
                         z = _class(letter)
-                        to, new = (y, z), (cost + price + self.cost[x, y, z], text + letter)
+                        to, new = (y, z), cost + price + price_of[(x * _CLASSES + y) * _CLASSES + z]
                     else:
-                        to, new = (x, y), (cost + price, text)
-                    if to not in after or new < after[to]:
-                        after[to] = new
+                        to, new = (x, y), cost + price
+                    if to not in after or new < after[to][0]:
+                        after[to] = (new, (text, letter) if letter else text)
             states = after
-        return min((cost + self.cost[x, y, 0], text) for (x, y), (cost, text) in states.items())[1]
+        _, text = min(((cost + (price_of[(x * _CLASSES + y) * _CLASSES] if y else 0.0), text) for (x, y), (cost, text) in states.items()), key=lambda s: s[0])
+        out = []
+        while text is not None:
+            text, letter = text
+            out.append(letter)
+        return "".join(reversed(out)).strip()
 
 
 def count_characters(documents: DataFrame) -> np.ndarray:
@@ -146,37 +167,64 @@ class Words:
         if not parts:
             return []
         single = len(parts) > 2 and max(map(len, parts)) == 1
-        if single or len(low) <= 40 and (any(c in LOOKS_LIKE for c in low) or _STRETCHED.search(low)):
-            return [self.speller.decode(low), *(parts if len(parts) > 1 and not single else [])]
+        if single or any(c in LOOKS_LIKE for c in low) or _STRETCHED.search(low):
+            whole = [self.speller.decode(low), *(parts if len(parts) > 1 and not single else [])]
+            glued = len(low) > LONG_WORD or not single and any(not c.isalnum() and c not in LOOKS_LIKE for c in low)
+            return whole + (self.speller.decode(low, _LETTER_BREAK).split() if glued else [])
         return parts
 
+    def restore_run(self, run: str) -> list[str]:
+        """Words that a run of single characters stands for: all as one, and as cut by the model."""
+        if not _LETTERS.search(run):
+            return []
+        low = run.lower()
+        return [self.speller.decode(low), *self.speller.decode(low, _RUN_BREAK).split()]
+
+    def _features(self, key: str, restored: list[str]) -> tuple[int, ...]:
+        all_of = {_hash(x) for w in restored for x in ("w" + w, *(f"{n}{w[:n]}" for n in (4, 5, 6) if len(w) > n))}
+        got = tuple(sorted(all_of if self.chosen is None else {self.chosen[x] for x in all_of if x in self.chosen}))
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
+        self.known[key] = got
+        return got
+
     def of_word(self, word: str) -> tuple[int, ...]:
         got = self.known.get(word)
-        if got is None:
-            all_of = {_hash(x) for w in self.restore(word) for x in ("w" + w, *(f"{n}{w[:n]}" for n in (4, 5, 6) if len(w) > n))}
-            got = tuple(sorted(all_of if self.chosen is None else {self.chosen[x] for x in all_of if x in self.chosen}))
-            if len(self.known) > MOST_WORDS:
-                self.known.clear()
-            self.known[word] = got
-        return got
+        return self._features(word, self.restore(word)) if got is None else got
+
+    def of_run(self, run: str) -> tuple[int, ...]:
+        key = " " + run  # no word has a blank
+        got = self.known.get(key)
+        return self._features(key, self.restore_run(run)) if got is None else got
 
     def of_text(self, text: str) -> set[int]:
         words = text.split()
         found: set[int] = set()
         known = self.known
+        single: dict[str, str] = {}  # words of one character, without the signs around it
         for w in set(words):
             got = known.get(w)
             if got is None:
                 got = self.of_word(w)
             if got:
                 found.update(got)
-        single = [i for i, w in enumerate(words) if len(w) == 1]
-        first = 0
-        for k in range(1, len(single) + 1):  # runs of four single characters or more are one word
-            if k == len(single) or single[k] != single[k - 1] + 1:
-                if k - first >= 4:
-                    found.update(self.of_word("-".join(words[i] for i in single[first:k])))
-                first = k
+            if len(w) == 1:
+                single[w] = w
+            elif not (w[0].isalnum() and w[-1].isalnum()):
+                core = w.lstrip(_LEADING).rstrip(_PUNCTUATION)
+                if len(core) == 1:
+                    single[w] = core
+        if not single:
+            return found
+        run: list[str] = []
+        for w in [*words, ""]:
+            core = single.get(w)
+            if core is not None:
+                run.append(core)
+            elif run:
+                if len(run) > 1:  # two single characters or more may be a word, or several
+                    found.update(self.of_run("".join(run)))
+                run = []
         return found
 
 
