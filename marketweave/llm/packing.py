@@ -31,7 +31,8 @@ from .common import column, passes
 WINDOW = 4096
 END_ID = 2
 MOST_WORDS = 700_000
-_ODD = re.compile(r"[^\t-\r -~¡-ſ]|<\|")
+#: U+0130 is a letter whose lower case is two characters, the second a mark.
+_ODD = re.compile(r"[^\t-\r -~¡-įı-ſ]|<\|")
 
 
 class WordTokenizer:
