@@ -10,6 +10,7 @@ import hashlib
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -108,8 +109,20 @@ def read_year(spark: SparkSession, root: str, year: int, frequency: int, symbols
     return rows
 
 
+def _first_bad(z: zipfile.ZipFile) -> str | None:
+    """As testzip; a member that cannot be unpacked is bad too."""
+    for i in z.infolist():
+        try:
+            with z.open(i) as f:
+                while f.read(1 << 20):
+                    pass
+        except (zipfile.BadZipFile, zlib.error, EOFError):
+            return i.filename
+    return None
+
+
 def inventory(spark: SparkSession, paths: list[str] | str, deep: bool = False, nested: bool = False) -> DataFrame:
-    """Per archive: members, parquet_members, bytes unpacked, symbols, problem; with ``deep`` bad_members (failed CRC) and sha256."""
+    """Per archive: members, parquet_members, bytes unpacked, symbols, problem; with ``deep`` bad_members (failed CRC; of nested archives outer:inner too) and sha256."""
     ddl = "path string, members int, parquet_members int, unpacked_bytes long, symbols array<string>, bad_members array<string>, sha256 string, problem string"
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string(), pa.string()]
 
@@ -120,14 +133,17 @@ def inventory(spark: SparkSession, paths: list[str] | str, deep: bool = False, n
                 end = ".zip" if nested else ".parquet"
                 names = [i.filename for i in infos if i.filename.endswith(end)]
                 symbols = sorted({n.rsplit("/", 1)[-1].removesuffix(end) for n in names})
-                inner = 0
+                inner, bad = 0, []
                 if nested:
                     for n in names:
                         with zipfile.ZipFile(io.BytesIO(z.read(n))) as y:
                             inner += sum(x.endswith(".parquet") for x in y.namelist())
-                bad = z.testzip() if deep else None
+                            if deep and (x := _first_bad(y)):
+                                bad.append(f"{n}:{x}")
+                outer = _first_bad(z) if deep else None
+                bad = [outer, *bad] if outer else bad
                 empty = [i.filename for i in infos if not i.file_size]
-                return path, len(infos), inner if nested else len(names), sum(i.file_size for i in infos), symbols, [bad] if bad else [], hashlib.sha256(content).hexdigest() if deep else None, "empty_members" if empty else None
+                return path, len(infos), inner if nested else len(names), sum(i.file_size for i in infos), symbols, bad, hashlib.sha256(content).hexdigest() if deep else None, "empty_members" if empty else None
         except (zipfile.BadZipFile, OSError) as e:
             return path, 0, 0, 0, [], [], None, f"unreadable: {e}"
 
