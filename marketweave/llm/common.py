@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -11,17 +12,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that one numpy pass takes at a time; whole documents are never cut, so one longer text is a pass of its own.
 PASS_BYTES = 1 << 20
-#: Rows of a narrow key table that may be broadcast (16 to 100 MB); larger ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a key table that may be broadcast, as measured before the join; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 24_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (tests, local mode)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or in local mode a temporary one where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="marketweave-")
         spark.sparkContext.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -32,13 +36,31 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: cuts the lineage, and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
 
 
-def join_checked(left: DataFrame, keys: DataFrame, on: list[str], rows: int | None = None, how: str = "inner") -> DataFrame:
-    """Join with a table of keys: broadcast it only if its counted rows stay under ``BROADCAST_ROWS``, else shuffle both sides."""
-    rows = keys.count() if rows is None else rows
-    return left.join(F.broadcast(keys) if rows <= BROADCAST_ROWS else keys, on, how)
+def discard(*settled: DataFrame) -> None:
+    """Delete the files of settled tables that nothing will read again."""
+    for df in settled:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.settled_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _bytes_of(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return sum((_bytes_of(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    return F.lit(8)
+
+
+def join_checked(left: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a settled table of keys (numbers, texts, structs of them): broadcast it only if its measured bytes stay under ``BROADCAST_BYTES``, else shuffle both sides."""
+    row = sum((_bytes_of(F.col(f.name), f.dataType) for f in keys.schema.fields), F.lit(16))
+    size = keys.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
+    return left.join(F.broadcast(keys) if size <= BROADCAST_BYTES else keys, on, how)
 
 
 def key_equals(left: Column, right: Column) -> Column:

@@ -1,16 +1,18 @@
 """Exact Jaccard self-join of 5-word shingle sets by adaptive multi-match prefixes.
 
 Documents with one shingle set are a class, and only classes are joined. Shingles have one global order: by an estimate of
-how many documents have them (a count sketch of fixed size, summed over all documents), rare ones first, then by hash. If
-two sets of n and m shingles link, they share at least T = max(ceil(0.8 n), ceil(0.8 m)) of them; then for every l their
-l-prefixes, the first n - ceil(0.8 n) + l shingles, share at least l. Each class takes the l at which its estimated cost,
-postings looked up and candidates to verify, is least. A pair is verified only if it shares min(l, l') shingles within the
-shorter of its two prefixes, and enough are left behind the last of them.
-
-No pair is lost and no group is expanded into all its pairs. In two rounds, and more while there are many candidate pairs,
-each class is verified against one pivot only, of the buckets (classes sharing a prefix shingle) the one it shares most
-of; what links is joined into components, and shingles whose classes are in one component are done. Then all candidate
-pairs of classes in different components are verified. Buckets of very common shingles are salted by the same estimate.
+how many documents have them (a count sketch sized by the texts, summed over all documents), rare ones first, then by hash.
+Two sets of n and m shingles link only if they share at least T = ceil(80 (n + m) / 180); then for every l the first l
+shingles they share stand so early in both that T - l of their own are left behind each. So a posting carries how many
+shingles are left behind it, and two postings meet only if both have T - l left, with l the smaller of the two classes' own.
+Each class takes the l, of any size, at which its estimated cost, postings looked up and candidates to verify, is least,
+and a longer prefix with it; a pair is verified only if it shares l shingles in that way.
+
+No link is lost and no group is expanded into all its pairs. First come ``ROUNDS`` rounds in which each class is verified
+against one pivot only, of the buckets (classes sharing a prefix shingle) the one it shares most of; what links is joined
+into components, and shingles whose classes are in one component are done. Then all candidate pairs of classes in
+different components are verified. Copies of one text with few changes meet in the rounds; those with too many to link
+have their common shingles so late that they do not meet. Buckets of very common shingles are salted by the same estimate.
 """
 
 from __future__ import annotations
@@ -20,24 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, join_checked, passes, raw, settle
+from .common import column, discard, join_checked, passes, raw, settle
 from .components import components
 from .hashing import mix, shingles
 
-CELLS, BLOCKS = 1 << 20, 64
 PERCENT = 80
-MOST_L = 4
+#: Cells of the count sketch: a power of two by the bytes of all texts, within these exponents; parts that it is summed in.
+LEAST_CELLS, MOST_CELLS, BLOCKS = 16, 23, 64
+BYTES_PER_CELL = 32
 #: Postings that verifying one candidate is worth.
-VERIFY = 40
+VERIFY = 10
 #: Classes that one bucket should have at most; commoner shingles are salted.
 BUCKET = 4000
-#: Rounds with pivots that every input gets, and the most that an input with many meetings gets.
-ROUNDS, MOST_ROUNDS = 2, 5
-#: Postings of other components that one posting meets, on average, beyond which another round with pivots comes first.
-MEETINGS = 4
+ROUNDS = 3
+#: Classes that one task verifies against one pivot; the pivot's text goes to each such task.
+PER_PIVOT = 1000
 
 
 def need(n: np.ndarray | int, percent: int = PERCENT):
@@ -55,190 +57,264 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
         yield batch, sets, cls
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "cls", "n", "block", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    total, any_row = np.zeros(CELLS, dtype=np.int64), False
-    for batch, sets, cls in _sets(batches):
-        cells = [(s & np.uint64(CELLS - 1)).astype(np.int64) for s in sets]
-        total += np.bincount(np.concatenate(cells), minlength=CELLS)
-        any_row = True
-        n = len(sets)
-        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(cls), pa.array([len(s) for s in sets], pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-    if any_row:
-        parts = np.minimum(total, 0xFFFFFFFF).astype("<u4").reshape(BLOCKS, -1)
-        yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, kinds[0]), pa.nulls(BLOCKS, kinds[1]), pa.nulls(BLOCKS, kinds[2]), pa.array(range(BLOCKS), kinds[3]), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], kinds[4])], names)
-
-
-def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, counts in zip(column(batch, "block").to_pylist(), column(batch, "counts"), strict=True):
-            part = np.frombuffer(zlib.decompress(counts.as_py()), dtype="<u4").astype(np.int64)
-            sums[block] = sums[block] + part if block in sums else part
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(np.minimum(s, 0xFFFFFFFF).astype("<u4").tobytes(), 1) for s in sums.values()], pa.binary())], ["block", "counts"])
-
-
-def _prefix(s: np.ndarray, counts: np.ndarray, noise: int, percent: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
-    """Shingles of the chosen prefix, the least l each belongs to, l, and their estimates."""
+def _cells(s: np.ndarray, cells: int) -> np.ndarray:
+    return (s & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _pack_block(counts: np.ndarray) -> bytes:
+    """Counts of a block of cells: places and counts of those that are not 0, or all of them."""
+    at = np.flatnonzero(counts)
+    if 3 * len(at) < 2 * len(counts):
+        return b"s" + zlib.compress(np.diff(at, prepend=0).astype("<u4").tobytes() + counts[at].astype("<i8").tobytes(), 1)
+    return b"d" + zlib.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def _add_block(total: np.ndarray, blob: bytes) -> None:
+    plain = zlib.decompress(blob[1:])
+    if blob[:1] == b"s":
+        n = len(plain) // 12
+        total[np.cumsum(np.frombuffer(plain, dtype="<u4", count=n))] += np.frombuffer(plain, dtype="<i8", offset=4 * n)
+    else:
+        total += np.frombuffer(plain, dtype="<i8")
+
+
+def _describe(cells: int):
+    """Each row's class and number of shingles, then a task's part of the sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "cls", "n", "block", "counts"]
+        total, held, some = np.zeros(cells, dtype=np.int64), [], 0
+        for batch, sets, cls in _sets(batches):
+            held += sets
+            some += sum(map(len, sets))
+            if some >= cells // 4:
+                total += np.bincount(_cells(np.concatenate(held), cells), minlength=cells)
+                held, some = [], 0
+            n = len(sets)
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(cls), pa.array([len(s) for s in sets], pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+        if some:
+            total += np.bincount(_cells(np.concatenate(held), cells), minlength=cells)
+        parts = [(k, _pack_block(p)) for k, p in enumerate(total.reshape(BLOCKS, -1)) if p.any()]
+        if parts:
+            n = len(parts)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array([k for k, _ in parts], pa.int32()), pa.array([b for _, b in parts], pa.binary())], names)
+
+    return run
+
+
+def _sum_blocks(cells: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(column(batch, "block").to_pylist(), column(batch, "counts"), strict=True):
+                _add_block(sums.setdefault(block, np.zeros(cells // BLOCKS, dtype=np.int64)), counts.as_py())
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([_pack_block(s) for s in sums.values()], pa.binary())], ["block", "counts"])
+
+    return run
+
+
+def _rarity(told: DataFrame, cells: int) -> np.ndarray:
+    """For each cell eight times the logarithm of its count above the usual one, as a byte: as large as the sketch has cells, whatever the input."""
+    blocks = told.filter("block is not null").select("block", "counts").repartition(BLOCKS, "block").mapInArrow(_sum_blocks(cells), "block int, counts binary").toArrow()
+    counts = np.zeros(cells, dtype=np.int64)
+    for block, part in zip(blocks["block"].to_pylist(), blocks["counts"].to_pylist(), strict=True):
+        _add_block(counts.reshape(BLOCKS, -1)[block], part)
+    usual = int(np.median(counts))
+    return np.minimum(np.round(8 * np.log2(np.maximum(counts - usual, 1))), 255).astype(np.uint8)
+
+
+def _prefix(s: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """Shingles of the chosen prefix, how many are left behind each, l, and how many other documents are thought to have each."""
     n = len(s)
-    least = need(n, percent)
-    estimate = counts[(s & np.uint64(CELLS - 1)).astype(np.int64)]
-    order = np.lexsort((s, estimate))
-    first = n - least + 1
-    most = min(MOST_L, least)
-    others = np.cumsum(np.maximum(estimate[order[: first + most - 1]] - noise, 0))
-    lengths = first + np.arange(most)
-    l = 1 + int(np.argmin(lengths + others[lengths - 1] + VERIFY * others[lengths - 1] / np.arange(1, most + 1)))  # noqa: E741
-    taken = order[: first + l - 1]
-    return s[taken], np.maximum(1, np.arange(len(taken)) - first + 2), l, np.maximum(estimate[taken] - noise, 0)
-
-
-def _postings(shared, noise: int, percent: int):
+    own = rarity[_cells(s, len(rarity))]
+    order = np.lexsort((s, own))
+    others = np.exp2(own[order] / 8.0) - 1
+    seen = np.cumsum(others)
+    # sets of this size meet within n - T + l shingles, those of the least size within n - need + l
+    l = np.arange(1, need(n, percent) + 1)  # noqa: E741
+    same = n + (-2 * percent * n) // (100 + percent) + l
+    looked_up = seen[np.minimum(same, n) - 1]
+    best = int(np.argmin(l + looked_up + VERIFY * looked_up / l))
+    taken = order[: n - need(n, percent) + 1 + best]
+    return s[taken], n - 1 - np.arange(len(taken)), best + 1, others[: len(taken)]
+
+
+def _postings(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
-        for _, sets, classes in _sets(batches):
+        rarity, seen = shared.value, set()
+        for batch, sets, classes in _sets(batches):
             out: list[tuple[np.ndarray, ...]] = []
-            for s, cls in zip(sets, classes.tolist(), strict=True):
+            for doc, s, cls in zip(column(batch, "doc_id").to_pylist(), sets, classes.tolist(), strict=True):
                 if not len(s) or cls in seen:
                     continue
                 seen.add(cls)
-                token, level, l, others = _prefix(s, counts, noise, percent)  # noqa: E741
-                splits = 1 + others // BUCKET
-                with np.errstate(over="ignore"):
-                    salt = np.uint64(mix(np.array([cls]).view(np.uint64))[0]) % splits.astype(np.uint64)
-                    bucket = np.where(splits > 1, mix(token + salt * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)), token)
+                token, left, l, others = _prefix(s, rarity, percent)  # noqa: E741
+                splits = (1 + others // BUCKET).astype(np.uint64)
+                salt = mix(np.array([cls]).view(np.uint64))[0] % splits
                 k = len(token)
-                out.append((bucket.view(np.int64), token.view(np.int64), np.full(k, cls), np.full(k, len(s), np.int32), level.astype(np.int8), np.full(k, l, np.int8), np.arange(k, dtype=np.int32), splits > 1))
+                out.append((token.view(np.int64), np.where(splits > 1, 1 + salt, 0).astype(np.int32), np.full(k, cls), np.full(k, doc), np.full(k, len(s), np.int32), left.astype(np.int32), np.full(k, l, np.int32)))
             if out:
-                parts = [np.concatenate(x) for x in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["bucket", "token", "cls", "n", "level", "l", "place", "salted"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["token", "salt", "cls", "doc", "n", "left", "l"])
 
     return run
 
 
-def _fetch(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """node, hashes (sorted distinct shingles) of the documents with these ids, settled."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets, _ in _sets(batches):
-            values = pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), np.concatenate(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), values.cast(pa.list_(pa.int64()))], ["node", "hashes"])
+def _reach(percent: int) -> Column:
+    """``percent`` times the size of the largest set that a posting may meet."""
+    return (F.col("left").cast("long") + F.col("l")) * (100 + percent) - F.col("n") * F.lit(percent)
 
-    chosen = join_checked(documents, ids.withColumnRenamed("node", "doc_id"), ["doc_id"])
-    return settle(chosen.select("doc_id", "text").mapInArrow(run, "node long, hashes array<long>"), "sets")
 
+def _meet(a: tuple[str, str, str], b: tuple[str, str, str], percent: int) -> Column:
+    """Whether two postings, each (n, left, l), may be among the first l shared shingles of a linked pair."""
+    both = F.col(a[0]).cast("long") + F.col(b[0])
+    return (F.least(a[1], b[1]).cast("long") + F.least(a[2], b[2])) * (100 + percent) >= both * percent
 
-def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b and what else they carry) that link, settled."""
-    pairs = settle(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = _fetch(documents, ids)
-    one = pairs.join(sets.withColumnsRenamed({"node": "a", "hashes": "of_a"}), "a")
-    two = one.join(sets.withColumnsRenamed({"node": "b", "hashes": "of_b"}), "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    linked = two.select(*pairs.columns, common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("both")).filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("both") - F.col("common")))
-    return settle(linked.select(*pairs.columns), "links")
 
+def _verifier(percent: int):
+    """Pairs that link. Rows come sorted by pivot, its own text (no ``a``) before those to compare; its class is checked, as a doc_id may have several texts."""
 
-def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Components over class representatives (node, component), and all documents with their class: doc_id, n, node (the class's least doc_id)."""
-    spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    told = settle(documents.mapInArrow(_describe, "doc_id long, cls long, n int, block int, counts binary"), "sets-told")
-    of_doc = told.filter("block is null").select("doc_id", "cls", "n")
-    classes = settle(of_doc.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "classes")
-    blocks = told.filter("block is not null").select("block", "counts").repartition(BLOCKS, "block").mapInArrow(_sum_blocks, "block int, counts binary").toArrow()
-    counts = np.zeros(CELLS, dtype=np.int64)  # fixed size, whatever the input
-    for block, part in zip(blocks["block"].to_pylist(), blocks["counts"].to_pylist(), strict=True):
-        counts.reshape(BLOCKS, -1)[block] = np.frombuffer(zlib.decompress(part), dtype="<u4")
-    noise = int(np.median(counts)) + 1
-    shared = spark.sparkContext.broadcast(counts.astype(np.int32))
-
-    postings = documents.mapInArrow(_postings(shared, noise, percent), "bucket long, token long, cls long, n int, level byte, l byte, place int, salted boolean")
-    same = Window.partitionBy("bucket")
-    bucketed = postings.repartition("bucket").withColumn("low", F.min("cls").over(same)).withColumn("high", F.max("cls").over(same)).filter("salted or low <> high").drop("low", "high")
-    known = settle(bucketed, "postings").dropDuplicates(["token", "cls"])
-    posted = settle(known.join(classes.filter("node is not null"), "cls").select("bucket", "token", "node", "copies", "n", "level", "l", "place"), "postings")
-
-    members = of_doc.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "n", "node")
-
-    # further rounds while a posting meets more others than MEETINGS on average
-    limit = MEETINGS * max(10_000, posted.count())
-    open_, links = posted.withColumn("component", F.col("node")), None
-    for k in range(MOST_ROUNDS):
-        if k >= ROUNDS and _crossing(open_) <= limit:
-            break
-        new = _verified(documents, _pivot_pairs(open_, k, percent), percent)
-        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
-        open_ = _contested(open_, _merged(new, k))
-    links = links.unionByName(_verified(documents, _candidates(open_, percent), percent))
-    return settle(components(links), "components"), members
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, own = None, np.zeros(0, dtype=np.uint64)
+        for batch, sets, classes in _sets(batches):
+            keep = []
+            for i, (a, b, s, cls) in enumerate(zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist(), sets, classes.tolist(), strict=True)):
+                if a is None:
+                    if cls == b:
+                        pivot, own = b, s
+                elif a == cls and b == pivot:
+                    common = len(np.intersect1d(s, own, assume_unique=True))
+                    if 100 * common >= percent * (len(s) + len(own) - common):
+                        keep.append(i)
+            if keep:
+                yield batch.take(pa.array(keep)).select(["a", "b", "ca", "cb"])
 
+    return run
 
-def _crossing(open_: DataFrame) -> int:
-    """How often a shingle meets two classes of different components."""
-    per = open_.groupBy("token", "component").agg(F.count("*").cast("double").alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
-    return int(per.agg(F.coalesce(F.sum(F.col("all") * F.col("all") - F.col("same")), F.lit(0.0))).first()[0]) // 2
 
+def _verified(documents: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b, their documents da, db, and components ca, cb) those that link, settled: a, b, ca, cb.
 
-def _fits(n_a: str, n_b: str, percent: int):
-    return (F.col(n_a) * 100 >= F.col(n_b) * percent) & (F.col(n_b) * 100 >= F.col(n_a) * percent)
+    The text of a goes to the task of its b. A b with many partners is dealt over several tasks, its text to each.
+    """
+    pairs = settle(pairs, "pairs")
+    parts = pairs.groupBy("b").agg(F.min("db").alias("db"), F.floor(F.count("*") / PER_PIVOT).cast("int").alias("more"))
+    pivots = settle(parts, "pivots")
+    one = join_checked(pairs, pivots.filter("more > 0").select("b", "more"), ["b"], how="left").withColumn("part", F.pmod(F.xxhash64("a"), F.coalesce("more", F.lit(0)) + 1).cast("int"))
+    wanted = one.select(F.col("da").alias("doc_id"), "a", "b", "part", "ca", "cb")
+    null = F.lit(None).cast("long")
+    wanted = settle(wanted.unionByName(pivots.select(F.col("db").alias("doc_id"), null.alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("part"), null.alias("ca"), null.alias("cb"))), "wanted")
+    texts = join_checked(documents, wanted, ["doc_id"])
+    dealt = texts.select("a", "b", "part", "ca", "cb", "text").repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
+    links = settle(dealt.mapInArrow(_verifier(percent), "a long, b long, ca long, cb long"), "links")
+    discard(pairs, pivots, wanted)
+    return links
+
+
+def _open_postings(documents: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
+    """Postings that some other class's may meet, once a shingle and class, settled; ``component`` is the class at first."""
+    shared = documents.sparkSession.sparkContext.broadcast(rarity)
+    postings = documents.filter("doc_id is not null").mapInArrow(_postings(shared, percent), "token long, salt int, cls long, doc long, n int, left int, l int")
+    same = Window.partitionBy("token", "salt")
+    wide = _reach(percent) >= F.col("n") * F.lit(percent)  # may meet sets of its own size or more; of two that meet the smaller one is so
+    told = postings.repartition("token", "salt").select(
+        "*", F.min("cls").over(same).alias("low"), F.max("cls").over(same).alias("high"), wide.alias("wide"),
+        F.min(F.when(wide, F.col("n"))).over(same).alias("least"), F.max(F.when(wide, _reach(percent))).over(same).alias("most"),
+    )
+    partner = F.col("wide") | (F.col("least") * F.lit(percent) <= _reach(percent)) & (F.col("n") * F.lit(percent) <= F.col("most"))
+    kept = told.filter((F.col("salt") > 0) | (F.col("low") != F.col("high")) & partner).dropDuplicates(["token", "salt", "cls"])
+    return settle(kept.select("token", "salt", "cls", "doc", "n", "left", "l", F.col("cls").alias("component")), "open")
 
 
 def _pivot_pairs(open_: DataFrame, k: int, percent: int) -> DataFrame:
-    """For every class the pivot that it shares most buckets with (a, b, and their components): the class with most copies, later one of the component with the highest hash."""
-    rank = F.struct("copies", "node") if k == 0 else F.struct(F.xxhash64("component", F.lit(k)), "component", "node")
-    pivots = settle(open_.groupBy("bucket").agg(F.max(F.struct(rank, F.col("n").alias("n"), F.col("component").alias("component"), F.col("node").alias("node"))).alias("pivot")).select("bucket", F.col("pivot.n").alias("pivot_n"), F.col("pivot.component").alias("pivot_component"), F.col("pivot.node").alias("b")), "pivots")
-    met = open_.join(pivots, "bucket").filter(F.col("component") != F.col("pivot_component")).filter(_fits("n", "pivot_n", percent))
-    counted = met.groupBy(F.col("node").alias("a"), "b", F.col("component").alias("ca"), F.col("pivot_component").alias("cb")).agg(F.count("*").alias("shared"))
-    return counted.groupBy("a").agg(F.max_by(F.struct("b", "ca", "cb"), F.struct("shared", "b")).alias("to")).select("a", "to.*")
+    """For every class the pivot that it shares most buckets with (a, b, their documents and components).
+
+    A bucket's pivot is the class with the fewest rarer shingles, so the one most like all others; after the first round
+    that of the component with the least hash.
+    """
+    rank = F.struct((F.col("left") - F.col("n")).alias("rarer"), F.xxhash64("cls").alias("h"), F.col("cls")) if k == 0 else F.struct(F.xxhash64("component", F.lit(k)).alias("h"), F.col("component"), (F.col("left") - F.col("n")).alias("rarer"), F.col("cls"))
+    pivots = open_.groupBy("token", "salt").agg(F.max(F.struct(rank.alias("rank"), *[F.col(c).alias(f"{c}_b") for c in ("cls", "doc", "component", "n", "left", "l")])).alias("p")).select("token", "salt", "p.*").drop("rank")
+    met = open_.join(pivots, ["token", "salt"]).filter(F.col("component") != F.col("component_b")).filter(_meet(("n", "left", "l"), ("n_b", "left_b", "l_b"), percent))
+    counted = met.groupBy("cls", "cls_b").agg(F.count("*").alias("shared"), F.min("doc").alias("da"), F.min("doc_b").alias("db"), F.min("component").alias("ca"), F.min("component_b").alias("cb"))
+    best = counted.groupBy(F.col("cls").alias("a")).agg(F.max_by(F.struct(F.col("cls_b").alias("b"), "da", "db", "ca", "cb"), F.struct("shared", "cls_b")).alias("to"))
+    return best.select("a", "to.*")
 
 
-def _merged(new: DataFrame, k: int) -> DataFrame:
+def _merged(links: DataFrame, k: int) -> DataFrame:
     """component, into: the component that each is merged into by the links of a round.
 
-    Links go from lower to higher pivots, so following them ends; two steps are followed here. What this leaves apart is
-    only compared again later: the components of the result come from all links at the end.
+    Of the links of a component one is followed, and four in a row. What this leaves apart is only compared again later:
+    the components of the result come from all links at the end.
     """
-    to = settle(new.groupBy(F.col("ca").alias("component")).agg(F.max_by("cb", F.struct(F.xxhash64("cb", F.lit(k)), "cb")).alias("into")), "merged")
+    to = settle(links.groupBy(F.col("ca").alias("component")).agg(F.max_by("cb", F.struct(F.xxhash64("cb", F.lit(k)), "cb")).alias("into")), "merged")
     for _ in range(2):
         to = to.join(to.select(F.col("component").alias("into"), F.col("into").alias("further")), "into", "left").select("component", F.coalesce("further", "into").alias("into"))
     return settle(to, "merged")
 
 
+def _contested(open_: DataFrame, links: DataFrame, k: int) -> DataFrame:
+    """Postings of the shingles whose classes are in more than one component, with the components of now."""
+    into = _merged(links, k)
+    labelled = settle(join_checked(open_, into, ["component"], how="left").withColumn("component", F.coalesce("into", "component")).drop("into"), "labelled")
+    mixed = settle(labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "contested")
+    out = settle(join_checked(labelled, mixed, ["token"]), "open")
+    discard(open_, into, labelled, mixed)
+    return out
+
+
 def _candidates(open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different components that share as many shingles as the shorter of their prefixes asks for.
+    """All pairs of different components that share l shingles early enough, and enough behind them.
 
-    Components meet first, one row a shingle each; only then are their classes paired, so classes of one component never are.
+    Components meet first, one row a shingle each, if their sizes allow it; only then are their classes paired, so classes
+    of one component never are.
     """
-    once = settle(open_.select("token", "component").distinct(), "component-shingles")
-    met = once.withColumnRenamed("component", "component_a").join(once.withColumnRenamed("component", "component_b"), "token").filter("component_a < component_b")
-    for side in "ab":
-        met = met.join(open_.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "n", "level", "l", "place")]), ["token", f"component_{side}"])
-    shorter = F.least("l_a", "l_b")
-    near = met.filter(_fits("n_a", "n_b", percent)).filter(F.greatest("level_a", "level_b") <= shorter)
-    # behind the last shared shingle of the prefixes at most all that is left of the smaller rest can be shared
-    rest = F.min(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1).alias("rest")
-    pairs = near.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("shared"), F.min(shorter).alias("l"), rest, F.max(F.col("n_a") + F.col("n_b")).alias("both"))
-    return pairs.filter("shared >= l").filter((F.col("shared") + F.col("rest")) * (100 + percent) >= F.col("both") * percent).select("a", "b")
-
-
-def _contested(open_: DataFrame, into: DataFrame) -> DataFrame:
-    """Postings of the shingles whose classes are in more than one component, with the components of now."""
-    labelled = settle(open_.join(into, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into"), "labelled")
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
-    return settle(labelled.join(settle(mixed, "contested"), "token"), "open")
+    once = settle(open_.groupBy("token", "component").agg(F.min("n").alias("n"), F.max(_reach(percent)).alias("reach")), "component-shingles")
+    side = lambda x: once.withColumnsRenamed({c: f"{c}_{x}" for c in ("component", "n", "reach")})
+    met = side("a").join(side("b"), "token").filter("component_a < component_b").filter((F.col("reach_a") >= F.col("n_b") * F.lit(percent)) & (F.col("reach_b") >= F.col("n_a") * F.lit(percent))).select("token", "component_a", "component_b")
+    for x in "ab":
+        met = met.join(open_.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("component", "cls", "doc", "n", "left", "l")]), ["token", f"component_{x}"])
+    near = met.filter(_meet(("n_a", "left_a", "l_a"), ("n_b", "left_b", "l_b"), percent))
+    pairs = near.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
+        F.count("*").alias("shared"), F.min(F.least("l_a", "l_b")).alias("l"), F.min(F.least("left_a", "left_b")).alias("rest"), F.max(F.col("n_a") + F.col("n_b")).alias("both"),
+        F.min("doc_a").alias("da"), F.min("doc_b").alias("db"), F.min("component_a").alias("ca"), F.min("component_b").alias("cb"),
+    )
+    return pairs.filter("shared >= l").filter((F.col("shared") + F.col("rest")) * (100 + percent) >= F.col("both") * percent).drop("shared", "l", "rest", "both")
+
+
+def links_and_classes(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Links between classes (a, b), enough of them to join all that link, and all rows with their class: doc_id, cls, n."""
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    size = int(documents.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0])
+    cells = 1 << min(max((size // BYTES_PER_CELL).bit_length(), LEAST_CELLS), MOST_CELLS)
+    told = settle(documents.mapInArrow(_describe(cells), "doc_id long, cls long, n int, block int, counts binary"), "sets-told")
+    members = told.filter("block is null").select("doc_id", "cls", "n")
+
+    open_ = _open_postings(documents, _rarity(told, cells), percent)
+    links = None
+    for k in range(ROUNDS):
+        new = _verified(documents, _pivot_pairs(open_, k, percent), percent)
+        links = new if links is None else links.unionByName(new)
+        open_ = _contested(open_, new, k)
+    links = links.unionByName(_verified(documents, _candidates(open_, percent), percent)).select("a", "b")
+    discard(open_)
+    return links, members
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
     Null or empty texts have no shingles and are their own component; so are texts that link with none. Equal sets are one
-    class. Rows with one doc_id are one document: what links one links the other. A null doc_id links its class but never
-    names a component; alone it has a null component. An empty table gives an empty one.
+    class, however many rows and ties there are. Rows with one doc_id are one document: what links one links the other. A
+    row without a doc_id belongs to its class's component but links nothing and never names a component; alone it has a
+    null one. Texts of any length are taken whole; only doc_id and text are read. An empty table gives an empty one.
     """
-    found, of_doc = links_and_classes(documents, percent)
-    labelled = of_doc.join(found, "node", "left")
-    return labelled.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id"))
+    links, members = links_and_classes(documents, percent)
+    filled = members.filter("n > 0")
+    several = settle(filled.filter("doc_id is not null").groupBy("doc_id").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high").select("doc_id", "low"), "several-texts")
+    own = join_checked(filled, several, ["doc_id"]).select(F.col("cls").alias("a"), F.col("low").alias("b"))
+    found = components(links.unionByName(own))
+    classes = filled.groupBy("cls").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    labelled = settle(classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").filter("copies > 1 or component is not null").withColumn("component", F.coalesce("component", "cls")), "labelled")
+    named = labelled.select("cls", "component").join(labelled.groupBy("component").agg(F.min("first").alias("component_id")), "component")
+    rows = join_checked(members, settle(named.select("cls", "component_id"), "components"), ["cls"], how="left")
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("doc_id")).alias("component_id"))

@@ -185,7 +185,7 @@ def brute_components(rows, percent=80):
 
     def find(i):
         while parent[i] != i:
-            i = parent[i] = parent[parent[i]]
+            i = parent[i]
         return i
 
     for i in range(len(rows)):
@@ -211,22 +211,47 @@ def variants(n, edits, seed, words=60):
     return out
 
 
-@pytest.mark.parametrize("meetings", [4, 0])
-def test_jaccard_join_equals_brute_force(spark, docs, monkeypatch, meetings):
-    """With no meetings allowed all rounds with pivots come first."""
-    monkeypatch.setattr(jaccard, "MEETINGS", meetings)
+@pytest.mark.parametrize("rounds, verify", [(3, 10), (1, 0), (1, 1000)])
+def test_jaccard_join_equals_brute_force(spark, docs, monkeypatch, rounds, verify):
+    """With few and many rounds with pivots, and prefixes of one and of many matches."""
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "VERIFY", verify)
     texts = variants(40, 2, 1) + variants(25, 4, 2) + ["a b", "A  b", "a", "", None, "one two three four five"] * 2
     rows = docs[:80] + [(6000 + i, t) for i, t in enumerate(texts)]
     assert rows_of(jaccard.near_duplicates(frame(spark, rows))) == [tuple(r) for r in sorted(brute_components(rows), key=str)]
 
 
-def test_jaccard_salted_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_join_at_the_threshold(spark, monkeypatch, seed):
+    """Many sets of few shingles of few kinds, just above and below the threshold and of differing sizes."""
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rnd, rows = random.Random(seed), []
+    for i in range(300):
+        start, n = rnd.randrange(40), rnd.randrange(5, 40)
+        words = [f"w{start + j}" for j in range(n)]
+        if rnd.random() < 0.5:
+            words[rnd.randrange(n)] = f"w{rnd.randrange(90)}"
+        rows.append((i, " ".join(words)))
+    assert rows_of(jaccard.near_duplicates(frame(spark, rows))) == [tuple(r) for r in sorted(brute_components(rows), key=str)]
+
+
+def test_jaccard_salted_buckets_and_pivots_of_many(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BUCKET", 5)
-    monkeypatch.setattr(jaccard, "MEETINGS", 0)
+    monkeypatch.setattr(jaccard, "PER_PIVOT", 3)
     rows = [(i, t) for i, t in enumerate(variants(60, 2, 3))]
     assert rows_of(jaccard.near_duplicates(frame(spark, rows))) == [tuple(r) for r in sorted(brute_components(rows), key=str)]
 
 
+def test_jaccard_rows_of_one_doc_id_link_together(spark):
+    """Texts of one doc_id are one document; rows without a doc_id name nothing; repeated and very long rows are whole."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a), (7, a), (3, b), (5, b), (None, c), (9, c), (9, c), (None, "alone with no other text here"), (5, "")]
+    got = {(d, n): k for d, n, k in rows_of(jaccard.near_duplicates(frame(spark, rows)))}
+    assert got == {(5, 26): 3, (7, 26): 3, (3, 26): 3, (None, 26): 9, (9, 26): 9, (None, 2): None, (5, 0): 5}
+    long = " ".join(f"w{i}" for i in range(60_000))
+    assert rows_of(jaccard.near_duplicates(frame(spark, [(1, long), (2, long + " more"), (3, "w1 w2 w3 w4 w5 w6")]))) == [(1, 59996, 1), (2, 59997, 1), (3, 2, 3)]
+
+
 # -- suffix dedup
 
 
