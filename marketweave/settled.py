@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as Parquet in the folder that the cluster shares (``spark.checkpoint.dir``; a temporary one where unset)."""
+    """``df`` as Parquet in the folder that the cluster shares (``spark.checkpoint.dir``; in local mode a temporary one where unset)."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="marketweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
