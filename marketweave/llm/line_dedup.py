@@ -1,13 +1,15 @@
-"""Exact removal of repeated lines or paragraphs.
+"""Exact removal of repeated lines, paragraphs, or sentences within lines.
 
-A unit (line, or paragraph between empty lines) is normalised: lower case, runs of white space become one blank, none at
-the ends. Units of under ``min_words`` words are always kept; with 1, as the query and the pipeline have it, only empty ones are. Of all units with one digest in all documents, the one with
-the smallest (doc_id, place) stays; the others are removed. Offsets of what is removed are character offsets in the
-original text.
+A unit is a line, a paragraph between empty lines, or (``sentence``) a part of a line: lines are cut behind sentence ends,
+but only where the part so far has ``min_words`` words, and a shorter rest joins the part before it; so every word is in a
+unit, a short line is one by itself, and a passage copied into the middle of a line still shares its inner units. Units are
+normalised: lower case, runs of white space become one blank, none at the ends; empty ones do not count. Of all units with
+one digest in all documents, the one with the smallest (doc_id, place) stays; the others are removed. Offsets of what is
+removed are character offsets in the original text.
 
 Two passes: the digests that occur more than once are found by an aggregation that combines before its shuffle, written
-to the shared folder, and joined back to the units (broadcast if counted small, else a sort-merge join whose hot digests
-Spark splits). Only unit keys are shuffled; the texts move once, to meet the list of what to remove.
+to the shared folder, and joined back to the units (broadcast if its measured bytes are few, else a sort-merge join whose
+hot digests Spark splits). Only unit keys are shuffled; the texts move once, to meet the list of what to remove.
 """
 
 from __future__ import annotations
@@ -22,16 +24,34 @@ from pyspark.sql import functions as F
 
 from .common import column, join_checked, passes, settle
 
-_BREAK = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+MIN_WORDS = 6
+_BREAK = {"line": re.compile(r"\n"), "sentence": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+_SENTENCE_END = re.compile(r"[.!?\u2026\u3002]+[\"')\]\u00bb\u201d\u2019]*\s+")
 
 
-def spans_of(text: str, unit: str) -> list[tuple[int, int]]:
-    """Start and end of every unit, in order; separators belong to none."""
-    out, at = [], 0
+def _sentences(text: str, start: int, end: int, min_words: int) -> Iterator[tuple[int, int]]:
+    parts, first, words, at = [], start, 0, start
+    for m in _SENTENCE_END.finditer(text, start, end):
+        words += len(text[at : m.end()].split())
+        at = m.end()
+        if words >= min_words:
+            parts.append((first, at))
+            first, words = at, 0
+    if parts and words + len(text[at:end].split()) < min_words:
+        first = parts.pop()[0]
+    return iter([*parts, (first, end)])
+
+
+def spans_of(text: str, unit: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """Number of the line or paragraph, start and end of every unit, in order; separators belong to none."""
+    blocks, at = [], 0
     for m in _BREAK[unit].finditer(text):
-        out.append((at, m.start()))
+        blocks.append((at, m.start()))
         at = m.end()
-    return [*out, (at, len(text))]
+    blocks.append((at, len(text)))
+    if unit != "sentence":
+        return [(k, a, b) for k, (a, b) in enumerate(blocks)]
+    return [(k, *part) for k, (a, b) in enumerate(blocks) for part in _sentences(text, a, b, min_words)]
 
 
 def _units(unit: str, min_words: int):
@@ -39,23 +59,37 @@ def _units(unit: str, min_words: int):
         for batch, texts in passes(batches, "text"):
             out: list[tuple] = []
             for doc, key, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "_key").to_pylist(), texts.to_pylist(), strict=True):
-                for k, (start, end) in enumerate(spans_of(text, unit)):
-                    words = text[start:end].lower().split()
-                    if len(words) >= min_words:
-                        out.append((doc, key, k, start, end, hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()))
+                for k, (_, start, end) in enumerate(spans_of(text, unit, min_words)):
+                    if plain := " ".join(text[start:end].lower().split()):
+                        out.append((doc, key, k, start, end, hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "_key", "unit", "start", "end", "digest"])
 
     return run
 
 
+def cut_spans(text: str, spans: list[tuple[int, int, int]], drop: set[int]) -> str:
+    """The text without the units in ``drop``; a line or paragraph of which nothing is left goes with its separator."""
+    separators, out, at = [], [], 0
+    while at < len(spans):
+        block, first = spans[at][0], at
+        while at < len(spans) and spans[at][0] == block:
+            at += 1
+        kept = [k for k in range(first, at) if k not in drop]
+        if kept:
+            if out:
+                separators.append(text[spans[first - 1][2] : spans[first][1]])
+            out.append("".join(text[spans[k][1] : spans[k][2]] for k in kept))
+    return "".join(x for pair in zip(out, [*separators, ""], strict=True) for x in pair) if out else ""
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     """doc_id, text (null: empty) and a hash of the text: rows that share all three are treated alike, without an extra shuffle."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_key"))
 
 
-def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = 4) -> DataFrame:
+def repeated_units(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per unit to remove: doc_id, _key, unit, start, end."""
     units = keyed(documents).mapInArrow(_units(unit, min_words), "doc_id long, _key long, unit int, start int, end int, digest binary")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_key", "unit")
@@ -64,12 +98,13 @@ def repeated_units(documents: DataFrame, unit: str = "line", min_words: int = 4)
     return found.filter(rank != F.col("first")).select("doc_id", "_key", "unit", "start", "end")
 
 
-def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 4) -> DataFrame:
+def remove_repeats(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of ``documents`` with ``text`` less its repeated units, and n_units, n_removed, removed_chars (int) and removed_spans (text: start-end of each removed unit, parted by commas).
 
-    Kept units stand in their order, joined by a line break (an empty line for paragraphs); a text that loses nothing stays
-    as it is, null included. Rows equal in doc_id and text are one document: they repeat nothing of each other. Null
-    doc_ids rank last. The four new columns replace columns of the same names. An empty table gives an empty one.
+    What is kept stands in its order with the separators it had before it; a text that loses nothing stays as it is, null
+    included. Ties do not occur: places differ. Rows equal in doc_id and text are one document: they repeat nothing of each
+    other. Null doc_ids rank last. Texts of any length are taken whole, one at a time. The four new columns replace columns
+    of the same names. An empty table gives an empty one.
     """
     gone = repeated_units(documents, unit, min_words)
     lists = gone.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("unit", "start", "end")).alias("gone"))
@@ -83,9 +118,9 @@ def remove_repeats(documents: DataFrame, unit: str = "line", min_words: int = 4)
 
         out = []
         for text, lost in zip(texts, gone, strict=True):
-            spans = spans_of(text or "", unit)
+            spans = spans_of(text or "", unit, min_words)
             drop = {int(x["unit"]): (int(x["start"]), int(x["end"])) for x in lost} if lost is not None else {}
-            kept = text if not drop else ("\n" if unit == "line" else "\n\n").join(text[a:b] for k, (a, b) in enumerate(spans) if k not in drop)
+            kept = cut_spans(text, spans, set(drop)) if drop else text
             out.append((kept, len(spans), len(drop), sum(b - a for a, b in drop.values()), ",".join(f"{a}-{b}" for _, (a, b) in sorted(drop.items()))))
         return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_chars", "removed_spans"])
 

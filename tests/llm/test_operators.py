@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -67,29 +68,61 @@ def test_write_shards_splits_a_hot_key(spark, tmp_path):
 # -- line dedup
 
 
-def brute_lines(rows, least=4):
+def brute_lines(rows, parts=lambda line: [line]):
+    """Texts of which the repeated parts of lines are gone, with lines of which nothing is left."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
-    first, kept = {}, {}
+    first, kept = {}, []
     for i in order:
         d, t = rows[i]
-        for k, line in enumerate((t or "").split("\n")):
-            words = line.lower().split()
-            if len(words) >= least:
-                first.setdefault(" ".join(words), (d, t, k))
-    for i, (d, t) in enumerate(rows):
-        lines = (t or "").split("\n")
-        stay = [x for k, x in enumerate(lines) if len(x.split()) < least or first[" ".join(x.lower().split())] == (d, t, k)]
-        kept[i] = t if len(stay) == len(lines) else "\n".join(stay)
-    return sorted(((rows[i][0], kept[i]) for i in kept), key=str)
-
-
-def test_line_dedup_equals_brute_force(spark, docs):
-    extra = [(5000, "one two three four\nA b  C d\na b c d\n\n"), (5001, "x\nA B C D"), (None, "a b c d\nlast one of these"), (5002, None), (5003, "")]
+        for k, x in enumerate(x for line in (t or "").split("\n") for x in parts(line)):
+            first.setdefault(" ".join(x.lower().split()), (d, t, k))
+    for d, t in rows:
+        k, out, whole = 0, [], True
+        for line in (t or "").split("\n"):
+            stay = []
+            for x in parts(line):
+                if not x.strip() or first[" ".join(x.lower().split())] == (d, t, k):
+                    stay.append(x)
+                k += 1
+            whole = whole and stay == parts(line)
+            if stay:
+                out.append("".join(stay))
+        kept.append((d, t if whole else "\n".join(out)))
+    return sorted(kept, key=str)
+
+
+def brute_sentences(line, least=6):
+    """Words one by one: a part ends behind a sentence's last word once it has enough words."""
+    parts, now, n = [], "", 0
+    for word in re.findall(r"\s*\S+\s*$|\s*\S+\s+", line) or [line]:
+        now, n = now + word, n + 1
+        if n >= least and re.search(r"[.!?\u2026\u3002]+[\"')\]\u00bb\u201d\u2019]*\s+$", now):
+            parts.append(now)
+            now, n = "", 0
+    if now or not parts:
+        parts.append(now)
+        if len(parts) > 1 and n < least:
+            parts[-2:] = ["".join(parts[-2:])]
+    elif line == "":
+        parts = [""]
+    return parts
+
+
+@pytest.mark.parametrize("unit, parts", [("line", lambda line: [line]), ("sentence", brute_sentences)])
+def test_line_dedup_equals_brute_force(spark, docs, unit, parts):
+    copied = "Here begins a passage of some words. It goes on for long enough to count! Short. And then this is its very end, at last."
+    extra = [
+        (5000, "one two three four\nA b  C d\na b c d\n\n"), (5001, "x\nA B C D"), (None, "a b c d\nlast one of these"), (5002, None), (5003, ""), (5003, ""), (5004, "\n\n"),
+        (5005, f"Something else stands before it {copied} and behind it too"), (5006, f"Other words {copied}   \n  {copied.upper()}"), (5006, f"Other words {copied}   \n  {copied.upper()}"), (None, copied),
+        (5007, "again and again. " * 30_000),
+    ]
     rows = docs + extra
-    out = line_dedup.remove_repeats(frame(spark, rows))
-    assert rows_of(out.select("doc_id", "text")) == brute_lines(rows)
-    r = {x.doc_id: x for x in out.collect()}[5000]
-    assert r.removed_spans == "28-35" and r.text == "one two three four\nA b  C d\n\n"
+    out = line_dedup.remove_repeats(frame(spark, rows), unit=unit)
+    assert rows_of(out.select("doc_id", "text")) == brute_lines(rows, parts)
+    r = {x.doc_id: x for x in out.collect()}
+    assert r[5000].removed_spans == "28-35" and r[5000].text == "one two three four\nA b  C d\n\n"
+    if unit == "sentence":
+        assert "count" not in r[5006].text and r[5006].text.endswith("HERE BEGINS A PASSAGE OF SOME WORDS. ") and r[5007].n_removed > 10_000
     texts = dict(rows)
     for x in out.filter("n_removed > 0 and doc_id is not null").collect():
         spans = [tuple(map(int, s.split("-"))) for s in x.removed_spans.split(",")]

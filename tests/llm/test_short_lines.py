@@ -1,15 +1,15 @@
 import corpus_pipeline
 from marketweave.llm import queries as llm
 
-from test_operators import brute_lines, rows_of
+from test_operators import brute_lines, brute_sentences, rows_of
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_query_removes_short_lines(spark):
+def test_query_removes_short_lines_and_sentences(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     out = llm.op2_line_dedup(spark, SF)
-    assert rows_of(out.select("doc_id", "text")) == brute_lines(rows, 1) != brute_lines(rows)
+    assert rows_of(out.select("doc_id", "text")) == brute_lines(rows, brute_sentences) != brute_lines(rows)
 
 
 def test_stage_removes_short_lines(spark):
