@@ -48,18 +48,27 @@ def lookup_table(shards: Sequence[str], size: int = TABLE_SIZE) -> np.ndarray:
 def place(df: DataFrame, key: str, shards: Sequence[str], size: int = TABLE_SIZE) -> DataFrame:
     """All rows of ``df`` with ``slot`` (long) and ``shard`` (string).
 
-    Equal keys have one shard; a null key counts as the empty text. Columns of ``df`` named slot or shard are replaced.
-    An empty table gives an empty one.
+    Equal keys, however many and however long, have one shard; a null key counts as the empty text. Columns of ``df`` named
+    slot or shard are replaced, after the key is read. An empty table gives an empty one.
     """
     spark = df.sparkSession
     table = lookup_table(shards, size)
     rows = [(i, shards[k]) for i, k in enumerate(table.tolist())]
     lookup = spark.createDataFrame(rows, "slot long, shard string")
-    slot = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(size))
-    return df.drop("shard").withColumn("slot", slot).join(F.broadcast(lookup), "slot")
+    slot = F.pmod(F.xxhash64(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))), F.lit(size))
+    return df.withColumn("slot", slot).drop("shard").join(F.broadcast(lookup), "slot")
 
 
 def write_shards(df: DataFrame, path: str, key: str, shards: Sequence[str], splits: int = 8, size: int = TABLE_SIZE) -> None:
-    """Write ``df`` partitioned by shard; rows of one shard are dealt over ``splits`` tasks, so that a hot key is not one task."""
-    placed = place(df, key, shards, size).withColumn("_split", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in ("slot", "shard")]), F.lit(splits)))
-    placed.repartition("shard", "_split").drop("_split", "slot").write.partitionBy("shard").parquet(path)
+    """Write ``df`` partitioned by shard; rows of one shard are dealt over ``splits`` tasks by a hash of the whole row, so that a hot key is not one task.
+
+    Columns named slot or shard are replaced; all others are kept. The slot is written only where there is no other column.
+    """
+    placed = place(df, key, shards, size)
+    split = "split"
+    while split in df.columns:
+        split += "_"
+    # maps cannot be hashed; their JSON can
+    parts = [F.to_json(F.struct(F.col(f"`{f.name}`").alias("x"))) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in placed.schema if f.name not in ("slot", "shard")]
+    dealt = placed.withColumn(split, F.pmod(F.xxhash64(F.lit(0), *parts), F.lit(splits)))
+    dealt.repartition("shard", split).drop(split, *(["slot"] if parts else [])).write.partitionBy("shard").parquet(path)
