@@ -2,9 +2,9 @@
 
 Each task takes its documents as they come. A document's full windows go out at once; what is left over is placed in the
 fill level h (0 is a new window) that makes the sum over levels of the squared number of windows filled so far least,
-looked up in one array of counts by level. At the end of its input a task cuts the windows that are still open together
-into full ones and the last rest into powers of two, which need no padding. No shuffle; a task holds the ids of its open
-windows only, and there are fewer of these than levels.
+looked up in one array of counts by level; of equal ones the fullest. At the end of its input a task fills the windows
+that are still open, which stay as they are placed, from the emptiest of them, and cuts the last rest, which fills no
+window, into powers of two, which need no padding. No shuffle; a task holds the ids of its open windows only.
 
 Token ids: the tokenizer's pattern never spans white space and words repeat, so ids are kept per word (bounded) and joined
 as bytes. Texts with characters for which that, or white space itself, might be another thing to the tokenizer, or with a
@@ -127,22 +127,40 @@ class Packer:
                 self.open[h + size].append(pieces)
 
     def rest(self) -> Iterator[list[tuple]]:
-        """The open windows cut into full ones, and powers of two for the last tokens."""
-        pieces = [p for h in sorted(self.open, reverse=True) for window in self.open[h] for p in window]
-        left = sum(len(p[2]) for p in pieces) // 4
+        """What is open at the end. Windows stay as they are placed, fullest first, and are filled up from the emptiest ones; the last tokens, which fill none, go as powers of two."""
+        windows = [w for h in sorted(self.open, reverse=True) for w in self.open[h]]
+        fill = [h for h in sorted(self.open, reverse=True) for _ in self.open[h]]
         self.open.clear()
         self.level[:] = 0
-        room, out = 0, []
-        for doc, start, ids, total in pieces:
-            while ids:
-                if not room:
-                    room = self.window if left >= self.window else 1 << left.bit_length() - 1
+        left, first, last = sum(fill), 0, len(windows) - 1
+        while left >= self.window:
+            room = self.window - fill[first]
+            while room:  # there are enough tokens in the windows behind this one
+                doc, start, ids, total = windows[last].pop()
+                take = min(room, len(ids) // 4)
+                cut = len(ids) - 4 * take
+                windows[first].append((doc, start + cut // 4, ids[cut:], total))
+                if cut:
+                    windows[last].append((doc, start, ids[:cut], total))
+                fill[last] -= take
+                room -= take
+                if not windows[last]:
+                    last -= 1
+            yield windows[first]
+            left -= self.window
+            first += 1
+        pieces = [p for w in windows[first : last + 1] for p in w]
+        while left:
+            room, out = 1 << left.bit_length() - 1, []
+            left -= room
+            while room:
+                doc, start, ids, total = pieces.pop()
                 take = min(room, len(ids) // 4)
                 out.append((doc, start, ids[: 4 * take], total))
-                start, ids, room, left = start + take, ids[4 * take :], room - take, left - take
-                if not room:
-                    yield out
-                    out = []
+                if 4 * take < len(ids):
+                    pieces.append((doc, start + take, ids[4 * take :], total))
+                room -= take
+            yield out
 
 
 _COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64()}
@@ -152,7 +170,8 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = WINDOW, with_i
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (array<int>) if asked for.
 
     Null text is empty; every row, repeated ones and null doc_ids included, ends with id 2 and is packed. sequence_id is
-    the task's number times 2**32 and a count. An empty table gives an empty one. The same files in the same order give
+    the task's number times 2**32 and a count. Texts of any length are taken whole, one at a time. An empty table gives an
+    empty one. The same files in the same order give
     the same result, so a task that is run again does.
     """
 
