@@ -65,6 +65,24 @@ def test_write_shards_splits_a_hot_key(spark, tmp_path):
     assert back.count() == 501 and back.filter("k = 'hot'").select("shard").distinct().count() == 1
 
 
+def test_placing_equals_looking_up_row_by_row(spark, tmp_path):
+    """Every row by itself: its key's hash, then the table; the key may be called slot or shard, and other columns anything."""
+    names, long = ["a", "b", "c"], "k" * 300_000
+    table = sharding.lookup_table(names, 101)
+    keys = [None, "", "x", "x", "y", long, *map(str, range(50))]
+    for name in ("shard", "slot", "a.b"):
+        df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], f"`{name}` string, v int")
+        hashes = {r.v: r.h % 101 for r in df.select("v", F.xxhash64(F.coalesce(F.col(f"`{name}`"), F.lit(""))).alias("h")).collect()}
+        got = {r.v: (r.slot, r.shard) for r in sharding.place(df, name, names, 101).collect()}
+        assert got == {v: (h, names[table[h]]) for v, h in hashes.items()}
+    odd = spark.createDataFrame([("x", {"a": 1}, "kept")], "k string, m map<string,int>, split string")
+    sharding.write_shards(odd, str(tmp_path / "odd"), "k", names, size=101)
+    assert [(r.split, r.m) for r in spark.read.parquet(str(tmp_path / "odd")).collect()] == [("kept", {"a": 1})]
+    only = spark.createDataFrame([("x",)], "shard string")
+    sharding.write_shards(only, str(tmp_path / "only"), "shard", names, size=101)
+    assert spark.read.parquet(str(tmp_path / "only")).count() == 1
+
+
 # -- line dedup
 
 
@@ -488,6 +506,35 @@ def test_packing_invariants_and_ids(spark, docs):
     assert padding <= 0.01 * used.sum()
 
 
+@pytest.mark.parametrize("seed, docs_of", [(1, 0), (2, 1), (3, 40), (4, 900), (5, 900)])
+def test_open_windows_keep_what_was_placed(seed, docs_of):
+    """At the end each full window begins with one placed by sum of squares; only what fills the gaps moves; no id is lost."""
+    rnd = random.Random(seed)
+    p, done, sizes = packing.Packer(256), [], []
+    for d in range(docs_of):
+        sizes.append(rnd.choice([1, 3, rnd.randrange(1, 200), rnd.randrange(1, 1200)]))
+        done += p.add(d, np.arange(sizes[-1], dtype="<u4").tobytes())
+    placed = {(w[0][0], w[0][1]): [x[:3] for x in w] for ws in p.open.values() for w in ws}
+    open_tokens = sum(len(x[2]) // 4 for w in placed.values() for x in w)
+    rest = list(p.rest())
+    stayed = 0
+    for w in rest:
+        n = sum(len(x[2]) for x in w) // 4
+        assert n == 256 or n & (n - 1) == 0
+        if n == 256:
+            own = placed[w[0][0], w[0][1]]
+            assert [x[:3] for x in w][: len(own)] == own
+            stayed += sum(len(x[2]) for x in own) // 4
+    assert docs_of < 900 or stayed >= 0.6 * open_tokens
+    got = {}
+    for w in [*done, *rest]:
+        assert sum(len(x[2]) for x in w) <= 4 * 256
+        for d, start, ids, total in w:
+            assert total == sizes[d]
+            got.setdefault(d, {}).update(zip(range(start, start + len(ids) // 4), np.frombuffer(ids, "<u4").tolist(), strict=True))
+    assert got == {d: {i: i for i in range(n)} for d, n in enumerate(sizes)}
+
+
 def test_choice_is_the_least_sum_of_squares():
     rnd = random.Random(2)
     p = packing.Packer(40)
