@@ -4,9 +4,15 @@ Texts are normalised: lower case A-Z, and every run of ASCII bytes that are no l
 an anchor a random walk reads one byte per step and moves on or stays by a random bit that depends on step and byte;
 the bytes read are the embedding. Windows of small edit distance fall into step again and have small Hamming distance.
 Several walks are made and of each several samples of steps are hashed; windows that share one hash with an item's window
-are candidates. An anchor is a word start that a hash of the next bytes selects, in documents and items alike, so an item
-has several windows and edits spoil only some. For a candidate the document's stretch of the item's size is compared by
-exact edit distance (bit-parallel; first a count of shared 4-grams that any such stretch has), and kept if that is at most ``max_edits`` of the item's length.
+are candidates. For a candidate the document's stretch of the item's size is compared by exact edit distance
+(bit-parallel; first a count of shared 4-grams that any such stretch has), and kept if that is at most ``max_edits`` of the
+item's length.
+
+An item has several windows: an anchor is a word start that a hash of the next bytes selects, in documents and items alike,
+and an item with few anchors selects more. A window has the largest of ``SIZES`` steps that the item has bytes. (One window
+over a whole item was tried by reckoning only: at 15 % edits its walk is out of step for most of its length, and a sample of
+enough steps to tell items apart agrees once in many thousand times.) How many walks are made follows from ``recall``:
+copies of the items with ``max_edits`` random edits are searched, and walks added until that share of them is found.
 
 Items go to the tasks as one broadcast value; their number is checked, and larger sets are gone through in blocks, each a
 pass over the documents. Documents are not shuffled; hits are few columns.
@@ -14,6 +20,7 @@ pass over the documents. Documents are not shuffled; hits are few columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +33,15 @@ from .hashing import LOWER, mix
 
 #: Characters of all items in one block: what is broadcast is bounded by it.
 BLOCK_CHARS = 4_000_000
-STEPS, WALKS, SAMPLES, SAMPLED = 40, 2, 3, 13
+SIZES = (1, 3, 8, 16, 40)
+SAMPLES, SAMPLED = 3, 13
+MOST_WALKS = 8
 LEAST_ANCHORS = 4
+RECALL = 0.95
+#: Items, by hash of their text, of which edited copies are searched to find the number of walks.
+TRIED = 300
+#: Items of under so many bytes are found only as whole words.
+WHOLE_WORDS = 24
 #: Share of the steps of a candidate that must read the same bytes as the item's.
 AGREE = 0.6
 MAX_EDITS = 0.15
@@ -61,19 +75,20 @@ def normalise(data: np.ndarray, at: np.ndarray, gap: int) -> tuple[np.ndarray, n
 
 
 class Walks:
-    def __init__(self, steps: int, seed: int = 5):
-        random = np.random.Generator(np.random.PCG64(seed))
-        self.steps = steps
-        self.move = random.integers(0, 2, (WALKS, steps, 256)).astype(np.int64)
-        self.sampled = np.zeros((WALKS, SAMPLES, steps), dtype=bool)
-        for w in range(WALKS):
+    def __init__(self, steps: int, walks: int):
+        self.steps, self.walks = steps, walks
+        self.move = np.zeros((walks, steps, 256), dtype=np.int64)
+        self.sampled = np.zeros((walks, SAMPLES, steps), dtype=bool)
+        for w in range(walks):
+            random = np.random.Generator(np.random.PCG64([steps, w]))
+            self.move[w] = random.integers(0, 2, (steps, 256))
             for s in range(SAMPLES):
                 self.sampled[w, s, random.choice(steps, min(steps, SAMPLED), replace=False)] = True
-        self.times = np.uint64(int(random.integers(1, 1 << 62)) * 2 + 1)
+        self.times = np.uint64(0x9E3779B97F4A7C15)
 
     def keys(self, text: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
         """For each walk and sample the hashes of the windows that begin at ``at``; ``text`` has ``steps`` bytes behind each."""
-        for w in range(WALKS):
+        for w in range(self.walks):
             place = at.copy()
             out = [np.full(len(at), 17 * w + s, dtype=np.uint64) for s in range(SAMPLES)]
             with np.errstate(over="ignore"):
@@ -139,6 +154,24 @@ def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     return best if best[0] <= most else None
 
 
+def _words_near(pattern: bytes, text: bytes, most: int, opens: bool, closes: bool) -> tuple[int, int, int] | None:
+    """(edit distance, end, start) of the nearest stretch of whole words; ``opens`` and ``closes``: a word may begin and end where ``text`` does."""
+    starts = [i for i in range(len(text)) if text[i] != 32 and (text[i - 1] == 32 if i else opens)]
+    ends = [j for j in range(1, len(text) + 1) if text[j - 1] != 32 and (text[j] == 32 if j < len(text) else closes)]
+    best = None
+    for i in starts:
+        for j in ends:
+            if abs(j - i - len(pattern)) <= most and j > i:
+                row = [*range(len(pattern) + 1)]
+                for n, c in enumerate(text[i:j], 1):
+                    corner, row[0] = row[0], n
+                    for m, p in enumerate(pattern, 1):
+                        corner, row[m] = row[m], min(row[m] + 1, row[m - 1] + 1, corner + (c != p))
+                if row[-1] <= most and (best is None or (row[-1], j, i) < best):
+                    best = (row[-1], j, i)
+    return best
+
+
 def grams(text: np.ndarray) -> np.ndarray:
     """16-bit hashes of all 4-grams."""
     x = text.astype(np.uint32)
@@ -146,71 +179,104 @@ def grams(text: np.ndarray) -> np.ndarray:
         return (((x[:-3] * np.uint32(0x01000193) + x[1:-2]) * np.uint32(0x01000193) + x[2:-1]) * np.uint32(0x01000193) + x[3:]) * np.uint32(0x9E3779B1) >> np.uint32(16)
 
 
+class Group:
+    """The windows of all items of one size of window: walks, whose window each is, where it begins, embeddings and hash tables."""
+
+    def __init__(self, items: list[tuple[int, bytes]], chosen: list[int], steps: int, selected: np.ndarray, walks: int):
+        self.steps, self.walks = steps, Walks(steps, walks)
+        owner, place, starts, parts, base = [], [], [], [], 0
+        for k in chosen:
+            t = np.frombuffer(items[k][1] + b"\0" * (steps + 3), dtype=np.uint8)
+            n = len(items[k][1]) - steps
+            a = anchors(t, selected)
+            a = np.union1d([0], a[a <= n])
+            owner.append(np.full(len(a), k))
+            place.append(a)
+            starts.append(a + base)
+            parts.append(t)
+            base += len(t)
+        self.owner, self.place = (np.concatenate(x).astype(np.int64) for x in (owner, place))
+        text, at = np.concatenate(parts), np.concatenate(starts).astype(np.int64)
+        self.embedded = [self.walks.traces(w, text, at) for w in range(walks)]
+        self.tables = []
+        for keys in self.walks.keys(text, at):
+            order = np.argsort(keys, kind="stable")
+            seen = np.zeros(1 << 20, dtype=bool)
+            seen[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            self.tables.append((keys[order], order, seen))
+
+
 class Items:
     """The items of one block with the hashes of their windows."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], max_edits: float = MAX_EDITS, recall: float = RECALL, walks: int | None = None):
         data = [np.frombuffer((t or "").encode(), dtype=np.uint8) for _, t in rows]
         at = np.concatenate(([0], np.cumsum([len(x) for x in data]))).astype(np.int64)
         text, bounds, _ = normalise(np.concatenate([*data, np.zeros(0, np.uint8)]), at, 0)
         pairs = [(i, text[a:b].tobytes().strip()) for (i, _), a, b in zip(rows, *bounds, strict=True)]
         self.items = [(i, t) for i, t in pairs if t]
-        self.short = [k for k, (_, t) in enumerate(self.items) if len(t) < 24]
-        sized = [k for k in range(len(self.items)) if k not in set(self.short)]
-        self.steps = min([STEPS, *(len(self.items[k][1]) for k in sized)])
-        self.walks = Walks(self.steps)
-        self.grams = [grams(np.frombuffer(t, dtype=np.uint8)) for _, t in self.items]
+        self.grams = [grams(np.frombuffer(t + b"\0" * 3, dtype=np.uint8)[: max(len(t), 4)]) for _, t in self.items]
+        self.size_of = [max(s for s in SIZES if s <= len(t)) for _, t in self.items]
+        self.steps = max(self.size_of, default=0)
         self.selected = selection()
         values = []
-        for k in sized:
-            t = np.frombuffer(self.items[k][1] + b"\0\0\0", dtype=np.uint8)
-            at, value = word_starts(t)
-            values.append(value[at + self.steps <= len(t) - 3])
+        for (_, t), steps in zip(self.items, self.size_of, strict=True):
+            at, value = word_starts(np.frombuffer(t + b"\0\0\0", dtype=np.uint8))
+            values.append(value[at + steps <= len(t)])
         often = np.bincount(np.concatenate([*values, np.zeros(0, np.int64)]), minlength=1 << 16)
         for value in values:  # an item with few anchors selects more, the rarest first, in all items and documents
             less = value[~self.selected[value]]
             lack = LEAST_ANCHORS - (len(value) - len(less))
             if lack > 0:
                 self.selected[less[np.argsort(often[less], kind="stable")[:lack]]] = True
-        owner, place, starts, parts, base = [], [], [], [], 0
-        for k in sized:
-            t = np.frombuffer(self.items[k][1] + b"\0" * self.steps, dtype=np.uint8)
-            n = len(t) - self.steps
-            a = anchors(t, self.selected)
-            a = np.union1d([0], a[a + self.steps <= n])
-            owner.append(np.full(len(a), k))
-            place.append(a)
-            starts.append(a + base)
-            parts.append(t)
-            base += len(t)
-        join = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-        self.owner, self.place = join(owner), join(place)
-        self.tables = []
-        if sized:
-            self.embedded = [self.walks.traces(w, np.concatenate(parts), join(starts)) for w in range(WALKS)]
-            for keys in self.walks.keys(np.concatenate(parts), join(starts)):
-                order = np.argsort(keys, kind="stable")
-                seen = np.zeros(1 << 20, dtype=bool)
-                seen[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-                self.tables.append((keys[order], order, seen))
+        self.groups: list[Group] = []
+        if walks is not None or not self.items:
+            self._walk(walks or 1)
+            return
+        tried = sorted(range(len(self.items)), key=lambda k: (zlib.crc32(self.items[k][1]), k))[:TRIED]
+        for walks in range(1, MOST_WALKS + 1):
+            self._walk(walks)
+            if self._found(tried, max_edits) >= recall:
+                break
+
+    def _walk(self, walks: int) -> None:
+        self.walks = walks
+        self.groups = [Group(self.items, chosen, s, self.selected, walks) for s in SIZES if (chosen := [k for k, x in enumerate(self.size_of) if x == s])]
+
+    def _found(self, tried: list[int], max_edits: float) -> float:
+        """Share of the items of which a copy with the most random edits is found."""
+        texts = [b"x " + spoiled(self.items[k][1], int(max_edits * len(self.items[k][1])), n) + b" x" for n, k in enumerate(tried)]
+        at = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        got = {(d, k) for d, k, *_ in _find(self, np.frombuffer(b"".join(texts), dtype=np.uint8), at, max_edits)}
+        return sum((d, k) in got for d, k in enumerate(tried)) / len(tried)
+
+
+def spoiled(text: bytes, n: int, seed: int) -> bytes:
+    """``text`` with n random letters put in, taken out or exchanged."""
+    random, out = np.random.Generator(np.random.PCG64(seed)), list(text)
+    for place, letter, kind in zip(random.random(n), random.integers(97, 123, n), random.integers(0, 3, n), strict=True):
+        i = int(place * len(out))
+        out[i : i + 1] = [[], [letter, *out[i : i + 1]], [letter]][kind]
+    return bytes(out)
 
 
 def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, end) for each item near to a stretch of a text; start and end are bytes of the text."""
     text, (begin, end), place = normalise(data, at, items.steps + 3)
     candidates: set[tuple[int, int]] = set()
-    if items.tables:
-        all_starts = np.union1d(anchors(text, items.selected), begin[end > begin])  # the text's own start too: an item's is a window
+    for group in items.groups:
+        # an item of one or two bytes ends within what selects an anchor; the text's own start too: an item's is a window
+        all_starts = np.union1d(anchors(text, items.selected) if group.steps > 2 else word_starts(text)[0], begin[end > begin])
         for lo in range(0, len(all_starts), 1 << 14):
             starts = all_starts[lo : lo + (1 << 14)]
-            for number, ((keys, order, seen), mine) in enumerate(zip(items.tables, items.walks.keys(text, starts), strict=True)):
+            for number, ((keys, order, seen), mine) in enumerate(zip(group.tables, group.walks.keys(text, starts), strict=True)):
                 hit = np.flatnonzero(seen[(mine & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 first, last = np.searchsorted(keys, mine[hit], "left"), np.searchsorted(keys, mine[hit], "right")
                 at_doc = np.repeat(starts[hit], last - first)
                 at_item = order[np.repeat(first, last - first) + np.arange(len(at_doc)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)] if len(at_doc) else at_doc
                 walk = number // SAMPLES
-                near = (items.walks.traces(walk, text, at_doc) == items.embedded[walk][at_item]).mean(axis=1) >= AGREE
-                candidates.update(zip(items.owner[at_item[near]].tolist(), (at_doc[near] - items.place[at_item[near]]).tolist(), strict=True))
+                near = (group.walks.traces(walk, text, at_doc) == group.embedded[walk][at_item]).mean(axis=1) >= AGREE
+                candidates.update(zip(group.owner[at_item[near]].tolist(), (at_doc[near] - group.place[at_item[near]]).tolist(), strict=True))
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     tried: set[tuple[int, int]] = set()
     marks = np.zeros(1 << 16, dtype=bool)
@@ -222,23 +288,19 @@ def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> I
         if hi - lo < len(item) - most or (k, lo) in tried:
             continue
         tried.add((k, lo))
-        here = grams(text[lo:hi])
-        marks[here] = True
-        shared = int(marks[items.grams[k]].sum())
-        marks[here] = False
-        if shared < len(item) - 3 - 4 * most:  # an edit spoils four 4-grams of the item at most
+        if found.get((d, k), (1,))[0] == 0:  # nothing is nearer
             continue
-        if got := nearest(item, text[lo:hi].tobytes(), most):
+        if len(item) - 3 > 4 * most:  # an edit spoils four 4-grams of the item at most
+            here = grams(text[lo:hi])
+            marks[here] = True
+            shared = int(marks[items.grams[k]].sum())
+            marks[here] = False
+            if shared < len(item) - 3 - 4 * most:
+                continue
+        if got := _words_near(item, text[lo:hi].tobytes(), most, lo == begin[d] or text[lo - 1] == 32, hi == end[d] or text[hi] == 32) if len(item) < WHOLE_WORDS else nearest(item, text[lo:hi].tobytes(), most):
             stop = lo + got[1]
-            begun = nearest(item[::-1], text[lo:stop].tobytes()[::-1], most)
-            start = stop - (begun or got)[1]
+            start = lo + got[2] if len(item) < WHOLE_WORDS else stop - (nearest(item[::-1], text[lo:stop].tobytes()[::-1], most) or got)[1]
             found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], start, stop))
-    for k in items.short:  # too short for a walk: exact words
-        item = b" " + items.items[k][1] + b" "
-        for d in range(len(begin)):
-            p = (b" " + text[begin[d] : end[d]].tobytes().strip() + b" ").find(item)
-            if p >= 0:
-                found[d, k] = (0, int(begin[d]) + p, int(begin[d]) + p + len(item) - 2)
     for (d, k), (edits, a, b) in sorted(found.items()):
         start, stop = int(place[a]), int(place[b - 1]) + 1
         while start > at[d] and data[start] & 0xC0 == 0x80:  # whole characters
@@ -248,11 +310,13 @@ def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> I
         yield d, k, edits, start - int(at[d]), stop - int(at[d])
 
 
-def hits(documents: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -> DataFrame:
+def hits(documents: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS, recall: float = RECALL) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, edits (int), item_chars (int), start, end (long; bytes of the text).
 
-    Null or empty texts and items have no hits; items that are empty once normalised neither. Repeated rows give repeated
-    rows. Items of under 24 normalised bytes must occur exactly, as whole words.
+    Null or empty texts and items have no hits; items that are empty once normalised neither, and an empty table of either
+    gives an empty one. Repeated rows give repeated rows; of equally near stretches the first is told. Texts of any length
+    are searched whole. Items of under 24 normalised bytes are found as whole words only, by the same distance. ``recall``
+    is the share of items with ``max_edits`` random edits that the walks are to find.
     """
     spark = documents.sparkSession
     sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
@@ -262,7 +326,7 @@ def hits(documents: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDIT
     out = None
     for k in range(blocks):
         rows = sized.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        items = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in rows.orderBy("item_id", "text").toLocalIterator()]))
+        items = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in rows.orderBy("item_id", "text").toLocalIterator()], max_edits, recall))
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch, texts in passes(batches, "text"):

@@ -465,6 +465,23 @@ def levenshtein(a, b):
     return row[-1]
 
 
+@pytest.mark.parametrize("share, least", [(0, 1.0), (5, 0.97), (10, 0.95), (13, 0.92)])
+def test_decontamination_recall_by_edits(spark, docs, share, least):
+    """Planted items with that percentage of edits, of all lengths, one very short one spoiling none of the others."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()] + [(-1, "q")]
+    clean = [t for _, t in docs if t and len(t) > 200][:50]
+    planted = [(i, f"{clean[i % 50][:150]} {edits(t, share * len(t) // 100, 7 + i)} {clean[i % 50][-150:]}", k) for i, (k, t) in enumerate(items) if k >= 0]
+    found = {(r.doc_id, r.item_id) for r in decontam.hits(frame(spark, [p[:2] for p in planted]), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(found & {(d, k) for d, _, k in planted}) >= least * len(planted)
+
+
+def test_short_items_by_distance_and_whole_words(spark):
+    items = [(1, "cat"), (2, "tiny words here"), (3, "a"), (4, "!!"), (5, "exactly twenty-three by")]
+    rows = [(1, "the CAT sat"), (2, "concatenate"), (3, "see tiny wards here, now"), (4, "destiny words herein"), (5, "exactly twenty three b9"), (6, "only a word"), (7, "x" * 200_000 + " tiny words here " + "y" * 200_000), (7, "cat")]
+    found = sorted((r.doc_id, r.item_id, r.edits, r.start, r.end) for r in decontam.hits(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert found == [(1, 1, 0, 4, 7), (3, 2, 1, 4, 19), (5, 5, 1, 0, 23), (6, 3, 0, 5, 6), (7, 1, 0, 0, 3), (7, 2, 0, 200_001, 200_016)]
+
+
 def test_nearest_is_exact():
     rnd = random.Random(4)
     for _ in range(60):
