@@ -92,6 +92,7 @@ def passes(batches: Iterable[pa.RecordBatch], column: str, most: int = PASS_BYTE
             last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
             yield batch.slice(first, last - first), texts.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -25,14 +25,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept while n fits in what is there."""
+    """base**0 .. base**(n-1) modulo 2**64; a million are kept."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         with np.errstate(over="ignore"):
             full = np.full(max(n, 1 << 20), base, dtype=np.uint64)
             full[0] = 1
             have = np.multiply.accumulate(full)
-        if n <= 1 << 22:
+        if n <= 1 << 20:
             _powers[base] = have
     return have[:n]
 

@@ -31,7 +31,7 @@ from .hashing import mix, shingles
 
 PERCENT = 80
 #: Cells of the count sketch: a power of two by the bytes of all texts, within these exponents; parts that it is summed in.
-LEAST_CELLS, MOST_CELLS, BLOCKS = 16, 23, 64
+LEAST_CELLS, MOST_CELLS, BLOCKS = 16, 22, 64
 BYTES_PER_CELL = 32
 #: Postings that verifying one candidate is worth.
 VERIFY = 10
@@ -83,18 +83,13 @@ def _describe(cells: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "cls", "n", "block", "counts"]
-        total, held, some = np.zeros(cells, dtype=np.int64), [], 0
+        total, some = np.zeros(cells, dtype=np.int32), False
         for batch, sets, cls in _sets(batches):
-            held += sets
-            some += sum(map(len, sets))
-            if some >= cells // 4:
-                total += np.bincount(_cells(np.concatenate(held), cells), minlength=cells)
-                held, some = [], 0
+            np.add.at(total, _cells(np.concatenate(sets), cells), 1)
+            some = True
             n = len(sets)
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(cls), pa.array([len(s) for s in sets], pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-        if some:
-            total += np.bincount(_cells(np.concatenate(held), cells), minlength=cells)
-        parts = [(k, _pack_block(p)) for k, p in enumerate(total.reshape(BLOCKS, -1)) if p.any()]
+        parts = [(k, _pack_block(p)) for k, p in enumerate(total.reshape(BLOCKS, -1)) if p.any()] if some else []
         if parts:
             n = len(parts)
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array([k for k, _ in parts], pa.int32()), pa.array([b for _, b in parts], pa.binary())], names)
