@@ -101,16 +101,13 @@ def date_range(bars: DataFrame, start=None, end=None, last: int | None = None) -
 
 def quote(daily: DataFrame, window: int = 252) -> DataFrame:
     """Per symbol: latest and previous close, change, change in per cent, highest high of the last ``window`` bars, drawdown from it."""
-    order = Window.partitionBy("symbol").orderBy("date")
-    rows = (
-        daily.withColumn("previous", F.lag("close").over(order))
-        .withColumn("peak", F.max("high").over(order.rowsBetween(1 - window, 0)))
-        .groupBy("symbol")
-        .agg(F.max_by(F.struct("date", "close", "previous", "peak"), "date").alias("q"))
-    )
-    c, p, k = F.col("q.close"), F.col("q.previous"), F.col("q.peak")
+    newest = Window.partitionBy("symbol").orderBy(F.desc("date"))
+    rows = daily.withColumn("n", F.row_number().over(newest)).filter(F.col("n") <= max(2, window)).groupBy("symbol").agg(
+        F.max("date").alias("date"), F.max(F.when(F.col("n") == 1, F.col("close"))).alias("c"), F.max(F.when(F.col("n") == 2, F.col("close"))).alias("p"), F.max(F.when(F.col("n") <= window, F.col("high"))).alias("k"),
+    )
+    c, p, k = F.col("c"), F.col("p"), F.col("k")
     pct = F.when(p != 0, (c.cast("double") / p.cast("double") - 1) * 100)
-    return rows.select("symbol", F.col("q.date").alias("date"), c.alias("close"), p.alias("previous"), (c - p).alias("change"), F.round(pct, 6).alias("change_pct"), k.alias("peak"), F.round(F.when(k != 0, c.cast("double") / k.cast("double") - 1), 8).alias("drawdown"))
+    return rows.select("symbol", "date", c.alias("close"), p.alias("previous"), (c - p).alias("change"), F.round(pct, 6).alias("change_pct"), k.alias("peak"), F.round(F.when(k != 0, c.cast("double") / k.cast("double") - 1), 8).alias("drawdown"))
 
 
 def minute_quote(minutes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..settled import settle
 from . import bars
 from .findings import Check, run_checks
 
@@ -132,9 +133,12 @@ def canonical_checks(frequency: int) -> list[Check]:
 
 
 def _with_copies(minutes: DataFrame, keys: list[str]) -> DataFrame:
-    from pyspark.sql import Window
-
-    return minutes.withColumn("_copies", F.count("*").over(Window.partitionBy(*keys)))
+    """With the rows of each key as ``_copies``. Keys are counted before the shuffle's sort; only the few that repeat are joined back."""
+    again = minutes.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return minutes.join(again, same, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).drop(*[f"_{k}" for k in keys])
 
 
 def validate(minutes: DataFrame, frequency: int = 1, scope: list[str] | None = None) -> DataFrame:
@@ -148,10 +152,11 @@ def build(minutes: DataFrame, registry: DataFrame | None = None) -> dict[str, Da
     bars: frequency, exchange, trade_date and the canonical columns; unresolved: symbols with findings or registry
     conflicts, which are in no other table; corrections and exclusions: the audits of the others.
     """
-    repaired = repair(minutes, registry)
+    repaired = settle(repair(minutes, registry), "repaired")  # all four tables read it
     kept, excluded = split_zero_days(repaired)
+    kept = settle(kept, "kept")
     wrong = validate(kept).select(F.col("scope").alias("symbol"), F.col("check").alias("reason")).unionByName(repaired.filter("conflict").select("symbol", F.lit("correction_conflict").alias("reason"))).distinct()
-    unresolved = wrong.groupBy("symbol").agg(F.sort_array(F.collect_set("reason")).alias("reasons"))
+    unresolved = settle(wrong.groupBy("symbol").agg(F.sort_array(F.collect_set("reason")).alias("reasons")), "unresolved")
     good = kept.join(unresolved, "symbol", "left_anti").select(*COLUMNS)
     one = good.withColumn("frequency", F.lit(1))
     out = one.unionByName(bars.session_rollup(good)).withColumn("exchange", F.lower(F.substring_index("symbol", ".", -1))).withColumn("trade_date", F.to_date("trade_time"))

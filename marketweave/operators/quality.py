@@ -11,23 +11,26 @@ from .findings import Check, run_checks
 PRICES = ("open", "high", "low", "close")
 
 
-def ohlc_check(profile: DataFrame, reference: DataFrame, tolerance: float = 0.0001) -> DataFrame:
-    """Profile against reference by (date, exchange, upper-case symbol): both sides' prices, differences and status. Rows without a reference have no output row."""
+def _beside_reference(profile: DataFrame, reference: DataFrame, tolerance: float) -> DataFrame:
+    """All profile rows with the reference's prices, if there, and ``status``: ok, mismatch, or null without a reference."""
     number = lambda c: S.safe_float(c, 0.0)
     left = profile.select("date", "exchange", F.upper("symbol").alias("symbol"), *[number(c).alias(f"profile_{c}") for c in PRICES])
-    right = reference.select("date", "exchange", F.upper("symbol").alias("symbol"), F.col("source"), *[number(c).alias(f"source_{c}") for c in PRICES])
-    joined = left.join(right, ["date", "exchange", "symbol"])
+    right = reference.select("date", "exchange", F.upper("symbol").alias("symbol"), F.col("source"), *[number(c).alias(f"source_{c}") for c in PRICES], F.lit(True).alias("_there"))
+    joined = left.join(right, ["date", "exchange", "symbol"], "left")
     diffs = [(F.col(f"profile_{c}") - F.col(f"source_{c}")).alias(f"{c}_diff") for c in PRICES]
     worst = F.greatest(*[F.abs(F.col(f"{c}_diff")) for c in PRICES])
-    return joined.select("*", *diffs).withColumn("status", F.when(worst <= tolerance, "ok").otherwise("mismatch"))
+    return joined.select("*", *diffs).withColumn("status", F.when(F.col("_there"), F.when(worst <= tolerance, "ok").otherwise("mismatch"))).drop("_there")
+
+
+def ohlc_check(profile: DataFrame, reference: DataFrame, tolerance: float = 0.0001) -> DataFrame:
+    """Profile against reference by (date, exchange, upper-case symbol): both sides' prices, differences and status. Rows without a reference have no output row."""
+    return _beside_reference(profile, reference, tolerance).filter("status is not null")
 
 
 def ohlc_check_summary(profile: DataFrame, reference: DataFrame, tolerance: float = 0.0001) -> DataFrame:
-    """One row: checked, mismatched and missing_reference."""
-    checked = ohlc_check(profile, reference, tolerance).select("status")
-    key = ["date", "exchange", "symbol"]
-    missing = profile.withColumn("symbol", F.upper("symbol")).join(reference.withColumn("symbol", F.upper("symbol")), key, "left_anti").select(F.lit("missing").alias("status"))
-    return checked.unionByName(missing).agg(F.count_if(F.col("status") != "missing").alias("checked"), F.count_if(F.col("status") == "mismatch").alias("mismatched"), F.count_if(F.col("status") == "missing").alias("missing_reference"))
+    """One row: checked, mismatched and missing_reference; one join and one aggregation."""
+    status = _beside_reference(profile, reference, tolerance).select("status")
+    return status.agg(F.count("status").alias("checked"), F.count_if(F.col("status") == "mismatch").alias("mismatched"), F.count_if(F.col("status").isNull()).alias("missing_reference"))
 
 
 def outer_compare(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], tolerances: dict[str, Column] | None = None) -> DataFrame:

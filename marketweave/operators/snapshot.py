@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +64,8 @@ def violations(profile: DataFrame, adjust: str = "qfq") -> DataFrame:
 def partition_digest(profile: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per partition its rows and a digest that does not depend on their order and combines before the shuffle."""
     columns = columns or sorted(c for c in profile.columns if c not in KEY)
-    text = F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    # a value has a mark before it, so that an empty text is not a null
+    text = F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns])
     number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
     sums = profile.groupBy(*KEY).agg(F.count("*").alias("rows"), F.sum(number).cast("decimal(38,0)").alias("_sum"))
     return sums.select(*KEY, "rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), F.col("_sum").cast("string")), 256).alias("digest"))
@@ -90,21 +93,33 @@ def manifest(profile: DataFrame, level: str = "PASS") -> DataFrame:
 
 
 def publish(profile: DataFrame, path: str, exchanges: list[str], level: str = "PASS") -> str:
-    """Gate, then write rows under their snapshot id and append the manifest; the same content again writes nothing."""
-    bad = violations(profile)
-    if not bad.isEmpty():
-        raise Blocked(f"violations, for example {bad.first().asDict()}")
-    found = manifest(profile, level).drop("parts")
-    lacking = profile.groupBy("date").agg(F.countDistinct("exchange").alias("n")).filter(F.col("n") < len(exchanges))
-    if not lacking.isEmpty():
-        raise Blocked(f"an exchange is missing on {lacking.first()['date']}")
+    """Write the rows once to a staging folder, gate and digest what is there, then give it its snapshot id and append the manifest; the same content again leaves all as it is."""
     spark = profile.sparkSession
-    snapshot = found.first()["snapshot_id"]
-    if not _known(spark, path, snapshot):
-        profile.repartition(*KEY).write.partitionBy(*KEY).mode("overwrite").parquet(f"{path}/data/snapshot_id={snapshot}")
-        partition_digest(profile).write.mode("overwrite").parquet(f"{path}/partitions/snapshot_id={snapshot}")
-        found.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/manifest")
-    return snapshot
+    staged = f"{path}/staging/{uuid.uuid4().hex}"
+    profile.repartition(*KEY).write.partitionBy(*KEY).parquet(staged)
+    rows = spark.read.schema(profile.schema).parquet(staged).select(*profile.columns)
+    folder = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        bad = violations(rows).take(1)
+        if bad:
+            raise Blocked(f"violations, for example {bad[0].asDict()}")
+        lacking = rows.groupBy("date").agg(F.countDistinct("exchange").alias("n")).filter(F.col("n") < len(exchanges)).take(1)
+        if lacking:
+            raise Blocked(f"an exchange is missing on {lacking[0]['date']}")
+        found = manifest(rows, level)
+        whole = found.first()
+        snapshot = whole["snapshot_id"]
+        if not _known(spark, path, snapshot):
+            spark.createDataFrame([whole], found.schema).select(F.inline("parts")).write.mode("overwrite").parquet(f"{path}/partitions/snapshot_id={snapshot}")
+            files.mkdirs(folder(f"{path}/data"))
+            files.delete(folder(f"{path}/data/snapshot_id={snapshot}"), True)  # left by a publication that did not end
+            if not files.rename(folder(staged), folder(f"{path}/data/snapshot_id={snapshot}")):
+                raise OSError(f"{staged} could not be renamed")
+            spark.createDataFrame([whole], found.schema).drop("parts").withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/manifest")
+        return snapshot
+    finally:
+        files.delete(folder(staged), True)
 
 
 def _known(spark: SparkSession, path: str, snapshot: str) -> bool:

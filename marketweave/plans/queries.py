@@ -513,7 +513,7 @@ def snap_violations(spark, sf):
     return snapshot.violations(V.doubles(V.profile(spark, sf)))
 
 
-_TEXT = "symbol || chr(31) || trade_status || chr(31) || is_st || chr(31) || adjust"
+_TEXT = "'=' || symbol || chr(31) || '=' || trade_status || chr(31) || '=' || is_st || chr(31) || '=' || adjust"
 
 
 @query(f"WITH {V.PROFILE}, d AS (SELECT exchange, date, count(*) AS rows, sum(('0x' || substr(md5({_TEXT}), 1, 15))::BIGINT::DECIMAL(38,0)) AS s FROM profile GROUP BY 1, 2) SELECT exchange, date, rows, sha256(rows || ':' || s) AS digest FROM d")

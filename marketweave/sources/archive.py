@@ -13,6 +13,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -62,11 +63,24 @@ def _members(content: bytes, nested: bool, wanted: set[str] | None) -> Iterator[
 def read(spark: SparkSession, paths: list[str], symbols: list[str] | None = None, start=None, end=None, nested: bool = False, year: int | None = None) -> DataFrame:
     """Rows of the archives' members in the vendor's columns, with ``member``: the symbol that the archive says it is.
 
-    Symbols, dates (inclusive) and, in nested archives, the year are applied within the tasks, before rows leave them.
-    Members without a required column raise.
+    Symbols, dates (inclusive, in the session time zone) and, in nested archives, the year are applied where a member is
+    opened: its Parquet reader takes only the canonical columns and the row groups of the dates, so no other row leaves a
+    task. Members without a required column raise.
     """
     wanted = {s.upper() for s in symbols} if symbols else None
     zone = spark.conf.get("spark.sql.session.timeZone")
+    first = None if start is None else pd.Timestamp(start, tz=zone)
+    behind = None if end is None else pd.Timestamp(end, tz=zone) + pd.Timedelta(days=1)
+
+    def rows_of(name: str, data: bytes) -> pa.Table:
+        file = pq.ParquetFile(io.BytesIO(data))
+        have = {f.name: f.type for f in file.schema_arrow}
+        if missing := {n for n, _ in _SCHEMA[1:]} - set(have):
+            raise ArchiveError(f"{name}: missing columns {sorted(missing)}")
+        kind = have["trade_time"]
+        bound = lambda t: pa.scalar(t if getattr(kind, "tz", None) else t.tz_localize(None), kind)
+        limits = [("trade_time", op, bound(t)) for op, t in ((">=", first), ("<", behind)) if t is not None]
+        return pq.read_table(io.BytesIO(data), columns=[n for n, _ in _SCHEMA[1:]], filters=limits or None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,21 +88,15 @@ def read(spark: SparkSession, paths: list[str], symbols: list[str] | None = None
                 for name, data in _members(content.as_py(), nested, wanted):
                     if nested and year is not None and f"/{year}/" not in f"/{name}":
                         continue
-                    t = pq.read_table(io.BytesIO(data))
-                    if missing := {n for n, _ in _SCHEMA[1:]} - set(t.column_names):
-                        raise ArchiveError(f"{name}: missing columns {sorted(missing)}")
+                    t = rows_of(name, data)
                     time = t["trade_time"]
                     time = pc.assume_timezone(time, zone) if time.type.tz is None else time
                     symbol = name.split("/", 1)[0] if nested else re.sub(r"\.parquet$", "", name.rsplit("/", 1)[-1])
                     columns = [pa.array([symbol] * t.num_rows, pa.string()), *[(time if n == "trade_time" else t[n]).cast(k) for n, k in _SCHEMA[1:]]]
                     yield from pa.table(columns, schema=pa.schema(_SCHEMA)).to_batches(max_chunksize=65_536)
 
-    rows = spark.read.format("binaryFile").load(paths).select("content").repartition(max(1, len(paths))).mapInArrow(run, _DDL)
-    if start is not None:
-        rows = rows.filter(F.to_date("trade_time") >= F.lit(start).cast("date"))
-    if end is not None:
-        rows = rows.filter(F.to_date("trade_time") <= F.lit(end).cast("date"))
-    return rows
+    # Spark deals files out by size; an archive is one row of the source, so one task opens it where it is read
+    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, _DDL)
 
 
 def read_year(spark: SparkSession, root: str, year: int, frequency: int, symbols: list[str] | None = None, start=None, end=None) -> DataFrame:
@@ -103,22 +111,24 @@ def read_year(spark: SparkSession, root: str, year: int, frequency: int, symbols
         raise ArchiveError(f"no archive of {year} at {frequency} minutes")
     rows = read(spark, paths, symbols, start, end)
     if symbols:
+        # the archives' directories are read, not their members
         have = {r["symbol"] for r in inventory(spark, paths).select(F.explode("symbols").alias("symbol")).filter(F.col("symbol").isin(*[s.upper() for s in symbols])).distinct().collect()}
         if lacking := sorted({s.upper() for s in symbols} - have):
             raise KeyError(f"not in the archives: {lacking}")
     return rows
 
 
-def _first_bad(z: zipfile.ZipFile) -> str | None:
-    """As testzip; a member that cannot be unpacked is bad too."""
+def _bad(z: zipfile.ZipFile) -> list[str]:
+    """All members whose CRC is wrong or that cannot be unpacked."""
+    out = []
     for i in z.infolist():
         try:
             with z.open(i) as f:
                 while f.read(1 << 20):
                     pass
         except (zipfile.BadZipFile, zlib.error, EOFError):
-            return i.filename
-    return None
+            out.append(i.filename)
+    return out
 
 
 def inventory(spark: SparkSession, paths: list[str] | str, deep: bool = False, nested: bool = False) -> DataFrame:
@@ -138,10 +148,8 @@ def inventory(spark: SparkSession, paths: list[str] | str, deep: bool = False, n
                     for n in names:
                         with zipfile.ZipFile(io.BytesIO(z.read(n))) as y:
                             inner += sum(x.endswith(".parquet") for x in y.namelist())
-                            if deep and (x := _first_bad(y)):
-                                bad.append(f"{n}:{x}")
-                outer = _first_bad(z) if deep else None
-                bad = [outer, *bad] if outer else bad
+                            bad += [f"{n}:{x}" for x in (_bad(y) if deep else [])]
+                bad = [*(_bad(z) if deep else []), *bad]
                 empty = [i.filename for i in infos if not i.file_size]
                 return path, len(infos), inner if nested else len(names), sum(i.file_size for i in infos), symbols, bad, hashlib.sha256(content).hexdigest() if deep else None, "empty_members" if empty else None
         except (zipfile.BadZipFile, OSError) as e:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv as csv_module
+import gzip
 import re
 from collections.abc import Iterator
 
@@ -63,19 +65,36 @@ def symbol_caches(spark: SparkSession, path: str, ddl: str, strict: bool = True)
 
 
 def stale_headers(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """Files whose header lacks required columns: path, missing. Only the first line of each file is looked at."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value").filter("at = 0")
-    first = lines.withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    """Files whose header lacks required columns: path, missing. The first line of each file is all that a task keeps of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, heads = batch.column(0), []
+            for content in batch.column(1):
+                data = content.as_buffer()
+                with gzip.open(pa.BufferReader(data)) if bytes(data[:2]) == b"\x1f\x8b" else pa.BufferReader(data) as f:
+                    head = b""
+                    while b"\n" not in head and (more := f.read(4096)):
+                        head += more
+                    heads.append(head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r"))
+            yield pa.RecordBatch.from_arrays([names, pa.array(heads, pa.string())], ["path", "header"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInArrow(run, "path string, header string")
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.transform(F.split("header", ","), lambda c: F.trim(c))))
-    return first.withColumn("missing", missing).filter(F.size("missing") > 0).select("path", "missing")
+    return files.select("path", missing.alias("missing")).filter(F.size("missing") > 0)
 
 
-def cache_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """One row over CSV and CSV.GZ trees: files, rows (no header or blank lines), bytes of their lines, first and last date of the first column."""
+def cache_statistics(spark: SparkSession, path: str, most_files: int | None = None) -> DataFrame:
+    """One row over CSV and CSV.GZ trees: files, rows (no header or blank lines), bytes of the files as stored, first and last date of the first column. ``most_files`` takes the first so many by path."""
+    kept = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").load(path).select("path", "length")
     lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.csv*").select(F.col("_metadata.file_path").alias("file"), "value")
+    if most_files is not None:
+        kept = kept.orderBy("path").limit(most_files)
+        lines = lines.join(kept.select(F.regexp_replace("path", "^file:/+", "").alias("name")), F.regexp_replace("file", "^file:/+", "") == F.col("name"), "left_semi")
     day = S.parse_date(F.substring_index("value", ",", 1))
     row = (F.trim("value") != "") & day.isNotNull()
-    return lines.agg(F.countDistinct("file").alias("files"), F.count_if(row).alias("rows"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.min(F.when(row, day)).alias("first_date"), F.max(F.when(row, day)).alias("last_date"))
+    told = lines.agg(F.count_if(row).alias("rows"), F.min(F.when(row, day)).alias("first_date"), F.max(F.when(row, day)).alias("last_date"))
+    return kept.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).join(told).select("files", "rows", "bytes", "first_date", "last_date")
 
 
 def symbol_list(spark: SparkSession, path: str) -> DataFrame:
@@ -95,7 +114,7 @@ def company_files(spark: SparkSession, path: str, aliases: dict[str, list[str]])
     ddl = "file string, line int, file_date date, reject string, " + ", ".join(f"`{c}` string" for c in columns)
 
     def split(line: str, mark: str | None) -> list[str]:
-        return [x.strip().strip('"') for x in (line.split() if mark is None else line.split(mark))]
+        return [x.strip().strip('"') for x in (line.split() if mark is None else next(csv_module.reader([line], delimiter=mark, skipinitialspace=True), []))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import datetime
@@ -208,7 +227,7 @@ def five_minute(rows: DataFrame, symbol: Column | str, exchange: Column | str, a
 
 
 def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, symbols: list[str] | None = None, exchange: str | None = None, first_minute: int | None = None, last_minute: int | None = None, limit: int | None = None) -> DataFrame:
-    """Bars of the production tree (partitioned by frequency, exchange, trade_date). Partition columns prune; symbol and time reach the Parquet filters. The exchange follows from the symbols; another one is an error."""
+    """Bars of the production tree (partitioned by frequency, exchange, trade_date). Partition columns prune; symbol and time reach the Parquet filters. With a limit the newest bars come first. The exchange follows from the symbols; another one is an error."""
     suffixes = sorted({s.rsplit(".", 1)[-1].lower() for s in symbols or []})
     if exchange and suffixes and suffixes != [exchange.lower()]:
         raise ValueError(f"symbols of {suffixes} do not belong to {exchange}")
@@ -222,4 +241,4 @@ def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, sym
         rows = rows.filter(m >= first_minute)
     if last_minute is not None:
         rows = rows.filter(m <= last_minute)
-    return rows.limit(limit) if limit else rows
+    return rows.orderBy(F.desc("trade_time"), "symbol").limit(limit) if limit else rows

@@ -93,5 +93,9 @@ def by_suffix(rows: DataFrame, path: str) -> None:
 
 
 def recompress(spark: SparkSession, source: str, target: str) -> None:
-    """A plain text tree as gzip, lines unchanged."""
-    spark.read.text(source, recursiveFileLookup=True).write.option("compression", "gzip").text(target)
+    """A plain text tree as gzip: one file in a folder ``file={path under source}`` for each, its lines unchanged and in order; the last one ends with a line break."""
+    files = spark.read.text(source, wholetext=True, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("path"))
+    root = spark._jvm.org.apache.hadoop.fs.Path(source)
+    base = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    name = F.substring_index(F.url_decode("path"), base, -1)
+    files.select(F.regexp_replace("value", r"\n\z", "").alias("value"), name.alias("file")).write.partitionBy("file").option("compression", "gzip").text(target)

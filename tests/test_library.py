@@ -1,6 +1,7 @@
 import datetime as dt
 import decimal
 import io
+import gzip
 import json
 import zipfile
 
@@ -252,7 +253,7 @@ def test_archives(spark, tmp_path):
 
 
 def test_company_files(spark, tmp_path):
-    (tmp_path / "a_20240105.csv").write_text("Code;Open;High;Low;Close;Vol;Amt\n600000;1;2;1;2;1,000;5\nxx;1;2;1;2;NULL;5\n")
+    (tmp_path / "a_20240105.csv").write_text('Code;Open;High;Low;Close;Vol;Amt\n"600000";1;2;1;2;"1,000";5\nxx;1;2;1;2;"NU;LL";5\n')
     (tmp_path / "b.txt").write_text("date symbol open high low close volume amount\n2024/1/6 000001.SZE 1 1 1 1 1 1\n")
     (tmp_path / "c.dat").write_text("1,2,3\n")
     names = {"date": ["date"], "symbol": ["symbol", "code"], "exchange": ["market"], "open": ["open"], "high": ["high"], "low": ["low"], "close": ["close"], "volume": ["volume", "vol"], "amount": ["amount", "amt"]}
@@ -277,6 +278,11 @@ def test_text_scans_and_payloads(spark, tmp_path):
     (cache / "a.csv").write_text("date,close\n2024-01-02,1\n\n2024-01-03,2\n")
     s = files.cache_statistics(spark, str(cache)).first()
     assert (s.files, s.rows, s.first_date, s.last_date) == (1, 2, D("2024-01-02"), D("2024-01-03"))
+    (cache / "b.csv.gz").write_bytes(gzip.compress(b"date,open,close\n2023-01-02,1,2\n"))
+    size = sum(f.stat().st_size for f in cache.iterdir())
+    s = files.cache_statistics(spark, str(cache)).first()
+    assert (s.files, s.rows, s.bytes, s.first_date) == (2, 3, size, D("2023-01-02")) and files.cache_statistics(spark, str(cache), 1).first().rows == 2
+    assert [(r.path.rsplit("/", 1)[-1], r.missing) for r in files.stale_headers(spark, str(cache), ["date", "open"]).collect()] == [("a.csv", ["open"])]
     bar = {"date": "2024-01-02T00:00:00.000Z", **dict.fromkeys(files._TIINGO, 1.5)}
     pay = spark.createDataFrame([("T", "stock", json.dumps([bar, bar | {"close": None}]))], "symbol string, asset_type string, json string")
     assert [(r.date, r.reject) for r in files.tiingo(pay).collect()] == [(D("2024-01-02"), None), (D("2024-01-02"), "missing_number")]
@@ -301,6 +307,13 @@ def test_sinks(spark, tmp_path):
     assert (m.status, m.failed) == ("completed_with_failures", 1) and sinks.run_manifest(out.filter("false"), "r").first().status == "completed_empty"
     sinks.by_suffix(rows, str(tmp_path / "x.csv.gz"))
     assert spark.read.option("header", True).csv(str(tmp_path / "x.csv.gz")).count() == 2
+    tree = tmp_path / "tree"
+    (tree / "SZ").mkdir(parents=True)
+    (tree / "SZ" / "a b.csv").write_text("z\n\na\n")
+    (tree / "c.csv").write_text("one")
+    sinks.recompress(spark, str(tree), str(tmp_path / "packed"))
+    packed = spark.read.text(str(tmp_path / "packed")).groupBy("file").agg(F.collect_list("value").alias("lines"))
+    assert {r.file: r.lines for r in packed.collect()} == {"SZ/a b.csv": ["z", "", "a"], "c.csv": ["one"]}
 
 
 def test_search(spark):

@@ -28,6 +28,6 @@ def test_a_member_that_cannot_be_unpacked_is_bad():
     data = bytearray(out.getvalue())
     data[39] = 0xFF  # the first byte of the packed data
     with zipfile.ZipFile(io.BytesIO(bytes(data))) as z:
-        assert archive._first_bad(z) == "a.parquet"
+        assert archive._bad(z) == ["a.parquet"]
     with zipfile.ZipFile(out) as z:
         assert archive._first_bad(z) is None
