@@ -7,9 +7,9 @@ normalised: lower case, runs of white space become one blank, none at the ends;
 one digest in all documents, the one with the smallest (doc_id, place) stays; the others are removed. Offsets of what is
 removed are character offsets in the original text.
 
-Two passes: the digests that occur more than once are found by an aggregation that combines before its shuffle, written
-to the shared folder, and joined back to the units (broadcast if its measured bytes are few, else a sort-merge join whose
-hot digests Spark splits). Only unit keys are shuffled; the texts move once, to meet the list of what to remove.
+One pass over the unit keys: a task keeps, of the units that it has of one digest, only the first for the shuffle; the others
+are known to go. What is shuffled are these firsts, once a task and digest, however often a unit occurs; of those that meet,
+the first stays and the others go. The texts move once, to meet the list of what to remove.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, join_checked, passes, settle
+from .common import column, passes
+from .hashing import mix
 
 MIN_WORDS = 6
 _BREAK = {"line": re.compile(r"\n"), "sentence": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
@@ -54,16 +56,45 @@ def spans_of(text: str, unit: str, min_words: int = MIN_WORDS) -> list[tuple[int
     return [(k, *part) for k, (a, b) in enumerate(blocks) for part in _sentences(text, a, b, min_words)]
 
 
+#: Units that a task combines before it sends them.
+CHUNK = 200_000
+_ROW = [("doc_id", pa.int64()), ("_key", pa.int64()), ("unit", pa.int32()), ("known", pa.bool_()), ("high", pa.int64()), ("low", pa.int64())]
+
+
+def _combined(docs: list[int | None], keys: list[int], units: list[int], digests: list[bytes]) -> pa.RecordBatch:
+    """The first unit of each digest, and those that are known to go: their digest is only a place to be dealt to."""
+    null = np.array([d is None for d in docs])
+    doc = np.array([d or 0 for d in docs], dtype=np.int64)
+    key, unit = np.array(keys, dtype=np.int64), np.array(units, dtype=np.int32)
+    digest = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+    order = np.lexsort((unit, key, doc, null, digest[:, 1], digest[:, 0]))
+    null, doc, key, unit, digest = null[order], doc[order], key[order], unit[order], digest[order]
+    new = np.append(True, (digest[1:] != digest[:-1]).any(axis=1))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    same = (null == null[first]) & (doc == doc[first]) & (key == key[first]) & (unit == unit[first])  # another row of the document
+    keep = new | ~same
+    known = ~new[keep]
+    spread = mix(key[keep].view(np.uint64) + unit[keep].astype(np.uint64)).view(np.int64)
+    columns = [pa.array(doc[keep], mask=null[keep]), pa.array(key[keep]), pa.array(unit[keep]), pa.array(known), pa.array(np.where(known, spread, digest[keep, 0])), pa.array(np.where(known, 0, digest[keep, 1]))]
+    return pa.RecordBatch.from_arrays(columns, schema=pa.schema(_ROW))
+
+
 def _units(unit: str, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, keys, units, digests = [], [], [], []
         for batch, texts in passes(batches, "text"):
-            out: list[tuple] = []
             for doc, key, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "_key").to_pylist(), texts.to_pylist(), strict=True):
                 for k, (_, start, end) in enumerate(spans_of(text, unit, min_words)):
                     if plain := " ".join(text[start:end].lower().split()):
-                        out.append((doc, key, k, start, end, hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "_key", "unit", "start", "end", "digest"])
+                        docs.append(doc)
+                        keys.append(key)
+                        units.append(k)
+                        digests.append(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            if len(docs) >= CHUNK:
+                yield _combined(docs, keys, units, digests)
+                docs, keys, units, digests = [], [], [], []
+        if docs:
+            yield _combined(docs, keys, units, digests)
 
     return run
 
@@ -90,12 +121,11 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def repeated_units(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit to remove: doc_id, _key, unit, start, end."""
-    units = keyed(documents).mapInArrow(_units(unit, min_words), "doc_id long, _key long, unit int, start int, end int, digest binary")
+    """One row per unit to remove: doc_id, _key, unit."""
+    units = keyed(documents).mapInArrow(_units(unit, min_words), "doc_id long, _key long, unit int, known boolean, high long, low long")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_key", "unit")
-    first = settle(units.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1").select("digest", "first"), "first-units")
-    found = join_checked(units, first, ["digest"])
-    return found.filter(rank != F.col("first")).select("doc_id", "_key", "unit", "start", "end")
+    met = units.repartition("high", "low").withColumn("first", F.min(rank).over(Window.partitionBy("known", "high", "low")))
+    return met.filter(F.col("known") | (rank != F.col("first"))).select("doc_id", "_key", "unit")
 
 
 def remove_repeats(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
@@ -107,7 +137,7 @@ def remove_repeats(documents: DataFrame, unit: str = "sentence", min_words: int
     of the same names. An empty table gives an empty one.
     """
     gone = repeated_units(documents, unit, min_words)
-    lists = gone.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("unit", "start", "end")).alias("gone"))
+    lists = gone.groupBy("doc_id", "_key").agg(F.collect_set("unit").alias("gone"))
     # whole rows as one struct: their own column names cannot clash
     whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
     joined = whole.join(lists, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("_key")), "left").select("row", "gone")
@@ -119,9 +149,10 @@ def remove_repeats(documents: DataFrame, unit: str = "sentence", min_words: int
         out = []
         for text, lost in zip(texts, gone, strict=True):
             spans = spans_of(text or "", unit, min_words)
-            drop = {int(x["unit"]): (int(x["start"]), int(x["end"])) for x in lost} if lost is not None else {}
+            drop = sorted(int(k) for k in lost) if lost is not None else []
+            gone_spans = [spans[k][1:] for k in drop]
             kept = cut_spans(text, spans, set(drop)) if drop else text
-            out.append((kept, len(spans), len(drop), sum(b - a for a, b in drop.values()), ",".join(f"{a}-{b}" for _, (a, b) in sorted(drop.items()))))
+            out.append((kept, len(spans), len(drop), sum(b - a for a, b in gone_spans), ",".join(f"{a}-{b}" for a, b in gone_spans)))
         return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_chars", "removed_spans"])
 
     names = [c for c in documents.columns if c not in ("text", "n_units", "n_removed", "removed_chars", "removed_spans")]

@@ -126,8 +126,9 @@ def brute_sentences(line, least=6):
     return parts
 
 
-@pytest.mark.parametrize("unit, parts", [("line", lambda line: [line]), ("sentence", brute_sentences)])
-def test_line_dedup_equals_brute_force(spark, docs, unit, parts):
+@pytest.mark.parametrize("unit, parts, chunk", [("line", lambda line: [line], 200_000), ("sentence", brute_sentences, 200_000), ("sentence", brute_sentences, 1)])
+def test_line_dedup_equals_brute_force(spark, docs, monkeypatch, unit, parts, chunk):
+    monkeypatch.setattr(line_dedup, "CHUNK", chunk)
     copied = "Here begins a passage of some words. It goes on for long enough to count! Short. And then this is its very end, at last."
     extra = [
         (5000, "one two three four\nA b  C d\na b c d\n\n"), (5001, "x\nA B C D"), (None, "a b c d\nlast one of these"), (5002, None), (5003, ""), (5003, ""), (5004, "\n\n"),
