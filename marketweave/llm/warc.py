@@ -1,9 +1,10 @@
 """WARC archives: writing with revisit records, and a salvage reader.
 
 Archives are written by Spark's text writer, so they go wherever Spark can write; each record is a gzip member of its own,
-so that damage costs one record. The reader takes whole archives from Spark's binaryFile source, a bounded number of records
-each. When a check fails, the reader looks for the next gzip
-member or version line that holds, takes up later records, and returns the bytes it passed over as gaps.
+so that damage costs one record. An archive has at most ``PARTS_PER_FILE`` parts of ``PART_BYTES`` of plain records, or of
+one larger record. The reader takes archives from Spark's binaryFile source and passes on a few records at a time. When a
+check fails, it looks for the next gzip member or version line that holds, takes up later records, and returns the bytes it
+passed over as gaps.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import column, join_checked, settle, shared_dir
 
 REVISIT_FROM = 1000
-RECORDS_PER_FILE = 2000
+PART_BYTES, PARTS_PER_FILE = 1 << 20, 32
 _ID = "urn:marketweave:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
@@ -50,7 +51,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write the rows of ``with_revisits`` as gzip archives of at most ``RECORDS_PER_FILE`` records, a member each (the writer names them .txt)."""
+    """Write the rows of ``with_revisits`` as gzip archives bounded by bytes, a member for each record (the writer names them .txt)."""
     line = "\r\n"
     revisit = F.col("refers_to").isNotNull()
     uri = F.regexp_replace(F.coalesce(F.nullif("url", F.lit("")), F.lit("about:blank")), r"[\x00-\x20]", "%20")
@@ -68,14 +69,21 @@ def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> No
     record = F.concat(head, block, F.lit("\r\n\r\n")).cast("binary").alias("value")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, size = [], 0
         for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                some = column(batch, "value").slice(first, 200)
-                yield pa.RecordBatch.from_arrays([pa.array([gzip.compress(x.as_buffer(), 6, mtime=0) for x in some], pa.binary())], ["value"])
+            for x in column(batch, "value"):
+                plain = x.as_buffer()
+                if part and size + plain.size > PART_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(part)], pa.binary())], ["value"])
+                    part, size = [], 0
+                part.append(gzip.compress(plain, 6, mtime=0))
+                size += plain.size
+        if part:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(part)], pa.binary())], ["value"])
 
     # a cast to string leaves the bytes as they are, and so does the text writer
     rows = pages.select(record).mapInArrow(members, "value binary").select(F.col("value").cast("string"))
-    rows.write.option("compression", "none").option("encoding", "ISO-8859-1").option("lineSep", _EMPTY.decode("latin-1")).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    rows.write.option("compression", "none").option("encoding", "ISO-8859-1").option("lineSep", _EMPTY.decode("latin-1")).option("maxRecordsPerFile", PARTS_PER_FILE).text(path)
 
 
 def _inflate(content: bytes, at: int) -> tuple[bytes, int, str | None]:
@@ -150,16 +158,16 @@ def _record(plain: bytes, at: int, broken: bool = False) -> tuple[int, dict[str,
     return end + 4, headers, payload
 
 
-def salvage(content: bytes) -> tuple[list[tuple[int, dict[str, str], bytes]], list[tuple[int, int, str]]]:
-    """Records (offset, headers, payload) and gaps (offset, length, reason) of one archive.
+def scan(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes] | tuple[int, int, str]]:
+    """Records (offset, headers, payload) and gaps (offset, length, reason) of one archive, as they come.
 
     Offsets are those in the archive's plain bytes; gaps of broken gzip members are in its stored bytes, and their reason begins with gzip or no gzip.
     """
-    records, gaps, base = [], [], 0
+    base = 0
     zipped = content[:3] == _MEMBER or (content and not _VERSION.match(content) and _MEMBER in content)
     for _, plain, gap in _unzip(content) if zipped else [(0, content, None)]:
         if gap:
-            gaps.append(gap)
+            yield gap
         at = 0
         while at < len(plain):
             got = _record(plain, at, gap is not None)
@@ -167,13 +175,18 @@ def salvage(content: bytes) -> tuple[list[tuple[int, dict[str, str], bytes]], li
                 later = _VERSION.search(plain, at + 1)
                 to = later.start() if later else len(plain)
                 if plain[at:to].strip():
-                    gaps.append((base + at, to - at, got))
+                    yield base + at, to - at, got
                 at = to
             else:
-                records.append((base + at, got[1], got[2]))
+                yield base + at, got[1], got[2]
                 at = got[0]
         base += len(plain)
-    return records, gaps
+
+
+def salvage(content: bytes) -> tuple[list[tuple[int, dict[str, str], bytes]], list[tuple[int, int, str]]]:
+    """All records and all gaps of one archive."""
+    found = list(scan(content))
+    return [x for x in found if isinstance(x[1], dict)], [x for x in found if not isinstance(x[1], dict)]
 
 
 _READ = "path string, kind string, offset long, length long, reason string, record_type string, record_id string, refers_to string, url string, payload_bytes long, payload_digest string, payload binary"
@@ -187,16 +200,28 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (x.split() for x in _READ.split(", "))])
+        rows, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            rows.clear()
+            return out
+
         for batch in batches:
             for i in range(batch.num_rows):
                 name = column(batch, "path")[i].as_py()
-                records, gaps = salvage(column(batch, "content")[i].as_py() or b"")
-                rows = [(name, "gap", at, n, why, *[None] * 7) for at, n, why in gaps]
-                for at, h, payload in records:
+                for at, h, x in scan(column(batch, "content")[i].as_py() or b""):
+                    if not isinstance(h, dict):
+                        rows.append((name, "gap", at, h, x, *[None] * 7))
+                        continue
                     whole = h.get("warc-type") != "revisit"
-                    rows.append((name, "record", at, None, None, h.get("warc-type"), h.get("warc-record-id", "").strip("<>"), h.get("warc-refers-to", "").strip("<>") or None, h.get("warc-target-uri"), len(payload) if whole else int(h["http-content-length"]), hashlib.sha1(payload).hexdigest() if whole else h.get("warc-payload-digest", "").removeprefix("sha1:"), payload if payloads else None))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    rows.append((name, "record", at, None, None, h.get("warc-type"), h.get("warc-record-id", "").strip("<>"), h.get("warc-refers-to", "").strip("<>") or None, h.get("warc-target-uri"), len(x) if whole else int(h["http-content-length"]), hashlib.sha1(x).hexdigest() if whole else h.get("warc-payload-digest", "").removeprefix("sha1:"), x if payloads else None))
+                    size += len(x) if payloads else 0
+                    if len(rows) >= 1000 or size >= PART_BYTES:
+                        yield flush()
+                        size = 0
+        if rows:
+            yield flush()
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _READ)
 
@@ -204,10 +229,16 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write the pages to archives in the shared folder, read them back, and return page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Every row has its record; rows with one page_id have one each. An empty table gives an empty one.
+    Every row has its record; rows with one page_id have one each, and of equal payloads with the largest page_id twice both
+    are responses. Payloads of any length are kept whole. A gap, or a record that does not come back, is an OSError. An empty
+    table gives an empty one.
     """
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write(with_revisits(pages), path)
+    back = settle(read(spark, path, payloads=False), "warc-records")
+    wanted, (found, gaps) = pages.count(), back.agg(F.count_if(F.col("kind") == "record"), F.count_if(F.col("kind") == "gap")).first()
+    if gaps or found != wanted:
+        raise OSError(f"{path}: {found} of {wanted} records came back, with {gaps} gaps")
     number = lambda c: F.nullif(F.regexp_replace(c, f"^{_ID}", ""), F.lit("")).cast("long")
-    return read(spark, path, payloads=False).filter("kind = 'record'").select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
