@@ -33,6 +33,8 @@ SPREAD = DEPTH - GRAM + 1
 CONTEXT = DEPTH + SPREAD - 1
 #: Entries that a task combines before it sends them, and that one share of the second pass may have in memory.
 CHUNK, MOST = 500_000, 400_000
+#: Bytes of text for each share that the anchors are dealt into, so that shares do not grow with the input.
+SHARE_BYTES = 2 << 20
 _LOW = np.uint64((1 << 48) - 1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ANCHOR = np.dtype([("h", "<u8"), ("doc", "<i8")])
@@ -433,7 +435,8 @@ def _meet_contexts(most: int, shards: int):
 
 def repeated_spans(rows: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id and blobs (row, then starts and ends) of what to remove, for documents (doc_id, row, copy, text); copies take no part."""
-    shards = max(256, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = int(rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0])
+    shards = max(256, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // SHARE_BYTES)
     dealt = lambda df: df.repartition("shard").sortWithinPartitions("shard")
     taking = rows.filter("doc_id is not null and not copy").select("doc_id", "text")
     told = dealt(taking.mapInArrow(_send_anchors(shards), _DEALT)).mapInArrow(_meet_anchors, _TOLD)
@@ -449,7 +452,8 @@ def remove_repeats(documents: DataFrame, most: int = MOST, with_text: bool = Fal
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row, and kept (binary) if asked for.
 
     Null text is empty. Rows with one doc_id repeat nothing of each other; a null doc_id is neither smaller nor larger than
-    any: nothing of it goes, and it makes nothing go. An empty table gives an empty one.
+    any: nothing of it goes, and it makes nothing go. Of ties the smallest doc_id keeps its bytes. Texts of any length are
+    taken whole, one at a time. Only doc_id and text are read. An empty table gives an empty one.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.hash(text).alias("row"), F.unhex(F.md5(text)).alias("digest"))
