@@ -264,7 +264,10 @@ def _regression(rows: list[list[int]], y: np.ndarray, n: int) -> tuple[np.ndarra
 
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """The model of ``labels.toxic``; without labels of both kinds its score is the share of label 1, or 0."""
+    """The model of ``labels.toxic``; without labels of both kinds its score is the share of label 1, or 0.
+
+    A doc_id counts once: with its greatest label and its least text. Of features with one ratio the smaller hash is chosen.
+    """
     spark = documents.sparkSession
     text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
@@ -284,7 +287,7 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[0, at]), pa.array(n[1, at])], ["feature", "clean", "toxic"])
 
     ids = spark.createDataFrame(pd.DataFrame({"doc_id": list(label_of)}, dtype="int64"), "doc_id long")
-    train = text.join(F.broadcast(ids), "doc_id")  # at most train_rows ids
+    train = text.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # at most train_rows rows
     n1 = sum(label_of.values())
     n0 = len(label_of) - n1
     if not n1 or not n0:
@@ -326,7 +329,10 @@ def score_column(documents: DataFrame, model: Model, text: str = "text") -> Colu
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; equal texts have equal scores, empty ones the score of no evidence."""
+    """doc_id, held_out, score, predicted for every row; equal texts have equal scores, null and empty ones the score of no evidence.
+
+    Texts of any length are read whole; other columns are not read. An empty table gives an empty one.
+    """
     model = fit(documents, labels)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), score_column(documents, model).alias("score"))
     return rows.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
