@@ -347,6 +347,41 @@ def test_decoder_restores_disguises():
     assert set(words.of_word("idiot")) <= words.of_text("i d i o t")
 
 
+def test_decoder_is_the_cheapest_of_all_paths():
+    """Viterbi against every path of small lattices, with and without word breaks."""
+    rnd = random.Random(9)
+    n = np.array([rnd.randrange(40) if rnd.random() < 0.4 else 0 for _ in range(64**3)], dtype=np.int64)
+    speller = toxicity.Speller(n)
+    price = lambda x, y, z: speller.prices[(x * 64 + y) * 64 + z]
+
+    def all_paths(word, gap):
+        """(cost, text) of every way to read the word."""
+        states = [(0.0, "", (0, 0))]
+        for i, ways in enumerate(speller.lattice(word)):
+            if gap is not None and i:
+                sign = not word[i].isalnum() and word[i] not in toxicity.LOOKS_LIKE
+                at = min(gap, toxicity._SIGN_BREAK) if sign else gap
+                states = states + [(c + at + price(x, y, 0), t + " ", (y, 0)) for c, t, (x, y) in states if y]
+            states = [(c + p + price(x, y, toxicity._class(letter)), t + letter, (y, toxicity._class(letter))) if letter else (c + p, t, (x, y)) for c, t, (x, y) in states for letter, p in ways]
+        return [(c + (price(x, y, 0) if y else 0.0), t.strip()) for c, t, (x, y) in states]
+
+    for _ in range(150):
+        word = "".join(rnd.choice("abeio1!|3.-oo$") for _ in range(rnd.randrange(1, 7)))
+        for gap in (None, 0.5, 3.0):
+            paths = all_paths(word, gap)
+            best = min(c for c, _ in paths)
+            assert speller.decode(word, gap) in {t for c, t in paths if c <= best + 1e-9}, (word, gap)
+
+
+def test_many_rows_of_one_doc_id_are_one_example(spark):
+    docs = spark.createDataFrame([(i, f"you idiot number {i}" if i % 2 else f"good day number {i}") for i in range(60)] * 3 + [(None, "x"), (7, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2, "doc_id long, toxic int")
+    once = toxicity.fit(docs.dropDuplicates(["doc_id", "text"]).filter("doc_id <> 7 or text is not null"), labels.distinct())
+    many = toxicity.fit(docs.filter("doc_id <> 7 or text is not null"), labels)
+    assert once.chosen == many.chosen and np.allclose(once.weights, many.weights)
+    assert toxicity.score(docs, labels).count() == docs.count()
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -415,6 +450,34 @@ def test_salvage_of_plain_archives():
     assert warc.salvage(b"") == ([], [])
 
 
+def test_damage_to_a_written_archive_costs_one_record(spark, tmp_path):
+    """Bytes of an archive of this writer are spoiled: all pages but those hit come back, and the gap is told."""
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>page {i} " + "".join(chr(97 + (i * k * k) % 26) for k in range(900)) + "</p>") for i in range(250)], "page_id long, url string, html string").coalesce(1)
+    warc.write(warc.with_revisits(pages), str(tmp_path / "w"))
+    (file,) = (tmp_path / "w").glob("part-*")
+    for place in (0.25, 0.5, 0.999):
+        data = bytearray(file.read_bytes())
+        at = int(len(data) * place) - 20
+        data[at : at + 20] = bytes(255 - x for x in data[at : at + 20])
+        found, gaps = warc.salvage(bytes(data))
+        assert len(found) >= 248 and gaps
+        assert {h["warc-record-id"] for _, h, _ in found} <= {f"<{warc._ID}{i}>" for i in range(250)}
+
+
+def test_archives_are_bounded_and_losses_raise(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "PART_BYTES", 3000)
+    monkeypatch.setattr(warc, "PARTS_PER_FILE", 2)
+    rows = [(i, "u", f"{i} " * 500) for i in range(30)] + [(99, "big", "x" * 400_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(warc.with_revisits(pages), str(tmp_path / "w"))
+    sizes = [sum(len(p) for _, _, p in warc.salvage(f.read_bytes())[0]) for f in (tmp_path / "w").glob("part-*")]
+    assert len(sizes) >= 7 and sum(s > 2 * 3000 for s in sizes) == 1
+    assert rows_of(warc.round_trip(pages)) == brute_pages(rows)
+    monkeypatch.setattr(warc, "read", lambda spark, path, payloads=True, old=warc.read: old(spark, path, payloads).filter("record_id not like '%:7'"))
+    with pytest.raises(OSError, match="30 of 31"):
+        warc.round_trip(pages)
+
+
 def test_salvage_of_gzip_members():
     parts = [zipped(record(n, n * 300)) for n in (b"a", b"b", b"c")]
     broken = bytearray(parts[1])
