@@ -335,3 +335,17 @@ def session_bucket(minute: Col, frequency: Col) -> Column:
     m, f = _c(minute), _c(frequency)
     up = lambda base: (F.lit(base) + F.ceil((m - F.lit(base)) / f) * f).cast("int")
     return F.when((m > 570) & (m <= 690), up(570)).when((m > 780) & (m <= 900), up(780)).when((m > 900) & (m <= 930), F.least(up(900), F.lit(930))).otherwise(m)
+
+
+def partition_parts(path: Col) -> Column:
+    """Struct of frequency, exchange and trade_date that a minute file's path says; null parts where it does not."""
+    part = lambda pattern: F.nullif(F.regexp_extract(_c(path), pattern, 1), F.lit(""))
+    return F.struct(part(r"/frequency=(\d+)/").try_cast("int").alias("frequency"), part(r"/exchange=([a-z]+)/").alias("exchange"), F.try_to_date(part(r"/trade_date=(\d{4}-\d{2}-\d{2})/"), "yyyy-MM-dd").alias("trade_date"))
+
+
+def number_text(x: Col) -> Column:
+    """A finite number of 1e-8 to 1e17 as plain text with ten significant digits at most and no trailing zeros; 0 is 0."""
+    v = _c(x).cast("double")
+    scale = F.pow(F.lit(10.0), F.lit(9) - F.floor(F.log10(F.abs(v))))
+    text = (F.rint(v * scale) / scale).cast("decimal(38,18)").cast("string")
+    return F.when(v == 0, "0").otherwise(F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ""))

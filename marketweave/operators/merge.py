@@ -123,6 +123,23 @@ def update_window(configured: Column, latest: Column, end: Column, lookback: int
     return overlap_start(configured, latest, lookback), end
 
 
+def update_daily(profile: DataFrame, history: DataFrame, incoming: DataFrame, end, lookback: int, full_start) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """An incremental update: the profile, the symbols' histories, and the (exchange, date) partitions that were replaced.
+
+    Per exchange the window goes from ``lookback`` days before its last date (``full_start`` where it has none) to ``end``;
+    incoming rows outside are left out. Partitions of the window that have incoming rows are replaced whole; histories are
+    merged by (symbol, date, adjust), incoming rows first.
+    """
+    from ..functions.scalars import overlap_start
+
+    last = profile.groupBy("exchange").agg(F.max("date").alias("_last"))
+    inside = incoming.join(last, "exchange", "left").withColumn("_first", overlap_start(F.lit(full_start).cast("date"), F.col("_last"), lookback))
+    new = inside.filter(F.col("date").between(F.col("_first"), F.lit(end).cast("date"))).drop("_last", "_first")
+    touched = new.select("exchange", "date").distinct()
+    kept = profile.join(touched, ["exchange", "date"], "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True), upsert(history, new, ["symbol", "date", "adjust"]), touched
+
+
 def overlap(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Keys on both sides; must be empty for disjoint sets."""
     return a.select(*keys).intersect(b.select(*keys))

@@ -103,9 +103,9 @@ def bars_market_summary(spark, sf):
     return V.doubles(bars.market_summary(V.profile(spark, sf)))
 
 
-@query(f"WITH {V.PROFILE}, v AS (SELECT exchange, symbol, date, close::DOUBLE AS close, volume::DOUBLE AS volume, row_number() OVER (PARTITION BY symbol ORDER BY date DESC, exchange DESC) AS r FROM profile WHERE trade_status = 1 AND low > 0 AND exchange = 'sz' AND date >= DATE '1996-01-01') SELECT * EXCLUDE (r) FROM v WHERE r <= 20")
+@query(f"WITH {V.PROFILE}, v AS (SELECT exchange, symbol || '.' || exchange AS symbol, date, close::DOUBLE AS close, volume::DOUBLE AS volume, row_number() OVER (PARTITION BY symbol, exchange ORDER BY date DESC) AS r FROM profile WHERE trade_status = 1 AND low > 0 AND date >= DATE '1996-01-01') SELECT * EXCLUDE (r) FROM v WHERE r <= 20")
 def bars_valid_last_n(spark, sf):
-    rows = bars.valid_bars(V.profile(spark, sf).filter("exchange = 'sz'"), "cn")
+    rows = bars.valid_bars(V.profile(spark, sf).withColumn("symbol", F.concat_ws(".", "symbol", "exchange")), "cn")
     return V.doubles(bars.date_range(rows, start="1996-01-01", last=20).select("exchange", "symbol", "date", "close", "volume"))
 
 
@@ -287,16 +287,16 @@ def qc_us_findings(spark, sf):
     return quality.us_daily_findings(_us_broken(spark, sf)).select("scope", "check", "count", "total")
 
 
-@query("SELECT l_suppkey AS symbol, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS present FROM lineitem WHERE l_quantity > 49 GROUP BY 1 HAVING count(DISTINCT l_returnflag) < 3")
+@query("SELECT l_partkey || '-' || l_suppkey AS symbol, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS present FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) < (SELECT count(DISTINCT l_returnflag) FROM lineitem)")
 def qc_symbol_set_diff(spark, sf):
-    rows = V.table(spark, sf, "lineitem").filter("l_quantity > 49").select(F.col("l_suppkey").alias("symbol"), "l_returnflag")
+    rows = V.table(spark, sf, "lineitem").select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("symbol"), "l_returnflag")
     return quality.set_differences(rows, "symbol", "l_returnflag").select("symbol", F.array_join("present", ",").alias("present"))
 
 
-@query("WITH have AS (SELECT DISTINCT l_suppkey AS symbol, date_trunc('month', l_shipdate)::DATE AS month FROM lineitem WHERE l_quantity > 45) SELECT s.symbol, m.month::DATE AS month FROM (SELECT DISTINCT symbol FROM have) s, (SELECT unnest(generate_series(DATE '1996-01-01', DATE '1996-12-01', INTERVAL 1 MONTH)) AS month) m WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.symbol = s.symbol AND h.month = m.month)")
+@query("WITH have AS (SELECT DISTINCT l_partkey AS symbol, date_trunc('month', l_shipdate)::DATE AS month FROM lineitem) SELECT s.symbol, m.month::DATE AS month FROM (SELECT DISTINCT symbol FROM have) s, (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS month) m WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.symbol = s.symbol AND h.month = m.month)")
 def qc_missing_months(spark, sf):
-    rows = V.table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("month")).distinct()
-    return quality.missing_months(rows, "symbol", "1996-01-15", "1996-12-15")
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("symbol"), F.to_date("l_shipdate").alias("month")).distinct()
+    return quality.missing_months(rows, "symbol", "1995-01-15", "2001-12-15")
 
 
 # -- merge
@@ -322,19 +322,20 @@ def merge_keep_first_seen(spark, sf):
     return merge.upsert_keep_first_seen(*_sides(spark, sf), ["symbol", "date"])
 
 
-@query(f"WITH {V.US_BARS} SELECT DISTINCT asset_type, symbol FROM us_bars WHERE day(date) = 15 AND symbol < 'N'")
+@query(f"WITH {V.US_BARS} SELECT DISTINCT asset_type, symbol FROM us_bars WHERE day(date) = 15")
 def merge_changed_actions(spark, sf):
     b = V.us_bars(spark, sf)
-    later = b.withColumn("dividend", F.when((F.col("symbol") < "N") & (F.dayofmonth("date") == 15), 0.75).otherwise(F.col("dividend")))
+    later = b.withColumn("dividend", F.when(F.dayofmonth("date") == 15, 0.75).otherwise(F.col("dividend")))
     return merge.changed_actions(b, later)
 
 
-@query("SELECT symbol, first(name ORDER BY side) AS name, first(source ORDER BY side) AS source FROM (SELECT s_name AS symbol, 'supplier ' || s_suppkey AS name, 'meta' AS source, 0 AS side FROM supplier WHERE s_nationkey < 10 UNION ALL SELECT s_name, NULL, 'files', 1 FROM supplier UNION ALL SELECT c_name, NULL, 'archive', 2 FROM customer) GROUP BY symbol")
+@query("SELECT symbol, first(name ORDER BY side) AS name, first(source ORDER BY side) AS source FROM (SELECT s_name AS symbol, 'supplier ' || s_suppkey AS name, 'meta' AS source, 0 AS side FROM supplier UNION ALL SELECT 'Supplier#' || right(c_name, 9), NULL, 'files', 1 FROM customer UNION ALL SELECT 'Supplier#' || lpad(p_partkey::VARCHAR, 9, '0'), NULL, 'archive', 2 FROM part) GROUP BY symbol")
 def merge_union_first(spark, sf):
-    s, c = V.table(spark, sf, "supplier"), V.table(spark, sf, "customer")
-    meta = s.filter("s_nationkey < 10").select(F.col("s_name").alias("symbol"), F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string")).alias("name"), F.lit("meta").alias("source"))
-    files = s.select(F.col("s_name").alias("symbol"), F.lit(None).cast("string").alias("name"), F.lit("files").alias("source"))
-    archive = c.select(F.col("c_name").alias("symbol"), F.lit(None).cast("string").alias("name"), F.lit("archive").alias("source"))
+    s, c, p = (V.table(spark, sf, t) for t in ("supplier", "customer", "part"))
+    none = F.lit(None).cast("string").alias("name")
+    meta = s.select(F.col("s_name").alias("symbol"), F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string")).alias("name"), F.lit("meta").alias("source"))
+    files = c.select(F.concat(F.lit("Supplier#"), F.right("c_name", F.lit(9))).alias("symbol"), none, F.lit("files").alias("source"))
+    archive = p.select(F.concat(F.lit("Supplier#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("symbol"), none, F.lit("archive").alias("source"))
     return merge.union_first([meta, files, archive], ["symbol"])
 
 
@@ -342,7 +343,7 @@ def merge_union_first(spark, sf):
 def merge_fill_blanks(spark, sf):
     c = V.table(spark, sf, "customer")
     old = c.select(F.col("c_custkey").alias("id"), F.lit("old").alias("name"), F.col("c_nationkey").alias("nation"))
-    new = c.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "new").otherwise("").alias("name"))
+    new = c.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 6 == 0, "new").otherwise("").alias("name"))
     return merge.fill_blanks(old, new, ["id"])
 
 

@@ -242,3 +242,28 @@ def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, sym
     if last_minute is not None:
         rows = rows.filter(m <= last_minute)
     return rows.orderBy(F.desc("trade_time"), "symbol").limit(limit) if limit else rows
+
+
+def digests(spark: SparkSession, path: str) -> DataFrame:
+    """path, bytes and sha256 of every file under ``path``."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def placed_minutes(spark: SparkSession, path: str) -> DataFrame:
+    """All bars of the production tree with their file, their place in it, and ``path_parts``: what the path says of them."""
+    file = F.col("_metadata.file_path")
+    return spark.read.parquet(path).select("*", file.alias("file"), F.col("_metadata.row_index").alias("place"), S.partition_parts(file).alias("path_parts"))
+
+
+def newest_minutes(spark: SparkSession, path: str, symbol: str, frequency: int, rows: int) -> DataFrame:
+    """The last ``rows`` bars of a symbol, newest first; years are opened from the last one on until there are enough."""
+    exchange = symbol.rsplit(".", 1)[-1].lower()
+    own = spark.read.parquet(path).filter((F.col("frequency") == frequency) & (F.col("exchange") == exchange))
+    have = own.filter(F.col("symbol") == symbol.upper())
+    years = [r["year"] for r in own.select(F.year("trade_date").alias("year")).distinct().orderBy(F.desc("year")).collect()]  # partition values only
+    for year in years:
+        part = have.filter(F.col("trade_date") >= F.make_date(F.lit(year), F.lit(1), F.lit(1)))
+        if part.count() >= rows:
+            have = part
+            break
+    return have.orderBy(F.desc("trade_time")).limit(rows)

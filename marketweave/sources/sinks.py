@@ -8,6 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Orders of the products' files.
+ORDERS = {
+    "filings": ["accepted_or_filed", "filing_date", "accession"],
+    "facts": ["available_date", "accepted_at", "filed_date", "accession", "taxonomy", "tag", "unit", "start_date", "end_date", "frame", "value", "row_id"],
+    "standardized": ["symbol", "report_period", "period_type", "available_date", "accession"],
+}
+
+
+def ordered(rows: DataFrame, product: str) -> DataFrame:
+    """Rows of each partition in the product's order; blanks first."""
+    if product == "filings":
+        first = F.coalesce(F.nullif("accepted_at", F.lit("")), F.col("filing_date").cast("string"))
+        return rows.withColumn("accepted_or_filed", first).sortWithinPartitions(*[F.asc_nulls_first(c) for c in ORDERS[product]]).drop("accepted_or_filed")
+    return rows.sortWithinPartitions(*[F.asc_nulls_first(c) for c in ORDERS[product]])
+
+
 def _dynamic(writer):
     return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from marketweave.plans import products  # noqa: F401
 from marketweave.plans import queries as plans
 
 SF = "/root/testdata/sf0.001"
