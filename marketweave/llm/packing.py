@@ -30,7 +30,8 @@ from .common import column, passes
 
 WINDOW = 4096
 END_ID = 2
-MOST_WORDS = 700_000
+#: Words kept by a worker, which outlives its task.
+MOST_WORDS = 200_000
 #: U+0130 is a letter whose lower case is two characters, the second a mark.
 _ODD = re.compile(r"[^\t-\r -~¡-įı-ſ]|<\|")
 
