@@ -34,7 +34,7 @@ TRAIN_ROWS = 24_000
 FEATURES = 3000
 HASHED = 1 << 22
 THRESHOLD = 0.7
-MOST_WORDS = 400_000
+MOST_WORDS = 150_000
 _CLASSES = 64
 # Letters that a symbol may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
