@@ -31,6 +31,7 @@ def op3_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary file has no scores: pieces have those of Zipf and Mandelbrot's law over their rank."""
     import public_tokenizers
 
     from .token_counts import count_tokens

@@ -90,7 +90,11 @@ def prefix_trie(model_file: str) -> PrefixTrie:
 
 
 def count_tokens(documents: DataFrame, model_file: str, text: str = "text") -> DataFrame:
-    """doc_id, n_chars, n_pretokens, n_distinct, n_tokens (long) for every row. Null or blank text has none; rows and ids may repeat; other columns are left out."""
+    """doc_id, n_chars, n_pretokens, n_distinct, n_tokens (long) for every row. Null or blank text has none; rows and ids may repeat; other columns are left out.
+
+    Of cuts with one score the model's first is taken, which does not change the count's meaning. Texts of any length are
+    counted whole. An empty table gives an empty one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = prefix_trie(model_file)
