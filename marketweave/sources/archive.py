@@ -1,7 +1,8 @@
 """Vendor archives: ZIPs of per-symbol Parquet members, nested ZIPs for delisted names, and their inventory.
 
 Archives are listed by Spark and read whole on executors through the binaryFile source, so any store that Spark reads
-will do; a task opens the archives dealt to it one at a time and yields one member's rows at a time.
+will do, and an archive must be under 2 GB; a task opens the archives dealt to it one at a time and yields one member's
+rows at a time.
 """
 
 from __future__ import annotations

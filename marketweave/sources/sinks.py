@@ -42,9 +42,9 @@ def five_minutes(rows: DataFrame, path: str) -> None:
 
 
 def minutes(rows: DataFrame, path: str) -> None:
-    """Minute bars by frequency, exchange and trade_date: zstd, sorted by symbol and time so that symbol statistics skip row groups."""
+    """Minute bars by frequency, exchange and trade_date: zstd, row groups of 65,536 rows, sorted by symbol and time so that symbol statistics skip row groups."""
     keys = ["frequency", "exchange", "trade_date"]
-    _dynamic(rows.repartition(*keys).sortWithinPartitions(*keys, "symbol", "trade_time").write).partitionBy(*keys).option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(path)
+    _dynamic(rows.repartition(*keys).sortWithinPartitions(*keys, "symbol", "trade_time").write).partitionBy(*keys).option("compression", "zstd").option("parquet.block.row.count.limit", 65_536).parquet(path)
 
 
 def by_symbol(rows: DataFrame, path: str, order: list[str], form: str = "csv") -> None:

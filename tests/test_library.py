@@ -307,6 +307,10 @@ def test_sinks(spark, tmp_path):
     assert (m.status, m.failed) == ("completed_with_failures", 1) and sinks.run_manifest(out.filter("false"), "r").first().status == "completed_empty"
     sinks.by_suffix(rows, str(tmp_path / "x.csv.gz"))
     assert spark.read.option("header", True).csv(str(tmp_path / "x.csv.gz")).count() == 2
+    bars = spark.range(70_000).select(F.lit(1).alias("frequency"), F.lit("sz").alias("exchange"), F.lit(D("2026-07-20")).alias("trade_date"), F.col("id").cast("string").alias("symbol"), F.lit("t").alias("trade_time"))
+    sinks.minutes(bars, str(tmp_path / "m"))
+    (file,) = (tmp_path / "m").rglob("*.parquet")
+    assert [pq.ParquetFile(file).metadata.row_group(i).num_rows for i in range(2)] == [65_536, 70_000 - 65_536]
     tree = tmp_path / "tree"
     (tree / "SZ").mkdir(parents=True)
     (tree / "SZ" / "a b.csv").write_text("z\n\na\n")
@@ -322,3 +326,35 @@ def test_search(spark):
     assert [r.symbol for r in search.search(rows).collect()] == ["AAPL", "XAP", "000001.SZ"]
     facts = spark.createDataFrame([("AAPL",)], "symbol string")
     assert {r.symbol for r in search.with_fundamentals(rows, facts, facts).filter("has_fundamentals").collect()} == {"AAPL"}
+
+
+def test_minute_tree_reads_and_product_orders(spark, tmp_path):
+    times = [dt.datetime(2024, 12, 31, 9, 31), dt.datetime(2024, 12, 31, 9, 32), dt.datetime(2025, 1, 2, 9, 31), dt.datetime(2025, 1, 2, 9, 32)]
+    rows = spark.createDataFrame([(1, "sz", t.date(), s, t, float(i)) for s in ("000001.SZ", "000002.SZ") for i, t in enumerate(times)], "frequency int, exchange string, trade_date date, symbol string, trade_time timestamp, close double")
+    path = str(tmp_path / "m")
+    sinks.minutes(rows, path)
+    newest = lambda n: [r.trade_time for r in files.newest_minutes(spark, path, "000001.sz", 1, n).collect()]
+    assert newest(1) == times[:2:-1] and newest(3) == times[:0:-1] and newest(100) == times[::-1] and files.newest_minutes(spark, path, "999999.SZ", 1, 2).count() == 0
+    placed = files.placed_minutes(spark, path).collect()
+    assert all((r.path_parts.frequency, r.path_parts.exchange, r.path_parts.trade_date) == (1, "sz", r.trade_time.date()) for r in placed)
+    by_place = sorted((r.file, r.place, r.symbol, r.trade_time) for r in placed)
+    assert [x[2:] for x in by_place[:4]] == sorted(x[2:] for x in by_place[:4])
+    assert files.read_minutes(spark, path, 1, "2024-01-01", "2025-12-31", limit=2).first().trade_time == times[-1]
+    (tmp_path / "one.bin").write_bytes(b"abc")
+    assert files.digests(spark, str(tmp_path / "one.bin")).first().sha256 == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+    filings = spark.createDataFrame([("b", "", "2024-01-02"), ("a", "2024-01-01T10:00:00Z", "2024-01-01"), ("c", None, "2023-12-31")], "accession string, accepted_at string, filing_date string").coalesce(1)
+    assert [r.accession for r in sinks.ordered(filings, "filings").collect()] == ["c", "a", "b"]
+    keys = spark.createDataFrame([("s", "2024", "ttm", "2", "x"), ("s", "2024", "annual", "2", "x"), ("s", "2023", "ttm", "1", "x")], "symbol string, report_period string, period_type string, available_date string, accession string").coalesce(1)
+    assert [(r.report_period, r.period_type) for r in sinks.ordered(keys, "standardized").collect()] == [("2023", "ttm"), ("2024", "annual"), ("2024", "ttm")]
+
+
+def test_daily_update_replaces_touched_partitions(spark):
+    row = lambda d, s, c: ("SZ", D(d), s, c, "qfq")
+    kind = "exchange string, date date, symbol string, close double, adjust string"
+    old = spark.createDataFrame([row("2026-07-01", "a", 1.0), row("2026-07-20", "a", 1.0), row("2026-07-20", "gone", 1.0)], kind)
+    new = spark.createDataFrame([row("2026-07-01", "a", 9.0), row("2026-07-20", "a", 2.0), row("2026-07-21", "a", 3.0), row("2026-08-21", "a", 4.0)], kind)
+    profile, history, touched = merge.update_daily(old, old, new, "2026-07-31", 5, "2020-01-01")
+    at = lambda df: sorted((str(r.date), r.symbol, r.close) for r in df.collect())
+    assert at(profile) == [("2026-07-01", "a", 1.0), ("2026-07-20", "a", 2.0), ("2026-07-21", "a", 3.0)]
+    assert at(history) == [("2026-07-01", "a", 1.0), ("2026-07-20", "a", 2.0), ("2026-07-20", "gone", 1.0), ("2026-07-21", "a", 3.0)]
+    assert sorted(str(r.date) for r in touched.collect()) == ["2026-07-20", "2026-07-21"]
