@@ -77,8 +77,14 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import manifest
+
+    return manifest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack)
+    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack, op12_merkle)
 }
 
 _OP5 = r"""
@@ -99,4 +105,44 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_
 GROUP BY d.doc_id, s.n
 """
 
-ORACLE: dict[str, str] = {"op5_jaccard_join": _OP5}
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ord({0}[i])::BIGINT)), lambda crc, byte:
+    list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))"""
+_OP12 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_LEAF.format("text")} AS leaf,
+               CASE WHEN xor({_CRC32.format("CAST(doc_id AS VARCHAR)")}, 4294967295) % 3 = 0
+                    THEN {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+        FROM documents)),
+trees AS (
+  SELECT lang, 0 AS level, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM trees WHERE n > 1 GROUP BY lang, level, idx // 8, n),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM trees WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, idx, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY level, idx // 8, n),
+runs AS (
+  SELECT '=' || coalesce('=' || lang, '') AS tree, level, idx // 8 AS run, list(h ORDER BY idx) AS hs FROM trees WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT 'top', level, idx // 8, list(h ORDER BY idx) FROM tops WHERE n > 1 GROUP BY ALL),
+links AS (SELECT t.lang, t.level AS last, s.idx, s.subroot FROM trees t JOIN subroots s ON t.n = 1 AND t.lang IS NOT DISTINCT FROM s.lang),
+climb AS (
+  SELECT l.doc_id, l.leaf, k.subroot, CASE WHEN k.last = 0 THEN 'top' ELSE '=' || coalesce('=' || l.lang, '') END AS tree, k.last, k.idx AS place, 0 AS level,
+         CASE WHEN k.last = 0 THEN k.idx ELSE l.idx END AS idx, coalesce(l.tampered, l.leaf) AS folded, '' AS proof, l.idx AS leaf_idx, l.lang
+  FROM leaves l JOIN links k ON k.lang IS NOT DISTINCT FROM l.lang
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, CASE WHEN c.tree <> 'top' AND c.level + 1 = c.last THEN 'top' ELSE c.tree END, c.last, c.place,
+         CASE WHEN c.tree <> 'top' AND c.level + 1 = c.last THEN 0 ELSE c.level + 1 END, CASE WHEN c.tree <> 'top' AND c.level + 1 = c.last THEN c.place ELSE c.idx // 8 END,
+         sha256(array_to_string(r.hs[: c.idx % 8], '') || c.folded || array_to_string(r.hs[c.idx % 8 + 2 :], '')),
+         c.proof || array_to_string(r.hs[: c.idx % 8], '') || array_to_string(r.hs[c.idx % 8 + 2 :], ''), c.leaf_idx, c.lang
+  FROM climb c JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.idx // 8),
+root AS (SELECT h AS root FROM tops WHERE n = 1),
+done AS (SELECT *, row_number() OVER (PARTITION BY lang, leaf_idx ORDER BY length(proof) DESC, tree = 'top' DESC, level DESC) AS last_step FROM climb)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM done, root WHERE last_step = 1
+"""
+
+ORACLE: dict[str, str] = {"op5_jaccard_join": _OP5, "op12_merkle": _OP12}
