@@ -77,6 +77,12 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import edited
+
+    return edited(_read(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import manifest
 
@@ -84,7 +90,7 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack, op12_merkle)
+    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack, op11_fingerprint, op12_merkle)
 }
 
 _OP5 = r"""
