@@ -89,8 +89,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(_read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack, op11_fingerprint, op12_merkle)
+    f.__name__: f for f in (op1_shard_lookup, op2_line_dedup, op3_media_sniff, op4_trie_tokens, op5_jaccard_join, op6_radix_suffix, op7_toxicity, op8_warc_salvage, op9_decontam, op10_pack, op11_fingerprint, op12_merkle, op13_collocations)
 }
 
 _OP5 = r"""
@@ -151,4 +157,28 @@ done AS (SELECT *, row_number() OVER (PARTITION BY lang, leaf_idx ORDER BY lengt
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM done, root WHERE last_step = 1
 """
 
-ORACLE: dict[str, str] = {"op5_jaccard_join": _OP5, "op12_merkle": _OP12}
+_OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS ws FROM words, range(1, 6) AS x(k) WHERE len(w) >= k),
+freq AS (SELECT lang, k, ws, count(*)::HUGEINT AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::HUGEINT AS n FROM freq WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM freq WHERE a >= 100),
+cuts AS (
+  SELECT o.lang, o.ws, o.a, t.n, l.a AS l, r.a AS r, l.k AS cut, (1000 * o.a * t.n) // (l.a * r.a) AS score
+  FROM often o JOIN totals t ON t.lang = o.lang
+  JOIN often l ON l.lang = o.lang AND l.k < o.k AND l.ws = o.ws[: l.k]
+  JOIN often r ON r.lang = o.lang AND r.k = o.k - l.k AND r.ws = o.ws[l.k + 1 :]
+  WHERE o.k >= 2),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT DISTINCT o.lang, o.ws[i.i : i.i + j.j - 1] AS ws, o.a FROM often o, range(1, 5) AS i(i), range(2, 5) AS j(j) WHERE j.j < o.k AND i.i + j.j - 1 <= o.k),
+kept AS (SELECT b.* FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_parts p WHERE p.lang = b.lang AND p.ws = b.ws AND 100 * p.a >= 100 * b.a)),
+ranked AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, n, score FROM kept)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked) WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op5_jaccard_join": _OP5, "op12_merkle": _OP12, "op13_collocations": _OP13}
