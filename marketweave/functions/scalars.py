@@ -316,11 +316,11 @@ def session_grid(frequency: int, exchange: str = "") -> list[int]:
     return grid
 
 
-def on_grid(minute: Col, frequency: int, exchange: Col) -> Column:
+def on_grid(minute: Col, frequency: int | Column, exchange: Col) -> Column:
     """Whether a bar may end at this minute; arithmetic, no lookup."""
     m, f = _c(minute), F.lit(frequency)
     base = (m == 570) | ((m > 570) & (m <= 690) & ((m - 570) % f == 0)) | ((m > 780) & (m <= 900) & ((m - 780) % f == 0))
-    late = (m > 900) & (m <= 930) & (((m - 900) % f == 0) if frequency < 60 else (m == 930))
+    late = (m > 900) & (m <= 930) & F.when(f < 60, (m - 900) % f == 0).otherwise(m == 930)
     return base | (late & (F.upper(_c(exchange)) == "BJ"))
 
 

@@ -118,7 +118,7 @@ def _any_null(columns: list[str]) -> Column:
     return F.array_contains(F.array(*[F.col(c).isNull() for c in columns]), True)
 
 
-def canonical_checks(frequency: int) -> list[Check]:
+def canonical_checks(frequency: int | Column) -> list[Check]:
     """Predicates of a canonical bar; ``_copies`` counts the rows of its key."""
     exchange = F.substring_index("symbol", ".", -1)
     key = F.concat_ws(" ", "symbol", F.col("trade_time").cast("string"))
@@ -195,8 +195,8 @@ def partition_differences(built: DataFrame, base: int = 1) -> DataFrame:
     return both.groupBy("frequency").agg(F.count_if(F.col("in_derived").isNull()).alias("missing"), F.count_if(F.col("in_base").isNull()).alias("extra"))
 
 
-def raw_checks(frequency: int) -> list[Check]:
-    """Row checks of raw vendor frames (ts_code, freq, trade_time, prices, vol, amount; ``member`` is the archive member's symbol)."""
+def raw_checks(frequency: int | Column) -> list[Check]:
+    """Row checks of raw vendor frames (ts_code, freq, trade_time, prices, vol, amount; ``member`` is the archive member's symbol); ``duplicate_timestamp`` is counted by key, apart from these."""
     exchange = F.substring_index("member", ".", -1)
     minute = S.minute_of_day("trade_time")
     late = (F.upper(exchange) == "BJ") & minute.between(901, 930)
@@ -205,8 +205,7 @@ def raw_checks(frequency: int) -> list[Check]:
     return [
         Check("null_row", _any_null(["ts_code", "freq", "trade_time", *PRICES, "vol", "amount"])),
         Check("symbol_mismatch", F.col("ts_code") != F.col("member")),
-        Check("frequency_tag_mismatch", F.col("freq") != f"{frequency}min"),
-        Check("duplicate_timestamp", F.col("_place") > 1, example=key),
+        Check("frequency_tag_mismatch", F.col("freq") != F.concat(F.lit(frequency).cast("string"), F.lit("min"))),
         Check("invalid_ohlc", bad_ohlc(positive=False), example=key),
         Check("nonpositive_price", F.least(*PRICES) <= 0, example=key),
         Check("negative_volume", v & ~late, example=key),
@@ -218,10 +217,11 @@ def raw_checks(frequency: int) -> list[Check]:
 
 def raw_findings(frames: DataFrame, frequency: int) -> DataFrame:
     """All checks of raw frames by member: row checks, bars per day, days without volume."""
-    from pyspark.sql import Window
-
-    placed = frames.withColumn("_place", F.row_number().over(Window.partitionBy("member", "trade_time").orderBy(F.lit(0))))
-    rows = run_checks(placed, raw_checks(frequency), ["member"])
+    rows = run_checks(frames, raw_checks(frequency), ["member"])
+    keys = frames.groupBy("member", "trade_time").agg(F.count("*").alias("n"))
+    again = keys.groupBy("member").agg(F.sum(F.col("n") - 1).alias("count"), F.sum("n").alias("total"), F.min(F.when(F.col("n") > 1, F.col("trade_time"))).cast("string").alias("example")).filter("count > 0")
+    text = F.concat(F.col("count").cast("string"), F.lit(" of "), F.col("total").cast("string"))
+    rows = rows.unionByName(again.select(F.lit("error").alias("severity"), F.lit("duplicate_timestamp").alias("check"), F.col("member").alias("scope"), "count", "total", F.lit(None).cast("double").alias("max_abs_diff"), "example", text.alias("detail")))
     days = frames.groupBy("member", F.to_date("trade_time").alias("date")).agg(F.count("*").alias("bars"), F.sum("vol").alias("vol"))
     want = S.bars_per_day(F.lit(frequency), F.substring_index("member", ".", -1))
     by_day = [Check("unexpected_bars_per_day", F.col("bars") != want, example=F.concat_ws(":", F.col("date").cast("string"), F.col("bars").cast("string"))), Check("zero_volume_day", F.col("vol") == 0, "info", example=F.col("date"))]

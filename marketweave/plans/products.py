@@ -372,6 +372,7 @@ def min_build_evidence(spark, sf):
 @query(f"""WITH {_KEPT}, parts AS (SELECT frequency, symbol, trade_date, count(*) AS n FROM built GROUP BY ALL)
 SELECT '15/' || symbol || '/' || trade_date AS scope, 'derived_missing_key' AS "check", n AS count FROM parts WHERE frequency = 15 AND day(trade_date) = 9
 UNION ALL SELECT '30/' || symbol || '/' || trade_date, 'derived_close_mismatch', n FROM parts WHERE frequency = 30 AND day(trade_date) = 5
+UNION ALL SELECT '30/' || symbol || '/' || trade_date, 'invalid_ohlc', count(*) FROM built WHERE frequency = 30 AND day(trade_date) = 5 AND (high < greatest(open, close + 0.5) OR low > least(open, close + 0.5)) GROUP BY symbol, trade_date
 UNION ALL SELECT '15m', 'frequency_partition_set', count(*) FROM parts WHERE frequency = 15 AND day(trade_date) = 9 HAVING count(*) > 0
 UNION ALL SELECT unnest(['5m', '15m']), 'manifest_statistics', 1""")
 def min_production(spark, sf):
@@ -381,7 +382,7 @@ def min_production(spark, sf):
     stored = whole.filter(~((f == 15) & (day == 9))).withColumn("close", F.when((f == 30) & (day == 5), F.col("close") + 0.5).otherwise(F.col("close")))
     told = minute.build_statistics(whole).withColumn("rows", F.col("rows") + (f == 5).cast("int"))
     found = minute_audit.production(stored, told, whole_sessions=False)
-    return found.filter("`check` not in ('invalid_ohlc')").select("scope", "check", "count")
+    return found.select("scope", "check", "count")
 
 
 def _vendor(spark, sf, rows: DataFrame, frequency: int) -> DataFrame:
@@ -396,10 +397,13 @@ def min_raw_findings(spark, sf):
 
 
 @query(f"""WITH {_ROLLED}, want AS (SELECT * FROM rolled WHERE frequency = 30), n AS (SELECT symbol, count(*) FILTER (day(trade_time) = 3) AS gone, count(*) FILTER (day(trade_time) = 5) AS moved FROM want GROUP BY symbol),
-d AS (SELECT symbol, trade_time::DATE AS d FROM minutes GROUP BY ALL), k AS (SELECT symbol, count(*) FILTER (day(d) = 3) AS gone, count(*) FILTER (day(d) = 5) AS moved FROM d GROUP BY symbol)
+d AS (SELECT symbol, trade_time::DATE AS d FROM minutes GROUP BY ALL), k AS (SELECT symbol, count(*) FILTER (day(d) = 3) AS gone, count(*) FILTER (day(d) = 5) AS moved FROM d GROUP BY symbol),
+o AS (SELECT symbol, count(*) AS bad FROM want WHERE day(trade_time) = 5 AND (high < greatest(open, close + 0.25) OR low > least(open, close + 0.25)) GROUP BY symbol),
+b AS (SELECT '1' AS frequency, symbol, trade_time::DATE AS d, count(*) AS n, 241 AS full_day FROM minutes GROUP BY ALL UNION ALL SELECT '30', symbol, trade_time::DATE, count(*), 9 FROM want WHERE day(trade_time) <> 3 GROUP BY ALL)
 SELECT * FROM (SELECT '30' AS frequency, symbol AS scope, unnest(['bar_missing_target', 'bar_close_mismatch']) AS "check", unnest([gone, moved]) AS count FROM n
   UNION ALL SELECT '30', symbol, unnest(['daily_missing_target', 'daily_close_mismatch']), unnest([gone, moved]) FROM k
-  UNION ALL SELECT 'daily', upper(symbol), unnest(['reference_missing_target', 'reference_open_mismatch']), unnest([gone, moved]) FROM k) WHERE count > 0""")
+  UNION ALL SELECT 'daily', upper(symbol), unnest(['reference_missing_target', 'reference_open_mismatch']), unnest([gone, moved]) FROM k
+  UNION ALL SELECT '30', symbol, 'invalid_ohlc', bad FROM o UNION ALL SELECT frequency, symbol, 'unexpected_bars_per_day', count(*) FILTER (n <> full_day) FROM b GROUP BY frequency, symbol) WHERE count > 0""")
 def min_raw_audit(spark, sf):
     """Vendor 30-minute bars without the third of a month and with other closes on the fifth, against 1-minute ones; daily bars likewise, with other opens."""
     one = _volume(V.minutes(spark, sf))
@@ -407,7 +411,7 @@ def min_raw_audit(spark, sf):
     half = bars.session_rollup(one, (30,)).filter(day != 3).withColumn("close", F.when(day == 5, F.col("close") + 0.25).otherwise(F.col("close")))
     reference = bars.daily_rollup(one).filter(F.dayofmonth("date") != 3).withColumn("open", F.when(F.dayofmonth("date") == 5, F.col("open") + 0.25).otherwise(F.col("open")))
     found = minute_audit.raw({1: _vendor(spark, sf, one, 1), 30: _vendor(spark, sf, half, 30)}, reference)
-    return found.filter(F.col("check").rlike("^(bar|daily|reference)_.*(target|mismatch)$") & ~F.col("check").rlike("high|low")).select("frequency", "scope", "check", "count")
+    return found.select("frequency", "scope", "check", "count")
 
 
 @query(f"WITH {V.MINUTES}, d AS (SELECT symbol AS member, trade_time::DATE AS date FROM minutes GROUP BY ALL) SELECT upper(member) AS symbol, date FROM d WHERE day(date) % 2 = 0")
