@@ -7,8 +7,8 @@ the stripe of a phrase of k words has the counts of the phrases of k + 1 words t
 A length is counted after the one below it: a phrase can have 100 occurrences only if both phrases that it has without its
 last and its first word do, so tasks leave out all others. They know these by a Bloom filter of a bounded size; what it lets
 through by mistake is counted and dropped, so results do not depend on it. A task adds up stripes of its own and sends each
-as one row of words and counts; stripes of short prefixes, which have many words, are cut in slices by the next word. Rows of
-one prefix and slice meet and are added word by word.
+as one row, its words and its counts as two texts; the stripe of the empty prefix, and those of the most frequent prefixes, are
+cut in slices by the next word. Rows of one prefix and slice meet and are added word by word.
 
 From the merged stripes come the extensions (entries of 100 or more), the frequencies of both parts of every cut (carried
 along from prefix to extension, and from the phrase without its first word), and what subsumes a phrase: the largest entry of
@@ -27,16 +27,17 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import column, join_checked, passes, raw, settle
+from .common import BROADCAST_BYTES, column, join_checked, passes, raw, settle
 from .hashing import LOWER, mix, prefix_sums, span
 
 LEAST, LONGEST, FIRST = 100, 5, 2000
-#: Slices of a stripe, by number of words of the prefix.
-SLICES = [256, 16, 4, 1, 1]
+#: Slices of the stripe of the empty prefix. Of other prefixes so many of the most frequent are cut in slices: one for each so many occurrences, and at most.
+SLICES, HOT, HOT_EACH, HOT_MOST = 256, 4096, 1 << 16, 1 << 12
 #: Entries that a task holds before it sends its stripes.
 HELD = 1_000_000
 #: Bits of the filter: so many for each phrase, and at most (32 MB).
@@ -49,7 +50,7 @@ _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _BREAK.copy()
 _GAP[[32, 9]] = True
-_STRIPES = "lang string, prefix string, slice int, words array<string>, counts array<long>"
+_STRIPES = "lang string, prefix string, slice int, words string, counts string"
 
 
 def _extend(key: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -157,13 +158,23 @@ class _Held:
             take = pa.array(order[rows[0] : end])
             yield pa.RecordBatch.from_arrays([
                 lang.take(own).cast(pa.string()), prefix.take(own).cast(pa.string()), pa.array(s[rows], type=pa.int32()),
-                pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), word.take(take).cast(pa.string())),
-                pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), pa.array(count[order[rows[0] : end]])),
+                pc.binary_join(pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), word.take(take).cast(pa.string())), " "),
+                pc.binary_join(pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), pa.array(count[order[rows[0] : end]]).cast(pa.string())), " "),
             ], names=["lang", "prefix", "slice", "words", "counts"])
 
 
-def _mapper(k: int, known: object) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Stripes of the prefixes of k words; ``known`` is a broadcast filter of the phrases of k words that are frequent (none for k = 0)."""
+def _mapper(k: int, known: object, hot: dict[int, int] | None = None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Stripes of the prefixes of k words; ``known`` is a broadcast filter of the phrases of k words that are frequent (none for k = 0), ``hot`` tells the slices of those that have more than one."""
+    hot_keys = np.array(sorted(hot or {}), dtype=np.uint64)
+    hot_slices = np.array([(hot or {})[x] for x in hot_keys.tolist()], dtype=np.uint64)
+
+    def slices_of(prefix: np.ndarray) -> np.ndarray:
+        if not k:
+            return np.full(len(prefix), SLICES, dtype=np.uint64)
+        if not len(hot_keys):
+            return np.ones(len(prefix), dtype=np.uint64)
+        at = np.minimum(np.searchsorted(hot_keys, prefix), len(hot_keys) - 1)
+        return np.where(hot_keys[at] == prefix, hot_slices[at], _U(1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = _Held(), {}
@@ -191,7 +202,7 @@ def _mapper(k: int, known: object) -> Callable[[Iterable[pa.RecordBatch]], Itera
             of = words.text[at]
             before = keys[k - 1][at] if k else hashes[codes][of]
             lang = pa.array(names, type=pa.large_string()).take(pa.array(codes[of]))
-            slices = pa.array((words.hash[at + k] % _U(SLICES[k])).astype(np.int32))
+            slices = pa.array((words.hash[at + k] % slices_of(before)).astype(np.int32))
             if held.add(key, count.astype(np.int64), pa.array(before), slices, lang, prefix, word) > HELD:
                 yield from held.stripes()
         yield from held.stripes()
@@ -232,7 +243,18 @@ def _filter(phrases: DataFrame) -> object:
 def merged(stripes: DataFrame) -> DataFrame:
     """Stripes of all tasks added word by word: lang, prefix, word, a. What meets is one slice of one prefix."""
     met = stripes.repartition("lang", "prefix", "slice")
-    return met.select("lang", "prefix", "slice", F.inline(F.arrays_zip("words", "counts"))).groupBy("lang", "prefix", "slice", "words").agg(F.sum("counts").alias("a")).select("lang", "prefix", F.col("words").alias("word"), "a")
+    entries = F.arrays_zip(F.split("words", " ").alias("word"), F.split("counts", " ").cast("array<bigint>").alias("n"))
+    return met.select("lang", "prefix", "slice", F.inline(entries)).groupBy("lang", "prefix", "slice", "word").agg(F.sum("n").alias("a")).select("lang", "prefix", "word", "a")
+
+
+def _hot(phrases: DataFrame) -> dict[int, int]:
+    """Slices of the most frequent phrases by their hash, ``HOT`` at most; the others have one each, and at most 1 in ``HOT`` of all words behind them."""
+    rows = phrases.filter(F.col("a") >= HOT_EACH).orderBy(F.desc("a")).limit(HOT).select("lang", "phrase", "a").toArrow()
+    out: dict[int, int] = {}
+    for batch in rows.to_batches():
+        keys = np.concatenate([x.column(0).to_numpy(zero_copy_only=False) for x in _phrase_keys([batch])])
+        out |= dict(zip(keys.view(np.uint64).tolist(), (min(HOT_MOST, 1 + a // HOT_EACH) for a in batch.column("a").to_pylist()), strict=True))
+    return out
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -250,7 +272,7 @@ def phrases(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     out = [settle(words.filter(F.col("a") >= LEAST).select("lang", F.col("word").alias("phrase"), "a", none.alias("lefts"), none.alias("rights")), "phrases1")]
     for k in range(1, LONGEST):
         known = _filter(out[-1])
-        found = settle(merged(rows.mapInArrow(_mapper(k, known), _STRIPES)).filter(F.col("a") >= LEAST).select(
+        found = settle(merged(rows.mapInArrow(_mapper(k, known, _hot(out[-1])), _STRIPES)).filter(F.col("a") >= LEAST).select(
             "lang", F.concat_ws(" ", "prefix", "word").alias("phrase"), "a", "prefix", F.when(F.lit(k == 1), F.col("word")).otherwise(F.concat_ws(" ", F.expr("substring(prefix, locate(' ', prefix) + 1)"), "word")).alias("suffix")), f"stripes{k}")
         known.destroy()
         below = out[-1]
@@ -261,8 +283,9 @@ def phrases(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def _joined(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Join with settled ``keys``, broadcast if they are few as counted, by a shuffle beyond."""
-    few = keys.count() <= 100_000
+    """Join with settled ``keys`` (texts and counts), broadcast if their measured bytes are few, by a shuffle beyond."""
+    size = sum((F.octet_length(c) if t == "string" else 8 * F.size(c) for c, t in keys.dtypes), F.lit(64))
+    few = keys.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0] <= BROADCAST_BYTES
     return rows.join(F.broadcast(keys) if few else keys, on)
 
 

@@ -86,6 +86,14 @@ def test_filter_that_lets_all_through(spark, monkeypatch):
     assert plain(co.collocations(spark.createDataFrame(rows, "text string, lang string"))) == brute(rows, 3)
 
 
+def test_hot_prefixes_are_cut_alike(spark, monkeypatch):
+    """Stripes of frequent prefixes in slices have the same sums."""
+    monkeypatch.setattr(co, "LEAST", 3)
+    monkeypatch.setattr(co, "HOT_EACH", 5)
+    rows = made(9, 120, 4)
+    assert plain(co.collocations(spark.createDataFrame(rows, "text string, lang string").repartition(5))) == brute(rows, 3)
+
+
 def test_stripes_sent_early(monkeypatch):
     """A task that may hold few entries sends more stripes with the same sums."""
     rows = made(7, 80, 20)
@@ -96,7 +104,7 @@ def test_stripes_sent_early(monkeypatch):
         total = Counter()
         for out in co._mapper(0, None)([batch.slice(i, 10) for i in range(0, 80, 10)]):
             for r in out.to_pylist():
-                total.update({(r["lang"], r["prefix"], w): c for w, c in zip(r["words"], r["counts"], strict=True)})
+                total.update({(r["lang"], r["prefix"], w): int(c) for w, c in zip(r["words"].split(" "), r["counts"].split(" "), strict=True)})
         sums.append(total)
     assert sums[0] == sums[1] and sum(sums[0].values()) > 1000
 
