@@ -226,8 +226,11 @@ def five_minute(rows: DataFrame, symbol: Column | str, exchange: Column | str, a
     return rows.select(as_col(symbol).alias("symbol"), time.alias("trade_time"), F.to_date(time).alias("trade_date"), as_col(exchange).alias("exchange"), *number, F.lit(adjust).alias("adjust"))
 
 
-def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, symbols: list[str] | None = None, exchange: str | None = None, first_minute: int | None = None, last_minute: int | None = None, limit: int | None = None) -> DataFrame:
-    """Bars of the production tree (partitioned by frequency, exchange, trade_date). Partition columns prune; symbol and time reach the Parquet filters. With a limit the newest bars come first. The exchange follows from the symbols; another one is an error."""
+def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, symbols: list[str] | None = None, exchange: str | None = None, first_minute: int | None = None, last_minute: int | None = None, limit: int | None = None, strict: bool = False) -> DataFrame:
+    """Bars of the production tree (partitioned by frequency, exchange, trade_date). Partition columns prune; symbol and time reach the Parquet filters. With a limit the newest bars come first. The exchange follows from the symbols; another one is an error.
+
+    ``strict``: the footers of the partitions read are looked at first; nulls, other columns or types than the product's, and files that cannot be read raise.
+    """
     suffixes = sorted({s.rsplit(".", 1)[-1].lower() for s in symbols or []})
     if exchange and suffixes and suffixes != [exchange.lower()]:
         raise ValueError(f"symbols of {suffixes} do not belong to {exchange}")
@@ -236,6 +239,14 @@ def read_minutes(spark: SparkSession, path: str, frequency: int, start, end, sym
         rows = rows.filter(F.col("exchange").isin(*(suffixes or [exchange.lower()])))
     if symbols:
         rows = rows.filter(F.col("symbol").isin(*[s.upper() for s in symbols]))
+    if strict:
+        from . import footers
+
+        part = F.col("part")
+        chosen = footers.scan(spark, path).withColumn("part", S.partition_parts("path")).filter((part["frequency"] == frequency) & part["trade_date"].between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        if suffixes or exchange:
+            chosen = chosen.filter(part["exchange"].isin(*(suffixes or [exchange.lower()])))
+        footers.require(chosen.drop("part"), path)
     m = S.minute_of_day("trade_time")
     if first_minute is not None:
         rows = rows.filter(m >= first_minute)
