@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from ..settled import settle
+from ..sources import commits
 from .pit import prior_price
 
 PRICES = ["open", "high", "low", "close"]
@@ -81,71 +85,117 @@ def latest_dates(profile: DataFrame, exchanges: list[str], count: int) -> DataFr
     return whole
 
 
-def manifest(profile: DataFrame, level: str = "PASS") -> DataFrame:
-    """One row: snapshot_id (hash of the sorted partition digests), as_of, partitions, rows, level and the partitions."""
+def identity(parts: DataFrame, level: str = "PASS") -> DataFrame:
+    """One row: snapshot_id, level, as_of, partitions and rows of partition digests. The id is a hash over the years' hashes, and these over their sorted partitions, so no task sees all of them."""
     if level not in ("PASS", "RESEARCH_ONLY"):
         raise ValueError(f"unknown level {level}")
-    parts = partition_digest(profile)
-    listed = F.sort_array(F.collect_list(F.struct("exchange", "date", "rows", "digest")))
-    out = parts.agg(listed.alias("parts"), F.max("date").alias("as_of"), F.sum("rows").alias("rows"), F.count("*").alias("partitions"))
-    identity = F.sha2(F.concat(F.lit(level), F.to_json("parts")), 256)
-    return out.select(identity.alias("snapshot_id"), F.lit(level).alias("level"), "as_of", "partitions", "rows", "parts")
+    line = F.concat_ws(":", "exchange", F.date_format("date", "yyyy-MM-dd"), F.col("rows").cast("string"), "digest")
+    years = parts.groupBy(F.date_format("date", "yyyy").alias("year")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "|"), 256).alias("digest"), F.max("date").alias("as_of"), F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
+    listed = F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "year", "digest"))), "|")
+    out = years.agg(listed.alias("years"), F.max("as_of").alias("as_of"), F.sum("partitions").alias("partitions"), F.sum("rows").alias("rows"))
+    return out.select(F.sha2(F.concat(F.lit(level), F.lit("|"), "years"), 256).alias("snapshot_id"), F.lit(level).alias("level"), "as_of", "partitions", "rows")
+
+
+def manifest(profile: DataFrame, level: str = "PASS", columns: list[str] | None = None) -> DataFrame:
+    """``identity`` of a profile's partitions by ``partition_digest``."""
+    return identity(partition_digest(profile, columns), level)
+
+
+def _address() -> Column:
+    """Where a partition is stored: a hash of its exchange, date and digest."""
+    return F.sha2(F.concat_ws(":", "exchange", F.date_format("date", "yyyy-MM-dd"), "digest"), 256)
 
 
 def publish(profile: DataFrame, path: str, exchanges: list[str], level: str = "PASS") -> str:
-    """Write the rows once to a staging folder, gate and digest what is there, then give it its snapshot id and append the manifest; the same content again leaves all as it is."""
+    """Publish a profile as a snapshot: a list of partitions, each of which is stored once, under its content's address.
+
+    Partitions that some snapshot has are neither written nor gated again. The others are written aside, gated and digested
+    as they stand there, and moved to their addresses; then the list is written, and a numbered commit makes it visible. A
+    partition that another writer stored meanwhile is the same one. The same content again leaves all as it is.
+    """
     spark = profile.sparkSession
+    parts = settle(partition_digest(profile).withColumn("address", _address()), "digests")
+    lacking = parts.groupBy("date").agg(F.countDistinct("exchange").alias("n")).filter(F.col("n") < len(exchanges)).take(1)
+    if lacking:
+        raise Blocked(f"an exchange is missing on {lacking[0]['date']}")
+    found = identity(parts, level).first()
+    snapshot = found["snapshot_id"]
+    listed = f"{path}/partitions/snapshot_id={snapshot}"
+    if _committed(spark, path, snapshot) is not None:
+        return snapshot
+    stored = spark.createDataFrame([(n.removeprefix("address="),) for n in commits.names(spark, f"{path}/parts") if n.startswith("address=")], "address string")
+    fresh = settle(parts.join(stored, "address", "left_anti"), "fresh")
     staged = f"{path}/staging/{uuid.uuid4().hex}"
-    profile.repartition(*KEY).write.partitionBy(*KEY).parquet(staged)
-    rows = spark.read.schema(profile.schema).parquet(staged).select(*profile.columns)
-    folder = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
-    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        bad = violations(rows).take(1)
-        if bad:
-            raise Blocked(f"violations, for example {bad[0].asDict()}")
-        lacking = rows.groupBy("date").agg(F.countDistinct("exchange").alias("n")).filter(F.col("n") < len(exchanges)).take(1)
-        if lacking:
-            raise Blocked(f"an exchange is missing on {lacking[0]['date']}")
-        found = manifest(rows, level)
-        whole = found.first()
-        snapshot = whole["snapshot_id"]
-        if not _known(spark, path, snapshot):
-            spark.createDataFrame([whole], found.schema).select(F.inline("parts")).write.mode("overwrite").parquet(f"{path}/partitions/snapshot_id={snapshot}")
-            files.mkdirs(folder(f"{path}/data"))
-            files.delete(folder(f"{path}/data/snapshot_id={snapshot}"), True)  # left by a publication that did not end
-            if not files.rename(folder(staged), folder(f"{path}/data/snapshot_id={snapshot}")):
-                raise OSError(f"{staged} could not be renamed")
-            spark.createDataFrame([whole], found.schema).drop("parts").withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/manifest")
+        if not fresh.isEmpty():
+            rows = profile.join(fresh.select(*KEY, "address"), KEY)
+            rows.repartition("address").write.partitionBy("address").parquet(staged)
+            there = spark.read.schema(T.StructType([*profile.schema.fields, T.StructField("address", T.StringType())])).parquet(staged)
+            if bad := violations(there.drop("address")).take(1):
+                raise Blocked(f"violations, for example {bad[0].asDict()}")
+            now = partition_digest(there.drop("address")).select(_address().alias("address"))
+            if not now.exceptAll(fresh.select("address")).isEmpty() or not fresh.select("address").exceptAll(now).isEmpty():
+                raise OSError("the profile changed while it was written")
+            for name in commits.names(spark, staged):
+                if name.startswith("address="):
+                    commits.rename(spark, f"{staged}/{name}", f"{path}/parts/{name}")
+        parts.repartition(1).sortWithinPartitions(*KEY).write.mode("overwrite").parquet(listed)
+        told = {"snapshot_id": snapshot, "level": level, "as_of": str(found["as_of"]), "partitions": found["partitions"], "rows": found["rows"], "schema": profile.schema.json(), "exchanges": sorted(exchanges)}
+        commits.commit(spark, f"{path}/_log", lambda number, before: told)
         return snapshot
     finally:
-        files.delete(folder(staged), True)
+        commits.delete(spark, staged)
 
 
-def _known(spark: SparkSession, path: str, snapshot: str) -> bool:
-    try:
-        return not spark.read.parquet(f"{path}/manifest").filter(F.col("snapshot_id") == snapshot).isEmpty()
-    except Exception as e:  # no manifest yet
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise
+def _committed(spark: SparkSession, path: str, snapshot: str) -> dict | None:
+    """The first commit of a snapshot; the log has one small file for each publication."""
+    for n in range(1, commits.last(spark, f"{path}/_log")[0] + 1):
+        if (content := commits.read(spark, f"{path}/_log", n))["snapshot_id"] == snapshot:
+            return content
+    return None
+
+
+def listed(spark: SparkSession, path: str, snapshot: str | None = None) -> tuple[dict, DataFrame]:
+    """What was committed of a snapshot (default: the last one), and its partitions: exchange, date, rows, digest, address."""
+    told = commits.last(spark, f"{path}/_log")[1] if snapshot is None else _committed(spark, path, snapshot)
+    if told is None:
+        raise KeyError(f"no snapshot {snapshot or ''} in {path}")
+    return told, spark.read.schema("exchange string, date date, rows long, digest string, address string").parquet(f"{path}/partitions/snapshot_id={told['snapshot_id']}")
 
 
 def resolve(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
     """Rows of a pinned snapshot, or of the one published last."""
-    if snapshot is None:
-        last = spark.read.parquet(f"{path}/manifest").orderBy(F.desc("published_at"), F.desc("snapshot_id")).first()
-        snapshot = last["snapshot_id"]
-    return spark.read.parquet(f"{path}/data/snapshot_id={snapshot}")
+    told, parts = listed(spark, path, snapshot)
+    there = set(commits.names(spark, f"{path}/parts"))
+    folders = [f"{path}/parts/address={r['address']}" for r in parts.select("address").collect() if f"address={r['address']}" in there]
+    schema = T.StructType.fromJson(json.loads(told["schema"]))
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def verify(spark: SparkSession, path: str, snapshot: str) -> DataFrame:
     """Partitions whose rows or digest differ from the manifest, or that only one side has; empty if all is well."""
-    stored = spark.read.parquet(f"{path}/partitions/snapshot_id={snapshot}").select(*KEY, F.col("rows").alias("want_rows"), F.col("digest").alias("want_digest"))
+    stored = listed(spark, path, snapshot)[1].select(*KEY, F.col("rows").alias("want_rows"), F.col("digest").alias("want_digest"))
     now = partition_digest(resolve(spark, path, snapshot)).select(F.col("exchange").cast("string").alias("exchange"), F.col("date").cast("date").alias("date"), "rows", "digest")
     return stored.join(now, KEY, "full_outer").filter(~F.col("rows").eqNullSafe(F.col("want_rows")) | ~F.col("digest").eqNullSafe(F.col("want_digest")))
 
 
+def validate_manifest(spark: SparkSession, path: str, snapshot: str) -> DataFrame:
+    """Findings of a stored manifest, without reading rows: an id that its partitions do not give, other counts or dates than committed, repeated partitions, dates that lack an exchange, addresses that are not their content's, and partitions that are not stored."""
+    told, parts = listed(spark, path, snapshot)
+    one = lambda rows, check, scope, detail: rows.select(F.lit("error").alias("severity"), F.lit(check).alias("check"), scope.cast("string").alias("scope"), detail.cast("string").alias("detail"))
+    now = identity(parts, told["level"])
+    out = one(now.filter(F.col("snapshot_id") != snapshot), "snapshot_id", F.lit(snapshot), F.col("snapshot_id"))
+    for c in ("partitions", "rows", "as_of"):
+        out = out.unionByName(one(now.filter(~F.col(c).cast("string").eqNullSafe(F.lit(str(told[c])))), c, F.lit(snapshot), F.concat(F.lit(f"{told[c]} committed, "), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(" listed"))))
+    key = F.concat_ws("/", "exchange", F.col("date").cast("string"))
+    out = out.unionByName(one(parts.groupBy(*KEY).count().filter("count > 1"), "duplicate_partition", key, F.col("count")))
+    dates = parts.groupBy("date").agg(F.array_join(F.array_except(F.array(*map(F.lit, told["exchanges"])), F.collect_set("exchange")), ",").alias("lacking"))
+    out = out.unionByName(one(dates.filter("lacking <> ''"), "incomplete_date", F.col("date"), F.col("lacking")))
+    out = out.unionByName(one(parts.filter(F.col("address") != _address()), "address", key, F.col("address")))
+    stored = spark.createDataFrame([(n.removeprefix("address="),) for n in commits.names(spark, f"{path}/parts") if n.startswith("address=")], "address string")
+    return out.unionByName(one(parts.join(stored, "address", "left_anti"), "missing_partition", key, F.col("address")))
+
+
 def evidence_issues(partitions: DataFrame, evidence: DataFrame) -> DataFrame:
     """Partitions (exchange, date, evidence_hash) whose run (hash, exchange, start_date, end_date, status, failed) is absent, not completed, has failures, or does not cover them."""
     e = evidence.select(F.col("hash").alias("evidence_hash"), F.col("exchange").alias("e_exchange"), "start_date", "end_date", "status", "failed")

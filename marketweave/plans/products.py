@@ -9,7 +9,7 @@ from ..functions import scalars as S
 from ..operators import bars, concepts, financial_audit, financials, findings, merge, minute, minute_audit, pit, quality, reference, search, sec, snapshot
 from ..sources import sinks
 from . import views as V
-from .queries import _BROKEN, _CODES, _REPAIRED, _ROLLED, _broken, _codes, _facts, _volume, query
+from .queries import _BROKEN, _CODES, _REPAIRED, _ROLLED, _TEXT, _broken, _codes, _facts, _volume, query
 
 # -- scalar functions
 
@@ -543,9 +543,11 @@ def snap_repair_suspended(spark, sf):
     return snapshot.repair_suspended(blank).select("exchange", "symbol", "date", "close", "preclose", "backfill")
 
 
-@query(f"WITH {V.PROFILE} SELECT 'PASS' AS level, max(date) AS as_of, count(DISTINCT (exchange, date)) AS partitions, count(*) AS rows FROM profile")
+@query(f"""WITH {V.PROFILE}, d AS (SELECT exchange, date, count(*) AS rows, sha256(count(*) || ':' || sum(('0x' || substr(md5({_TEXT}), 1, 15))::BIGINT::DECIMAL(38,0))) AS digest FROM profile GROUP BY 1, 2),
+y AS (SELECT strftime(date, '%Y') AS year, sha256(string_agg(line, '|' ORDER BY line)) AS digest FROM (SELECT date, exchange || ':' || strftime(date, '%Y-%m-%d') || ':' || rows || ':' || digest AS line FROM d) GROUP BY 1)
+SELECT (SELECT sha256('PASS|' || string_agg(year || ':' || digest, '|' ORDER BY year)) FROM y) AS snapshot_id, 'PASS' AS level, max(date) AS as_of, count(*) AS partitions, sum(rows)::BIGINT AS rows FROM d""")
 def snap_manifest(spark, sf):
-    return snapshot.manifest(V.profile(spark, sf)).select("level", "as_of", "partitions", "rows")
+    return snapshot.manifest(V.profile(spark, sf), columns=["symbol", "trade_status", "is_st", "adjust"]).select("snapshot_id", "level", "as_of", "partitions", "rows")
 
 
 @query("""WITH p AS (SELECT DISTINCT l_returnflag AS exchange, l_shipdate::DATE AS date FROM lineitem) SELECT exchange, date, CASE WHEN day(date) = 1 THEN 'missing_evidence' WHEN day(date) = 2 THEN 'not_completed' WHEN day(date) = 3 THEN 'failures' WHEN day(date) = 4 THEN 'other_exchange' ELSE 'date_not_covered' END AS issue FROM p WHERE day(date) <= 5""")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import commits
 
 #: Orders of the products' files.
 ORDERS = {
@@ -63,19 +65,22 @@ def text_lists(rows: DataFrame) -> DataFrame:
 
 
 def build(tables: dict[str, DataFrame], path: str) -> str:
-    """Several tables under one build id, then one manifest row: readers that go by the manifest see all of them or none."""
+    """Several tables under one build id, then one numbered commit: readers that go by the commits see all of them or none, and of two writers at once both builds, in the order of their numbers."""
     spark = next(iter(tables.values())).sparkSession
     build_id = uuid.uuid4().hex
     for name, rows in tables.items():
         rows.write.parquet(f"{path}/{name}/build_id={build_id}")
-    spark.createDataFrame([(build_id, sorted(tables))], "build_id string, tables array<string>").withColumn("built_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+    at = dt.datetime.now(dt.timezone.utc).isoformat()
+    commits.commit(spark, f"{path}/_log", lambda number, before: {"build_id": build_id, "tables": sorted(tables), "built_at": at})
     return build_id
 
 
-def read_build(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A table of the last complete build."""
-    last = spark.read.parquet(f"{path}/_manifest").orderBy(F.desc("built_at"), F.desc("build_id")).first()
-    return spark.read.parquet(f"{path}/{name}/build_id={last['build_id']}")
+def read_build(spark: SparkSession, path: str, name: str, number: int | None = None) -> DataFrame:
+    """A table of the last complete build, or of one by its number."""
+    content = commits.last(spark, f"{path}/_log")[1] if number is None else commits.read(spark, f"{path}/_log", number)
+    if content is None or name not in content["tables"]:
+        raise KeyError(f"no build of {name} in {path}")
+    return spark.read.parquet(f"{path}/{name}/build_id={content['build_id']}")
 
 
 def report(findings: DataFrame, summary: DataFrame, path: str) -> None:

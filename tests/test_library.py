@@ -153,7 +153,8 @@ def test_snapshots(spark, tmp_path):
     first = snapshot.publish(good, path, ["SZ", "SH"])
     assert snapshot.publish(good.orderBy(F.desc("symbol")), path, ["SZ", "SH"]) == first
     assert snapshot.resolve(spark, path).count() == 4 and snapshot.verify(spark, path, first).count() == 0
-    good.filter("exchange = 'SZ'").withColumn("close", F.lit(9.0)).limit(1).drop("exchange", "date").write.mode("append").parquet(f"{path}/data/snapshot_id={first}/exchange=SZ/date=2026-07-20")
+    address = snapshot.listed(spark, path, first)[1].filter("exchange = 'SZ' AND date = '2026-07-20'").first()["address"]
+    good.filter("exchange = 'SZ' AND date = '2026-07-20'").withColumn("close", F.lit(9.0)).write.mode("append").parquet(f"{path}/parts/address={address}")
     assert snapshot.verify(spark, path, first).count() == 1
     bad = profile(spark, [rows[0] | dict(adjust="raw"), rows[1] | dict(low=11.0), rows[2] | dict(open=None), rows[3] | dict(symbol="x")])
     assert {r.rule for r in snapshot.violations(bad).collect()} >= {"adjust", "envelope", "missing_price", "symbol"}
