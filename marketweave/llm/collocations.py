@@ -6,9 +6,10 @@ the stripe of a phrase of k words has the counts of the phrases of k + 1 words t
 
 A length is counted after the one below it: a phrase can have 100 occurrences only if both phrases that it has without its
 last and its first word do, so tasks leave out all others. They know these by a Bloom filter of a bounded size; what it lets
-through by mistake is counted and dropped, so results do not depend on it. A task adds up stripes of its own and sends each
-as one row, its words and its counts as two texts; the stripe of the empty prefix, and those of the most frequent prefixes, are
-cut in slices by the next word. Rows of one prefix and slice meet and are added word by word.
+through by mistake is counted and dropped, so results do not depend on it. A task adds up stripes of its own; the stripe of the
+empty prefix, and those of the most frequent prefixes, are cut in slices by the next word. Stripes and slices are sent in
+bundles, by a hash of both, with a line for each of its prefix, its words and their counts. Bundles of one hash meet and their
+stripes are added word by word.
 
 From the merged stripes come the extensions (entries of 100 or more), the frequencies of both parts of every cut (carried
 along from prefix to extension, and from the phrase without its first word), and what subsumes a phrase: the largest entry of
@@ -38,8 +39,10 @@ from .hashing import LOWER, mix, prefix_sums, span
 LEAST, LONGEST, FIRST = 100, 5, 2000
 #: Slices of the stripe of the empty prefix. Of other prefixes so many of the most frequent are cut in slices: one for each so many occurrences, and at most.
 SLICES, HOT, HOT_EACH, HOT_MOST = 256, 4096, 1 << 16, 1 << 12
-#: Entries that a task holds before it sends its stripes.
-HELD = 1_000_000
+#: Bundles of a language for each shuffle partition, and at least so many.
+BUNDLES, LEAST_BUNDLES = 8, 256
+#: Entries that a task holds before it sends its stripes, and bytes of bundles that are added up at a time (one bundle at least).
+HELD, MERGED_BYTES = 700_000, 16 << 20
 #: Bits of the filter: so many for each phrase, and at most (32 MB).
 FILTER_BITS, MOST_BITS, PROBES = 16, 1 << 28, 4
 #: Parts in which each language is ranked before the last round.
@@ -50,7 +53,8 @@ _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _BREAK.copy()
 _GAP[[32, 9]] = True
-_STRIPES = "lang string, prefix string, slice int, words string, counts string"
+_STRIPES = "lang string, bundle int, prefixes string, words string, counts string"
+_ENTRIES = "lang string, prefix string, word string, a long"
 
 
 def _extend(key: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -141,29 +145,29 @@ class _Held:
         self.columns = [[pa.chunked_array([x[i] for x in self.columns]).take(pa.array(first)).combine_chunks() for i in range(len(self.columns[0]))]]
 
     def stripes(self) -> Iterator[pa.RecordBatch]:
-        """All entries as rows of a prefix, a slice and the words and counts of these; empties what is held."""
+        """All entries as bundles of stripes; empties what is held."""
         if not self.keys:
             return
         self.merge()
-        (prefix_key, slices, lang, prefix, word), count = self.columns[0], self.counts[0]
+        (prefix_key, slices, bundle, lang, prefix, word), count = self.columns[0], self.counts[0]
         self.__init__()
-        p, s = prefix_key.to_numpy(zero_copy_only=False), slices.to_numpy(zero_copy_only=False)
-        order = np.lexsort((s, p))
-        p, s = p[order], s[order]
-        first = np.flatnonzero(np.concatenate(([True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])))) if len(p) else np.zeros(0, dtype=np.int64)
-        for low in range(0, len(first), 50_000):
-            rows = first[low : low + 50_000]
-            end = int(first[low + 50_000]) if low + 50_000 < len(first) else len(p)
-            own, at = pa.array(order[rows]), np.concatenate((rows, [end])) - rows[0]
-            take = pa.array(order[rows[0] : end])
-            yield pa.RecordBatch.from_arrays([
-                lang.take(own).cast(pa.string()), prefix.take(own).cast(pa.string()), pa.array(s[rows], type=pa.int32()),
-                pc.binary_join(pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), word.take(take).cast(pa.string())), " "),
-                pc.binary_join(pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), pa.array(count[order[rows[0] : end]]).cast(pa.string())), " "),
-            ], names=["lang", "prefix", "slice", "words", "counts"])
-
-
-def _mapper(k: int, known: object, hot: dict[int, int] | None = None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        plain = lambda x: x.to_numpy(zero_copy_only=False)
+        language = lang.dictionary_encode()
+        p, s, b, code = plain(prefix_key), plain(slices), plain(bundle), plain(language.indices)
+        order = np.lexsort((s, p, b, code))
+        p, s, b, code = p[order], s[order], b[order], code[order]
+        begins = lambda *xs: np.flatnonzero(np.concatenate(([True], np.any([x[1:] != x[:-1] for x in xs], axis=0))))
+        first = begins(p, s, b, code)  # of a stripe, among entries
+        row = begins(b[first], code[first])  # of a bundle, among stripes
+        joined = lambda at, n, x, by: pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(at, n), type=pa.int32()), x.cast(pa.string())), by)
+        take = pa.array(order)
+        lines = [prefix.take(pa.array(order[first])), joined(first, len(p), word.take(take), " "), joined(first, len(p), pa.array(count[order]).cast(pa.string()), " ")]
+        out = pa.RecordBatch.from_arrays([lang.take(pa.array(order[first[row]])).cast(pa.string()), pa.array(b[first[row]], type=pa.int32()), *[joined(row, len(first), x, "\n") for x in lines]], names=["lang", "bundle", "prefixes", "words", "counts"])
+        for low in range(0, out.num_rows, 500):
+            yield out.slice(low, 500)
+
+
+def _mapper(k: int, bundles: int, known: object = None, hot: dict[int, int] | None = None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Stripes of the prefixes of k words; ``known`` is a broadcast filter of the phrases of k words that are frequent (none for k = 0), ``hot`` tells the slices of those that have more than one."""
     hot_keys = np.array(sorted(hot or {}), dtype=np.uint64)
     hot_slices = np.array([(hot or {})[x] for x in hot_keys.tolist()], dtype=np.uint64)
@@ -202,8 +206,9 @@ def _mapper(k: int, known: object, hot: dict[int, int] | None = None) -> Callabl
             of = words.text[at]
             before = keys[k - 1][at] if k else hashes[codes][of]
             lang = pa.array(names, type=pa.large_string()).take(pa.array(codes[of]))
-            slices = pa.array((words.hash[at + k] % slices_of(before)).astype(np.int32))
-            if held.add(key, count.astype(np.int64), pa.array(before), slices, lang, prefix, word) > HELD:
+            slices = words.hash[at + k] % slices_of(before)
+            bundle = _extend(before, slices) % _U(bundles)
+            if held.add(key, count.astype(np.int64), pa.array(before), pa.array(slices.astype(np.int32)), pa.array(bundle.astype(np.int32)), lang, prefix, word) > HELD:
                 yield from held.stripes()
         yield from held.stripes()
 
@@ -240,11 +245,56 @@ def _filter(phrases: DataFrame) -> object:
     return spark.sparkContext.broadcast(out.tobytes())
 
 
-def merged(stripes: DataFrame) -> DataFrame:
-    """Stripes of all tasks added word by word: lang, prefix, word, a. What meets is one slice of one prefix."""
-    met = stripes.repartition("lang", "prefix", "slice")
-    entries = F.arrays_zip(F.split("words", " ").alias("word"), F.split("counts", " ").cast("array<bigint>").alias("n"))
-    return met.select("lang", "prefix", "slice", F.inline(entries)).groupBy("lang", "prefix", "slice", "word").agg(F.sum("n").alias("a")).select("lang", "prefix", "word", "a")
+def _added(bundles: pa.Table, least: int) -> pa.RecordBatch:
+    """Entries of whole bundles, added word by word: those of ``least`` or more, and the total of each row's stripes with no word."""
+    lines = [pc.split_pattern(bundles[c].combine_chunks(), "\n") for c in ("prefixes", "words", "counts")]
+    stripes = pc.list_value_length(lines[0]).to_numpy(zero_copy_only=False)
+    words, counts = pc.split_pattern(lines[1].flatten(), " "), pc.split_pattern(lines[2].flatten(), " ")
+    size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    lang, prefix, word = bundles["lang"].combine_chunks().dictionary_encode(), lines[0].flatten().dictionary_encode(), words.flatten().dictionary_encode()
+    code = lambda x: x.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = counts.flatten().cast(pa.int64()).to_numpy()
+    of_stripe = np.repeat(code(lang), stripes)
+    key = (np.repeat(of_stripe * len(prefix.dictionary) + code(prefix), size)) * len(word.dictionary) + code(word)
+    key, place = np.unique(key, return_inverse=True)
+    total = np.zeros(len(key), dtype=np.int64)
+    np.add.at(total, place, n)
+    often = np.flatnonzero(total >= least)
+    key, total = key[often], total[often]
+    whole = np.zeros(len(lang.dictionary), dtype=np.int64)
+    np.add.at(whole, np.repeat(of_stripe, size), n)
+    w, rest = key % len(word.dictionary), key // len(word.dictionary)
+    some = lambda x, at, more: pa.concat_arrays([x.dictionary.take(pa.array(at)).cast(pa.string()), more])
+    none, langs = pa.nulls(len(whole), pa.string()), lang.dictionary.cast(pa.string())
+    return pa.RecordBatch.from_arrays([some(lang, rest // len(prefix.dictionary), langs), some(prefix, rest % len(prefix.dictionary), none), some(word, w, none), pa.array(np.concatenate((total, whole)))], names=["lang", "prefix", "word", "a"])
+
+
+def _adder(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds up bundles that come sorted, some whole ones at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                held.append(batch.slice(low, 500))
+                if sum(x.get_total_buffer_size() * x.num_rows // max(1, batch.num_rows) for x in held) < MERGED_BYTES:
+                    continue
+                table = pa.Table.from_batches(held)
+                last = table.slice(table.num_rows - 1).to_pylist()[0]
+                same = pc.and_(pc.equal(table["lang"], last["lang"]), pc.equal(table["bundle"], last["bundle"]))
+                whole = pc.index(same, True).as_py()  # the last bundle may go on in the next batch
+                if whole:
+                    yield _added(table.slice(0, whole), least)
+                    held = table.slice(whole).to_batches()
+        if held:
+            yield _added(pa.Table.from_batches(held), least)
+
+    return run
+
+
+def merged(stripes: DataFrame, least: int) -> DataFrame:
+    """Stripes of all tasks added word by word: lang, prefix, word, a of at least ``least``; rows without word have totals."""
+    return stripes.repartition("lang", "bundle").sortWithinPartitions("lang", "bundle").mapInArrow(_adder(least), _ENTRIES)
 
 
 def _hot(phrases: DataFrame) -> dict[int, int]:
@@ -266,13 +316,14 @@ def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
 def phrases(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """n by language, and frequent phrases of 1 to 5 words: lang, phrase, a; ``lefts`` and ``rights``: counts of the parts before and behind each cut; prefix and suffix."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    words = settle(merged(rows.mapInArrow(_mapper(0, None), _STRIPES)), "stripes0")
-    totals = settle(words.groupBy("lang").agg(F.sum("a").alias("n")), "stripe-totals")
+    bundles = max(LEAST_BUNDLES, BUNDLES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words = settle(merged(rows.mapInArrow(_mapper(0, bundles), _STRIPES), LEAST), "stripes0")
+    totals = settle(words.filter("word IS NULL").groupBy("lang").agg(F.sum("a").alias("n")), "stripe-totals")
     none = F.array().cast("array<bigint>")
-    out = [settle(words.filter(F.col("a") >= LEAST).select("lang", F.col("word").alias("phrase"), "a", none.alias("lefts"), none.alias("rights")), "phrases1")]
+    out = [settle(words.filter("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "a", none.alias("lefts"), none.alias("rights")), "phrases1")]
     for k in range(1, LONGEST):
         known = _filter(out[-1])
-        found = settle(merged(rows.mapInArrow(_mapper(k, known, _hot(out[-1])), _STRIPES)).filter(F.col("a") >= LEAST).select(
+        found = settle(merged(rows.mapInArrow(_mapper(k, bundles, known, _hot(out[-1])), _STRIPES), LEAST).filter("word IS NOT NULL").select(
             "lang", F.concat_ws(" ", "prefix", "word").alias("phrase"), "a", "prefix", F.when(F.lit(k == 1), F.col("word")).otherwise(F.concat_ws(" ", F.expr("substring(prefix, locate(' ', prefix) + 1)"), "word")).alias("suffix")), f"stripes{k}")
         known.destroy()
         below = out[-1]

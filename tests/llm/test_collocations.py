@@ -102,13 +102,25 @@ def test_stripes_sent_early(monkeypatch):
     for held in (1, 1_000_000):
         monkeypatch.setattr(co, "HELD", held)
         total = Counter()
-        for out in co._mapper(0, None)([batch.slice(i, 10) for i in range(0, 80, 10)]):
+        for out in co._mapper(0, 64)([batch.slice(i, 10) for i in range(0, 80, 10)]):
             for r in out.to_pylist():
-                total.update({(r["lang"], r["prefix"], w): int(c) for w, c in zip(r["words"].split(" "), r["counts"].split(" "), strict=True)})
+                for lines in zip(*[r[c].split("\n") for c in ("prefixes", "words", "counts")], strict=True):
+                    total.update({(r["lang"], r["bundle"], lines[0], w): int(c) for w, c in zip(lines[1].split(" "), lines[2].split(" "), strict=True)})
         sums.append(total)
     assert sums[0] == sums[1] and sum(sums[0].values()) > 1000
 
 
+def test_bundles_are_added_whole(monkeypatch):
+    """However few bytes are added at a time, a bundle that goes on over batches is added once."""
+    rows = [("en", b, "p", f"a b{i}", "1 2") for b in range(5) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if i == 1 else pa.string()) for i in range(5)], names=["lang", "bundle", "prefixes", "words", "counts"])
+    for most in (1, 16 << 20):
+        monkeypatch.setattr(co, "MERGED_BYTES", most)
+        out = [r for x in co._adder(40)([batch.slice(i, 7) for i in range(0, 200, 7)]) for r in x.to_pylist()]
+        assert sum(r["a"] for r in out if r["word"] is None) == 600
+        assert sum(r["a"] for r in out if r["word"] == "a") == 200 and all(r["a"] % 40 == 0 for r in out if r["word"] == "a")
+
+
 def test_keys_of_tasks_and_of_phrases_agree():
     words = co._Words(pa.array(["One  two\tthree. four"], type=pa.large_string()))
     keys = words.keys(np.array([co._language("en")], dtype=np.uint64), 3)
