@@ -2,37 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..settled import settle
+from ..sources import commits, sinks
+
 
 class InvalidKeys(ValueError):
     pass
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+#: Bytes of a delta's keys that may be broadcast, as measured.
+BROADCAST_BYTES = 24_000_000
+
+
+def _last(rows: DataFrame, keys: list[str], order: list[Column], descending: bool = True) -> DataFrame:
+    """One row of each key, the greatest (or least) by ``order`` and then by its other columns: one exchange and one sort, of ``rows`` only."""
+    rest = [F.col(c) for c in rows.columns if c not in keys]
+    by = [c.desc() if descending else c.asc() for c in [*order, *rest]]
+    if not by:
+        return rows.select(*keys).distinct()
+    return rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).filter("_rank = 1").drop("_rank")
+
+
+def _keyed_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows`` that have (left_semi) or have not (left_anti) a key of the settled ``few``, nulls being equal: by a broadcast of measured size, beyond it by hashes of ``few``. Neither sorts ``rows``."""
+    size = few.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 24 for k in keys), F.lit(16)).cast("long"))).first()[0] or 0
+    small = few.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    small = F.broadcast(small) if size <= BROADCAST_BYTES else small.hint("shuffle_hash")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(small, same, how)
+
+
+def _resolved(existing: DataFrame, keys: list[str], order: list[Column], seen: str | None = None) -> DataFrame:
+    """``existing`` with one row a key. Keys are counted without their rows; only rows of keys that repeat are ranked, and take the least ``seen`` of their key."""
+    again = settle(existing.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), "repeated")
+    if again.isEmpty():
+        return existing
+    some = _keyed_join(existing, again, keys, "left_semi")
+    if seen:
+        some = some.withColumn(seen, F.min(seen).over(Window.partitionBy(*keys)))
+    return _keyed_join(existing, again, keys, "left_anti").unionByName(_last(some, keys, order))
+
+
+def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column] | None = None, unique: bool = False) -> DataFrame:
     """Union by key in which incoming rows win; columns that only one side has are null on the other.
 
-    Of several rows with one key on a side, the last by ``order`` wins (default: the greatest row).
+    Of several rows with one key on a side, the last by ``order`` wins (default: the greatest row); with ``unique`` the
+    existing rows are known to have none, as those that an upsert wrote. The work that needs order or a shuffle of rows is
+    that of the delivery: it is settled, and existing rows pass unless they have one of its keys.
     """
-    both = existing.withColumn("_side", F.lit(0)).unionByName(incoming.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-    rest = [c for c in both.columns if c not in (*keys, "_side")]
-    rank = F.struct("_side", *(order or []), *rest)
-    return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row")).select(*keys, "_row.*") if rest else both.select(*keys).distinct()
+    delta = settle(_last(incoming, keys, order or []), "delta")
+    kept = _keyed_join(existing if unique else _resolved(existing, keys, order or []), delta, keys, "left_anti")
+    out = kept.unionByName(delta, allowMissingColumns=True)
+    return out.select(*keys, *[c for c in out.columns if c not in keys])
 
 
-def upsert_keep_first_seen(existing: DataFrame, incoming: DataFrame, keys: list[str], seen: str = "retrieved_at") -> DataFrame:
-    """As ``upsert``, but a key that was there keeps its first ``seen`` value."""
-    first = existing.groupBy(*keys).agg(F.min(seen).alias("_seen"))
-    return upsert(existing, incoming, keys).join(first, keys, "left").withColumn(seen, F.coalesce("_seen", seen)).drop("_seen")
+def upsert_keep_first_seen(existing: DataFrame, incoming: DataFrame, keys: list[str], seen: str = "retrieved_at", unique: bool = False) -> DataFrame:
+    """As ``upsert``, but a key that was there keeps its first ``seen`` value; only the existing rows of the delivery's keys are looked up for it."""
+    delta = settle(_last(incoming, keys, []), "delta")
+    first = _keyed_join(existing, delta, keys, "left_semi").groupBy(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]).agg(F.min(seen).alias("_seen"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_s{i}"))
+    delta = settle(delta.join(first, same, "left").withColumn(seen, F.coalesce("_seen", seen)).drop("_seen", *[f"_s{i}" for i in range(len(keys))]), "delta-seen")
+    kept = _keyed_join(existing if unique else _resolved(existing, keys, [], seen), delta, keys, "left_anti")
+    out = kept.unionByName(delta, allowMissingColumns=True)
+    return out.select(*keys, *[c for c in out.columns if c not in keys])
 
 
 def strict_upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """As ``upsert``; incomplete keys on either side, or repeated ones among the existing, raise InvalidKeys."""
-    wrong = key_findings(existing, keys).filter("repeated or incomplete").unionByName(key_findings(incoming, keys).filter("incomplete"))
-    if not wrong.isEmpty():
-        raise InvalidKeys(f"bad keys, for example {wrong.first().asDict()}")
-    return upsert(existing, incoming, keys)
+    wrong = key_findings(existing, keys).filter("repeated or incomplete").unionByName(key_findings(incoming, keys).filter("incomplete")).take(1)
+    if wrong:
+        raise InvalidKeys(f"bad keys, for example {wrong[0].asDict()}")
+    return upsert(existing, incoming, keys, unique=True)
 
 
 def key_findings(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,13 +89,11 @@ def key_findings(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by the order columns."""
-    rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("_row")).select(*keys, "_row.*").select(*rows.columns)
+    return _last(rows, keys, [F.col(c) for c in order])
 
 
 def earliest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *rest)).alias("_row")).select(*keys, "_row.*").select(*rows.columns)
+    return _last(rows, keys, [F.col(c) for c in order], descending=False)
 
 
 def union_first(sources: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -58,7 +103,7 @@ def union_first(sources: list[DataFrame], keys: list[str]) -> DataFrame:
         df = df.withColumn("_side", F.lit(k))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     rest = [c for c in out.columns if c not in (*keys, "_side")]
-    return out.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("_side", *rest)).alias("_row")).select(*keys, "_row.*")
+    return _last(out, keys, [F.col("_side")], descending=False).select(*keys, *rest)
 
 
 def fill_blanks(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -140,6 +185,36 @@ def update_daily(profile: DataFrame, history: DataFrame, incoming: DataFrame, en
     return kept.unionByName(new, allowMissingColumns=True), upsert(history, new, ["symbol", "date", "adjust"]), touched
 
 
+def update_daily_files(spark: SparkSession, profile_path: str, history_path: str, incoming: DataFrame, end, lookback: int, full_start) -> DataFrame:
+    """``update_daily`` on stored trees; returns the (exchange, date) partitions that were written.
+
+    The profile (by exchange and date) gets the partitions of the window that have incoming rows, replaced whole; the
+    histories (by symbol) those of symbols with incoming rows, merged by (symbol, date, adjust). Dates already there come from
+    the names of partitions. Files of all other partitions stay as they are. Histories are written after the profile; an
+    update that broke off is done again by running it again.
+    """
+    from ..functions.scalars import overlap_start
+
+    if commits.exists(spark, profile_path):
+        last = spark.read.parquet(profile_path).groupBy("exchange").agg(F.max("date").alias("_last"))
+    else:
+        last = spark.createDataFrame([], "exchange string, _last date")
+    inside = incoming.join(last, "exchange", "left").withColumn("_first", overlap_start(F.lit(full_start).cast("date"), F.col("_last"), lookback))
+    new = settle(inside.filter(F.col("date").between(F.col("_first"), F.lit(end).cast("date"))).drop("_last", "_first"), "daily-delta")
+    touched = settle(new.select("exchange", "date").distinct(), "touched")
+    if touched.isEmpty():
+        return touched
+    sinks.by_date(new, profile_path)
+    symbols = settle(new.select("symbol").distinct(), "symbols")
+    merged = _last(new, ["symbol", "date", "adjust"], [])
+    if commits.exists(spark, history_path):
+        # of the stored histories only the folders of these symbols are read
+        own = spark.read.schema(new.schema).parquet(history_path).join(F.broadcast(symbols) if symbols.count() <= 100_000 else symbols, "symbol", "left_semi")
+        merged = upsert(own, merged, ["symbol", "date", "adjust"], unique=True).select(*new.columns)
+    sinks.by_symbol(settle(merged, "histories"), history_path, ["date", "adjust"], form="parquet")
+    return touched
+
+
 def overlap(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Keys on both sides; must be empty for disjoint sets."""
     return a.select(*keys).intersect(b.select(*keys))
