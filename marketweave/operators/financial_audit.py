@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import concepts
-from .financials import ROW
+from .financials import ROW, latest_visible
 from .findings import Check, run_checks
 
 PERIODS = ["quarterly", "annual", "ttm"]
@@ -18,7 +18,7 @@ CORE = ["revenue", "net_income", "operating_cash_flow", "capital_expenditure"]
 
 
 def _version(prefix: str = "") -> Column:
-    return F.struct(F.col(f"{prefix}available_date"), F.coalesce(f"{prefix}accepted_at", F.lit("")), F.col(f"{prefix}accession"))
+    return F.struct(F.col(f"{prefix}available_date"), F.coalesce(f"{prefix}accepted_at", F.lit("")).alias("accepted_at"), F.col(f"{prefix}accession"))
 
 
 def metric_rows(products: DataFrame, metrics: list[str]) -> DataFrame:
@@ -73,10 +73,19 @@ def trailing_components(products: DataFrame, lineage: DataFrame) -> DataFrame:
     told = lineage.filter("period_type = 'ttm'").select(*ROW, "metric", "calculation", F.arrays_zip(F.col("component_periods").alias("p"), F.col("component_accessions").alias("a")).alias("parts"))
     asked = sums.join(told, [*ROW, "metric"]).withColumn("told", F.size("parts"))
     each = asked.select(*ROW, "metric", "value", "calculation", "told", F.posexplode_outer("parts").alias("k", "part")).select("*", F.col("part.p").alias("q_period"), F.col("part.a").alias("wanted"))
-    # all versions of the component's quarter that were public: the one told, and the latest
-    seen = each.join(q, ["symbol", "metric", "q_period"], "left").withColumn("visible", F.col("q_available") <= F.col("available_date"))
-    mine = F.when(F.col("visible") & (F.col("q_accession") == F.col("wanted")), F.struct("q_version", "q_value", "fiscal_period"))
-    parts = seen.groupBy(*ROW, "metric", "value", "calculation", "told", "k", "q_period", "wanted").agg(F.max_by(mine, F.when(mine.isNotNull(), F.col("q_version"))).alias("own"), F.max(F.when(F.col("visible"), F.col("q_version"))).alias("latest"))
+    # of the component's quarter the version told, if it was public, and the latest that was, found in one pass by availability
+    own = q.select("symbol", "metric", "q_period", F.col("q_accession").alias("wanted"), F.struct("q_version", "q_value", "fiscal_period").alias("version"), F.col("q_available").alias("own_available"))
+    seen = each.join(own, ["symbol", "metric", "q_period", "wanted"], "left")
+    mine = F.when(F.col("own_available") <= F.col("available_date"), F.col("version"))
+    of_part = [*ROW, "metric", "value", "calculation", "told", "k", "q_period", "wanted"]
+    parts = seen.groupBy(*of_part).agg(F.max_by(mine, F.when(mine.isNotNull(), F.col("version.q_version"))).alias("own"))
+    versions = q.select("symbol", "metric", "q_period", "q_available", F.col("q_version.accepted_at").alias("q_accepted"), "q_accession", "q_version")
+    last = latest_visible(parts.select(*of_part).distinct(), "available_date", versions, ["symbol", "metric", "q_period"], ["q_available", "q_accepted", "q_accession"], F.col("q_version"))
+    same = F.lit(True)
+    last = last.select(*[F.col(c).alias(f"_{c}") for c in of_part], F.col("found").alias("latest"))
+    for c in of_part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    parts = parts.join(last, same, "left").drop(*[f"_{c}" for c in of_part])
     own = parts.withColumn("number", F.regexp_extract("own.fiscal_period", "^Q([1-4])$", 1).try_cast("int"))
     listed = F.sort_array(F.collect_list(F.struct("q_period", "number")))
     out = own.groupBy(*ROW, "metric", "value", "calculation", "told").agg(F.count("own").alias("found"), F.sum("own.q_value").cast("decimal(38,12)").alias("total"), F.bool_and(F.col("latest.accession") == F.col("wanted")).alias("latest"), listed.alias("q"))

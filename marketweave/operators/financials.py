@@ -9,6 +9,9 @@ accepted_at, form, fiscal_year, fiscal_period, accession, retrieved_at. filings:
 
 from __future__ import annotations
 
+import bisect
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -226,39 +229,73 @@ def fourth_quarters(ctx: DataFrame, chosen: DataFrame, annual_versions: DataFram
     return rows.join(metrics.select(*ROW).distinct(), ROW, "left_semi"), metrics
 
 
+def latest_visible(asks: DataFrame, at: str, facts: DataFrame, keys: list[str], version: list[str], row: Column) -> DataFrame:
+    """For each ask its columns and ``found``, the ``row`` of the fact of its keys with the greatest ``version`` (available date first) that ``at`` has seen; asks without one are left out.
+
+    Facts and asks are united and gone through once in order of availability, so it is linear in both.
+    """
+    told = facts.select(*keys, F.col(version[0]).alias("_at"), F.lit(0).alias("_ask"), F.struct(*version).alias("_v"), row.alias("_row"))
+    asked = asks.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_ask"), F.struct(*asks.columns).alias("_of"))
+    order = Window.partitionBy(*keys).orderBy("_at", "_ask", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    both = told.unionByName(asked, allowMissingColumns=True).withColumn("found", F.last("_row", ignorenulls=True).over(order))
+    return both.filter("_ask = 1 and found is not null").select("_of.*", "found")
+
+
+_FOUR = "symbol string, available_date date, accepted_at string, accession string, form string, fiscal_year string, fiscal_period string, period_start date, periods array<date>"
+
+
+def _follow(periods: list, first: dict) -> bool:
+    """Whether four periods are consecutive quarters by their dates and, where all have one, by their labels."""
+    gaps = [(b - a).days for a, b in zip(periods, periods[1:], strict=False)]
+    if any(not 45 <= g <= 150 for g in gaps) or not 250 <= (periods[-1] - periods[0]).days <= 430:
+        return False
+    labels = [first[p][0] for p in periods]
+    if all(isinstance(x, str) and len(x) == 2 and x[0] == "Q" and x[1] in "1234" for x in labels):
+        return all(int(b[1]) % 4 == (int(a[1]) + 1) % 4 for a, b in zip(labels, labels[1:], strict=False))
+    return True
+
+
+def four_quarters(versions: pd.DataFrame) -> pd.DataFrame:
+    """A symbol's disclosures that concern its last four visible quarters, where these are consecutive.
+
+    One pass over the versions in order of availability; what is kept is each period's first and last version and the
+    sorted periods.
+    """
+    rows = versions.assign(accepted_at=versions["accepted_at"].fillna("")).sort_values(["available_date", "accepted_at", "accession"], kind="stable")
+    first, last, periods, out = {}, {}, [], []
+    for day, of_day in rows.groupby("available_date", sort=False):
+        events = {}
+        for r in of_day.itertuples(index=False):
+            if r.report_period not in first:
+                first[r.report_period] = r.fiscal_period, r.period_start
+                bisect.insort(periods, r.report_period)
+            last[r.report_period] = r.form, r.fiscal_year, r.fiscal_period
+            events.setdefault((r.accepted_at, r.accession), set())
+        touched = {}
+        for r in of_day.itertuples(index=False):
+            touched.setdefault(r.accession, set()).add(r.report_period)
+        four = periods[-4:]
+        if len(four) < 4 or not _follow(four, first):
+            continue
+        for accepted, accession in events:
+            if touched[accession] & set(four):
+                out.append((rows["symbol"].iloc[0], day, accepted, accession, *last[four[-1]], first[four[0]][1], four))
+    return pd.DataFrame(out, columns=[c.split(" ")[0] for c in _FOUR.split(", ")])
+
+
 def trailing(q_versions: DataFrame, q_metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Trailing-twelve-month versions: at each disclosure the last four visible quarters, if consecutive by their earliest versions."""
-    accepted = F.coalesce("accepted_at", F.lit(""))
-    event = ["symbol", "e_available", "e_accepted", "e_accession"]
-    events = q_versions.select("symbol", F.col("available_date").alias("e_available"), accepted.alias("e_accepted"), F.col("accession").alias("e_accession")).distinct()
-    v = q_versions.select("symbol", "report_period", "available_date", accepted.alias("accepted_at"), "accession", "form", "fiscal_year", "fiscal_period", "period_start")
-    seen = events.join(v, "symbol").filter(F.col("available_date") <= F.col("e_available"))
-    per = seen.groupBy(*event, "report_period").agg(
-        F.min_by(F.struct("fiscal_period", "period_start"), _version()).alias("first"), F.max_by(F.struct("form", "fiscal_year", "fiscal_period"), _version()).alias("last"),
-        F.bool_or((F.col("accession") == F.col("e_accession")) & (F.col("available_date") == F.col("e_available"))).alias("touched"),
-    )
-    top = per.withColumn("_n", F.row_number().over(Window.partitionBy(*event).orderBy(F.desc("report_period")))).filter("_n <= 4")
-    four = top.groupBy(*event).agg(F.sort_array(F.collect_list(F.struct("report_period", "first", "last"))).alias("q"), F.bool_or("touched").alias("touched")).filter("size(q) = 4 and touched")
-    gap = lambda a, b: F.datediff(F.get("q", F.lit(b))["report_period"], F.get("q", F.lit(a))["report_period"])
-    number = lambda i: F.substring(F.get("q", F.lit(i))["first"]["fiscal_period"], 2, 1).try_cast("int")
-    known = F.lit(True)
-    follows = F.lit(True)
-    for i in range(4):
-        known = known & F.coalesce(F.get("q", F.lit(i))["first"]["fiscal_period"].rlike("^Q[1-4]$"), F.lit(False))
-    for i in range(3):
-        follows = follows & (number(i + 1) % 4 == (number(i) + 1) % 4)
-    ok = gap(0, 1).between(45, 150) & gap(1, 2).between(45, 150) & gap(2, 3).between(45, 150) & gap(0, 3).between(250, 430) & (~known | F.coalesce(follows, F.lit(False)))
-    good = four.filter(ok)
-    rows = good.select(
-        "symbol", F.lit("ttm").alias("period_type"), F.get("q", F.lit(3))["report_period"].alias("report_period"), F.col("e_available").alias("available_date"), F.col("e_accession").alias("accession"), F.col("e_accepted").alias("accepted_at"),
-        F.get("q", F.lit(3))["last"]["form"].alias("form"), F.get("q", F.lit(3))["last"]["fiscal_year"].alias("fiscal_year"), F.get("q", F.lit(3))["last"]["fiscal_period"].alias("fiscal_period"), F.get("q", F.lit(0))["first"]["period_start"].alias("period_start"),
-        F.transform("q", lambda x: x["report_period"]).alias("periods"),
-    )
+    """Trailing-twelve-month versions: at each disclosure the last four visible quarters, if consecutive by their earliest versions.
+
+    A symbol's versions (without their metrics) are gone through once; the metrics of each quarter are found by another pass
+    in order of availability. Both are linear in the number of versions.
+    """
+    v = q_versions.select("symbol", "report_period", "available_date", F.coalesce("accepted_at", F.lit("")).alias("accepted_at"), "accession", "form", F.col("fiscal_year").cast("string").alias("fiscal_year"), "fiscal_period", "period_start")
+    good = v.groupBy("symbol").applyInPandas(four_quarters, _FOUR)
+    rows = good.select("symbol", F.lit("ttm").alias("period_type"), F.element_at("periods", -1).alias("report_period"), "available_date", "accession", "accepted_at", "form", "fiscal_year", "fiscal_period", "period_start", "periods")
     m = q_metrics.join(v.select("symbol", "report_period", "available_date", "accession", "accepted_at"), ["symbol", "report_period", "available_date", "accession"])
     m = m.select("symbol", F.col("report_period").alias("q_period"), F.col("available_date").alias("q_available"), F.col("accepted_at").alias("q_accepted"), F.col("accession").alias("q_accession"), "metric", "value", *SOURCE)
-    asked = rows.select(*ROW, F.posexplode("periods").alias("k", "q_period"))
-    met = asked.join(m, ["symbol", "q_period"]).filter(F.col("q_available") <= F.col("available_date"))
-    latest = met.groupBy(*ROW, "metric", "k", "q_period").agg(F.max_by(F.struct("value", *SOURCE, "q_accession"), F.struct("q_available", "q_accepted", "q_accession")).alias("m"))
+    asked = rows.select(*ROW, F.posexplode("periods").alias("k", "q_period")).join(m.select("symbol", "q_period", "metric").distinct(), ["symbol", "q_period"])
+    latest = latest_visible(asked, "available_date", m, ["symbol", "q_period", "metric"], ["q_available", "q_accepted", "q_accession"], F.struct("value", *SOURCE, "q_accession")).withColumnRenamed("found", "m")
     first = F.min_by(F.struct("m.taxonomy", "m.tag", "m.unit"), "k").alias("f")
     sums = latest.filter(F.col("metric").isin(*concepts.ADDITIVE)).groupBy(*ROW, "metric").agg(F.count("*").alias("n"), F.sum("m.value").cast("decimal(38,12)").alias("value"), first, F.array_sort(F.array_distinct(F.flatten(F.collect_list("m.row_ids")))).alias("row_ids"), F.sort_array(F.collect_list(F.struct("k", "q_period", F.col("m.q_accession").alias("a")))).alias("c")).filter("n = 4")
     sums = sums.select(*ROW, "metric", "value", "f.taxonomy", "f.tag", "f.unit", "row_ids", F.lit("sum_four_quarters").alias("calculation"), F.transform("c", lambda x: x["q_period"]).alias("component_periods"), F.transform("c", lambda x: x["a"]).alias("component_accessions"))
