@@ -29,6 +29,32 @@ def page(rows: DataFrame, order: list, offset: int, limit: int) -> tuple[DataFra
     return rows.orderBy(*order).offset(offset).limit(limit), rows.count()
 
 
+def page_after(rows: DataFrame, order: list[tuple[str, bool]], limit: int, after: dict | None = None) -> DataFrame:
+    """The next page behind ``after``, the last row of the page before (None: the first page); order: columns that tell rows apart, and whether each descends.
+
+    Nulls come first in ascending and last in descending columns. What lies before the cursor is left out by a filter on the
+    first column too, which prunes row groups of sorted files, so later pages read less and not more; how many rows there
+    are is ``rows.count()``, and not asked for here.
+    """
+    keys = [F.desc(c) if down else F.asc(c) for c, down in order]
+    if after is not None:
+        behind, same = F.lit(False), F.lit(True)
+        for c, down in order:
+            value = F.lit(after[c]).cast(rows.schema[c].dataType)
+            if after[c] is None:
+                further = F.lit(False) if down else F.col(c).isNotNull()
+            else:
+                further = F.coalesce(F.col(c) < value, F.lit(True)) if down else F.coalesce(F.col(c) > value, F.lit(False))
+            behind = behind | (same & further)
+            same = same & F.col(c).eqNullSafe(value)
+        name, down = order[0]
+        if after[name] is not None:
+            value = F.lit(after[name]).cast(rows.schema[name].dataType)
+            rows = rows.filter((F.col(name) <= value) | F.col(name).isNull() if down else F.col(name) >= value)
+        rows = rows.filter(behind)
+    return rows.orderBy(*keys).limit(limit)
+
+
 def fact_series(facts: DataFrame, taxonomy: str, tag: str, unit: str) -> DataFrame:
     """Facts of one concept per symbol with the label of the last one, and whether the value can be drawn."""
     rows = facts.filter((F.col("taxonomy") == taxonomy) & (F.col("tag") == tag) & (F.col("unit") == unit))

@@ -66,6 +66,17 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` where ``target`` is or may be."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    a, files = _hadoop(spark, source)
+    kinds = getattr(jvm, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = kinds.OVERWRITE
+    context = jvm.FileContext.getFileContext(files.makeQualified(a).toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(a), files.makeQualified(jvm.Path(target)), options)
+
+
 def _write(spark: SparkSession, path: str, text: str) -> None:
     p, files = _hadoop(spark, path)
     out = files.create(p, False)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +45,16 @@ def five_minutes(rows: DataFrame, path: str) -> None:
 
 
 def minutes(rows: DataFrame, path: str) -> None:
-    """Minute bars by frequency, exchange and trade_date: zstd, row groups of 65,536 rows, sorted by symbol and time so that symbol statistics skip row groups."""
+    """Minute bars by frequency, exchange and trade_date: zstd, row groups of 65,536 rows, sorted by symbol and time so that symbol statistics skip row groups; times in microseconds, which have statistics too."""
     keys = ["frequency", "exchange", "trade_date"]
-    _dynamic(rows.repartition(*keys).sortWithinPartitions(*keys, "symbol", "trade_time").write).partitionBy(*keys).option("compression", "zstd").option("parquet.block.row.count.limit", 65_536).parquet(path)
+    out = _dynamic(rows.repartition(*keys).sortWithinPartitions(*keys, "symbol", "trade_time").write).partitionBy(*keys).option("compression", "zstd").option("parquet.block.row.count.limit", 65_536)
+    kind, conf = "spark.sql.parquet.outputTimestampType", rows.sparkSession.conf
+    was = conf.get(kind)
+    try:
+        conf.set(kind, "TIMESTAMP_MICROS")
+        out.parquet(path)
+    finally:
+        conf.set(kind, was)
 
 
 def by_symbol(rows: DataFrame, path: str, order: list[str], form: str = "csv") -> None:
@@ -55,6 +63,28 @@ def by_symbol(rows: DataFrame, path: str, order: list[str], form: str = "csv") -
     out.option("header", True).option("compression", "gzip").csv(path) if form == "csv" else out.parquet(path)
 
 
+def symbol_files(rows: DataFrame, path: str, order: list[str], form: str = "csv") -> None:
+    """One file ``{symbol}.csv.gz`` or ``{symbol}.parquet`` for each symbol, with equal bytes whenever its rows are equal; files of other symbols stay.
+
+    Rows are sorted by ``order`` and then by all other columns. Files are written aside and put in their places one by one.
+    """
+    spark, staged = rows.sparkSession, f"{path}/_staging-{uuid.uuid4().hex}"
+    rest = [c for c in rows.columns if c not in ("symbol", *order)]
+    out = rows.withColumn("_symbol", F.col("symbol")).repartition("_symbol").sortWithinPartitions("_symbol", *order, *rest).write.partitionBy("_symbol")
+    end = "csv.gz" if form == "csv" else "parquet"
+    try:
+        out.option("header", True).option("compression", "gzip").csv(staged) if form == "csv" else out.parquet(staged)
+
+        def place(folder: str) -> None:
+            (file,) = [n for n in commits.names(spark, f"{staged}/{folder}") if n.startswith("part-")]
+            commits.replace(spark, f"{staged}/{folder}/{file}", f"{path}/{folder.removeprefix('_symbol=')}.{end}")
+
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(place, [n for n in commits.names(spark, staged) if n.startswith("_symbol=")]))
+    finally:
+        commits.delete(spark, staged)
+
+
 def calendar(rows: DataFrame, path: str) -> None:
     _dynamic(rows.repartition("year").sortWithinPartitions("date").write).partitionBy("year").option("header", True).csv(path)
 
