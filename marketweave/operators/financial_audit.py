@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from . import concepts
 from .financials import ROW, latest_visible
-from .findings import Check, run_checks
+from .findings import Check, file_order, run_checks, with_identity
 
 PERIODS = ["quarterly", "annual", "ttm"]
 CORE = ["revenue", "net_income", "operating_cash_flow", "capital_expenditure"]
@@ -27,6 +28,32 @@ def metric_rows(products: DataFrame, metrics: list[str]) -> DataFrame:
     return products.select(*ROW, "accepted_at", "fiscal_period", F.inline(F.array_compact(parts)))
 
 
+# Fixed value: what the products say of their source.
+STANDARDIZED_SOURCE = "sec.edgar.standardized"
+
+
+def product_checks(products: DataFrame, metrics: list[str], universe: DataFrame | None = None) -> DataFrame:
+    """Findings of columns that stored products have: another source, a period_end other than the report_period, built_at that is no time, metrics that are not finite, ciks that are not the symbol's in ``universe`` (symbol, cik), and rows out of order by ``place``."""
+    key = F.concat_ws(" ", F.col("report_period").cast("string"), "accession")
+    scope, checks, have, kinds = ["symbol", "period_type"], [], set(products.columns), dict(products.dtypes)
+    if "source" in have:
+        checks.append(Check("source", ~F.col("source").eqNullSafe(STANDARDIZED_SOURCE), example=key))
+    if "period_end" in have:
+        checks.append(Check("period_end", ~F.col("period_end").eqNullSafe(F.col("report_period")), example=key))
+    if "built_at" in have:
+        checks.append(Check("built_at", F.col("built_at").cast("string").try_cast("timestamp").isNull(), example=key))
+    numbers = [m for m in metrics if m in have and kinds[m] in ("double", "float", "string")]
+    if numbers:
+        bad = F.array_compact(F.array(*[F.when(F.col(m).isNotNull() & (F.col(m).cast("string") != "") & S.finite(F.col(m).cast("string").try_cast("double")).isNull(), F.lit(m)) for m in numbers]))
+        checks.append(Check("not_finite", F.size(bad) > 0, example=F.array_join(bad, ",")))
+    rows = products
+    if universe is not None and "cik" in have:
+        rows = with_identity(rows, universe)
+        checks.append(Check("cik", ~F.col("cik").eqNullSafe(F.col("_cik")), example=key))
+    out = file_order(products, scope, ["report_period", "available_date", "accession"])
+    return run_checks(rows, checks, scope).unionByName(out) if checks else out
+
+
 def row_checks(products: DataFrame) -> DataFrame:
     """Findings of single rows and keys, by symbol and period type."""
     copies = products.groupBy(*ROW).agg((F.count("*") - 1).alias("again"))
@@ -138,9 +165,9 @@ def state_checks(products: DataFrame, as_of, most_days: int = 180) -> DataFrame:
     return unstable.unionByName(gaps).unionByName(run_checks(state, checks, ["symbol"]))
 
 
-def validate(products: DataFrame, lineage: DataFrame, facts: DataFrame, as_of, most_days: int = 180) -> DataFrame:
-    """All findings of standardized financials; a symbol is sound if none of its findings is an error."""
+def validate(products: DataFrame, lineage: DataFrame, facts: DataFrame, as_of, most_days: int = 180, universe: DataFrame | None = None) -> DataFrame:
+    """All findings of standardized financials, those of ``product_checks`` where their columns are there; a symbol is sound if none of its findings is an error."""
     from .financials import DERIVED
 
     metrics = [m for m in (*concepts.BASE_METRICS, *DERIVED) if m in products.columns]
-    return row_checks(products).unionByName(lineage_checks(products, lineage, facts, metrics)).unionByName(trailing_checks(products, lineage)).unionByName(state_checks(products, as_of, most_days))
+    return row_checks(products).unionByName(product_checks(products, metrics, universe)).unionByName(lineage_checks(products, lineage, facts, metrics)).unionByName(trailing_checks(products, lineage)).unionByName(state_checks(products, as_of, most_days))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COLUMNS = ["severity", "check", "scope", "count", "total", "max_abs_diff", "example", "detail"]
@@ -37,6 +37,21 @@ def run_checks(rows: DataFrame, checks: list[Check], scope: list[str] | None = N
     return out.withColumn("detail", F.concat(F.col("count").cast("string"), F.lit(" of "), F.col("total").cast("string"))).select(*COLUMNS)
 
 
+def file_order(rows: DataFrame, scope: list[str], order: list[str | Column], name: str = "row_order") -> DataFrame:
+    """Rows that stand behind a greater one in their file, by scope; ``place`` is a row's position there. Null values come first. Without ``place`` nothing can be told, and there are no findings."""
+    if "place" not in rows.columns:
+        return run_checks(rows.limit(0), [Check(name, F.lit(False))], scope)
+    key = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    before = F.lag(key).over(Window.partitionBy(*scope).orderBy("place"))
+    placed = rows.select(*scope, (before > key).alias("_bad"), F.col("place").cast("string").alias("_at"))
+    return run_checks(placed, [Check(name, F.col("_bad"), example=F.col("_at"))], scope)
+
+
+def with_identity(rows: DataFrame, universe: DataFrame) -> DataFrame:
+    """Rows with the cik that their symbol has in ``universe`` as ``_cik`` (null: none)."""
+    return rows.join(universe.select("symbol", F.col("cik").alias("_cik")).dropDuplicates(["symbol"]), "symbol", "left")
+
+
 def roll_up(findings: DataFrame) -> DataFrame:
     """One row: numbers of error, warning and info findings."""
     kind = lambda s: F.count_if(F.col("severity") == s)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .findings import Check, run_checks
+from .findings import Check, file_order, run_checks
 
 PRICES = ("open", "high", "low", "close")
 
@@ -110,8 +110,14 @@ def order_violations(rows: DataFrame, key: list[str], place: str, order: str) ->
     return rows.withColumn("_before", before).filter(F.col(order) <= F.col("_before")).drop("_before")
 
 
-def us_daily_findings(bars: DataFrame) -> DataFrame:
-    """Checks of US bars by asset: identity, dates, finite and consistent raw and adjusted prices, volumes, actions."""
+def us_daily_findings(bars: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """Checks of US bars by asset: identity, dates, finite and consistent raw and adjusted prices, volumes, actions.
+
+    With a ``source`` column, rows without one; with ``place`` (a row's position in its file), dates that are not in order;
+    with a ``universe`` (asset_type, symbol), its assets without any row.
+    """
+    from .minute import _with_copies
+
     raw, adj = list(PRICES), [f"adj_{c}" for c in PRICES]
     numbers = [*raw, "volume", *adj, "adj_volume", "dividend", "split_factor"]
     bad_number = F.array_contains(F.array(*[F.coalesce(S.finite(F.col(c).cast("double")).isNull(), F.lit(True)) for c in numbers]), True)
@@ -119,7 +125,6 @@ def us_daily_findings(bars: DataFrame) -> DataFrame:
     def envelope(o: str, h: str, low: str, c: str) -> Column:
         return (F.least(o, h, low, c) <= 0) | (F.col(low) > F.least(o, c)) | (F.col(h) < F.greatest(o, c))
 
-    copies = F.count("*").over(Window.partitionBy("asset_type", "symbol", "date"))
     key = F.concat_ws(" ", "symbol", F.col("date").cast("string"))
     checks = [
         Check("invalid_date", F.col("date").isNull()),
@@ -132,7 +137,16 @@ def us_daily_findings(bars: DataFrame) -> DataFrame:
         Check("negative_dividend", F.col("dividend") < 0, example=key),
         Check("split_factor", F.col("split_factor") <= 0, example=key),
     ]
-    return run_checks(bars.withColumn("_copies", copies), checks, ["asset_type", "symbol"])
+    if "source" in bars.columns:
+        checks.append(Check("missing_source", F.trim(F.coalesce("source", F.lit(""))) == "", example=key))
+    scope = ["asset_type", "symbol"]
+    out = run_checks(_with_copies(bars, [*scope, "date"]), checks, scope)
+    if "place" in bars.columns:
+        out = out.unionByName(file_order(bars, scope, ["date"], "date_order"))
+    if universe is not None:
+        bare = universe.select(*scope).distinct().join(bars.select(*scope).distinct(), scope, "left_anti")
+        out = out.unionByName(run_checks(bare, [Check("no_rows", F.lit(True))], scope))
+    return out
 
 
 def universe_report(universe: DataFrame, bars: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .findings import Check, run_checks
+from .findings import Check, file_order, run_checks, with_identity
 from .merge import upsert_keep_first_seen
 
 # Forms that are kept.
@@ -79,18 +79,43 @@ def _empty(*names: str) -> Column:
     return F.array_contains(F.array(*[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]), "")
 
 
-def validate_filings(rows: DataFrame) -> DataFrame:
+# What the products say of their source.
+FILING_SOURCE = "sec.edgar.submissions"
+FACT_SOURCE = "sec.edgar.companyfacts"
+
+
+def validate_filings(rows: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """Identity, forms, duplicates, dates and flags by symbol; where there are such columns, other sources than the product's and rows out of its order (``place``); with a ``universe`` (symbol, cik) ciks that are not the symbol's."""
     counted = rows.join(rows.groupBy("symbol", "accession").agg(F.count("*").alias("_n")), ["symbol", "accession"])
     key = F.col("accession")
     offset = F.col("accepted_at").rlike(r"[+-]\d{2}:\d{2}$")
-    return run_checks(counted, [Check("identity", _empty("symbol", "cik", "accession", "form"), example=key), Check("unsupported_form", ~F.col("form").isin(*FORMS), example=key), Check("duplicate_accession", F.col("_n") > 1, example=key), Check("missing_filing_date", F.col("filing_date").isNull(), example=key), Check("accepted_without_offset", F.col("accepted_at").isNotNull() & ~offset, example=key), Check("missing_flag", F.col("is_xbrl").isNull() | F.col("is_inline_xbrl").isNull(), example=key)], ["symbol"])
+    checks = [
+        Check("identity", _empty("symbol", "cik", "accession", "form"), example=key), Check("unsupported_form", ~F.col("form").isin(*FORMS), example=key), Check("duplicate_accession", F.col("_n") > 1, example=key),
+        Check("missing_filing_date", F.col("filing_date").isNull(), example=key), Check("accepted_without_offset", F.col("accepted_at").isNotNull() & ~offset, example=key), Check("missing_flag", F.col("is_xbrl").isNull() | F.col("is_inline_xbrl").isNull(), example=key),
+    ]
+    order = [F.coalesce(F.nullif("accepted_at", F.lit("")), F.col("filing_date").cast("string")), "filing_date", "accession"]
+    return _with_product_checks(counted, checks, key, FILING_SOURCE, universe).unionByName(file_order(rows, ["symbol"], order))
+
+
+def _with_product_checks(rows: DataFrame, checks: list[Check], key: Column, source: str, universe: DataFrame | None) -> DataFrame:
+    if "source" in rows.columns:
+        checks = [*checks, Check("source", ~F.col("source").eqNullSafe(source), example=key)]
+    if universe is not None:
+        rows, checks = with_identity(rows, universe), [*checks, Check("cik", ~F.col("cik").eqNullSafe(F.col("_cik")), example=key)]
+    return run_checks(rows, checks, ["symbol"])
 
 
-def validate_facts(rows: DataFrame, filing_rows: DataFrame) -> DataFrame:
-    """Identity, dates, availability rule, recomputed row_id, duplicates; warnings for facts without a filing or known before their end."""
+def validate_facts(rows: DataFrame, filing_rows: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """Identity, dates, availability rule, recomputed row_id, duplicates; warnings for facts without a filing or known before their end; source, order and cik as in ``validate_filings``."""
     counts = rows.groupBy("row_id").agg(F.count("*").alias("_n"))
     linked = filing_rows.select("symbol", "accession").distinct().withColumn("_linked", F.lit(True))
     checked = with_row_id(rows.withColumnRenamed("row_id", "_id")).withColumnRenamed("row_id", "_again").withColumnRenamed("_id", "row_id").join(counts, "row_id").join(linked, ["symbol", "accession"], "left")
     key = F.col("row_id")
     rule = S.available_date("accepted_at", "filed_date")
-    return run_checks(checked, [Check("identity", _empty("symbol", "cik", "taxonomy", "tag", "unit", "accession"), example=key), Check("missing_date", F.col("end_date").isNull() | F.col("filed_date").isNull() | F.col("available_date").isNull(), example=key), Check("start_after_end", F.col("start_date") > F.col("end_date"), example=key), Check("missing_value", F.col("value").isNull(), example=key), Check("available_date_rule", ~F.col("available_date").eqNullSafe(rule), example=key), Check("row_id", F.col("_again") != F.col("row_id"), example=key), Check("duplicate_row_id", F.col("_n") > 1, example=key), Check("unlinked_accession", F.col("_linked").isNull(), "warning", example=key), Check("available_before_end", F.col("available_date") < F.col("end_date"), "warning", example=key)], ["symbol"])
+    checks = [
+        Check("identity", _empty("symbol", "cik", "taxonomy", "tag", "unit", "accession"), example=key), Check("missing_date", F.col("end_date").isNull() | F.col("filed_date").isNull() | F.col("available_date").isNull(), example=key),
+        Check("start_after_end", F.col("start_date") > F.col("end_date"), example=key), Check("missing_value", F.col("value").isNull(), example=key), Check("available_date_rule", ~F.col("available_date").eqNullSafe(rule), example=key),
+        Check("row_id", F.col("_again") != F.col("row_id"), example=key), Check("duplicate_row_id", F.col("_n") > 1, example=key), Check("unlinked_accession", F.col("_linked").isNull(), "warning", example=key), Check("available_before_end", F.col("available_date") < F.col("end_date"), "warning", example=key),
+    ]
+    order = ["available_date", "accepted_at", "filed_date", "accession", "taxonomy", "tag", "unit", "start_date", "end_date", "frame", "value", "row_id"]
+    return _with_product_checks(checked, checks, key, FACT_SOURCE, universe).unionByName(file_order(rows, ["symbol"], [c for c in order if c in rows.columns]))

@@ -281,10 +281,19 @@ def _us_broken(spark, sf) -> DataFrame:
 
 @query(
     f"""WITH {V.US_BARS}, c AS (SELECT asset_type || '/' || symbol AS scope, count(*) AS total, count(*) FILTER (day(date) = 3) AS o, count(*) FILTER (day(date) = 4) AS d, count(*) FILTER (day(date) = 5) AS s FROM us_bars GROUP BY 1)
-SELECT * FROM (SELECT scope, 'raw_ohlc' AS "check", o AS count, total FROM c UNION ALL SELECT scope, 'negative_dividend', d, total FROM c UNION ALL SELECT scope, 'split_factor', s, total FROM c) WHERE count > 0"""
+SELECT * FROM (SELECT scope, 'raw_ohlc' AS "check", o AS count, total FROM c UNION ALL SELECT scope, 'negative_dividend', d, total FROM c UNION ALL SELECT scope, 'split_factor', s, total FROM c
+  UNION ALL SELECT asset_type || '/' || symbol, 'missing_source', count(*) FILTER (day(date) = 6), count(*) FROM us_bars GROUP BY 1
+  UNION ALL SELECT scope, 'date_order', count(*) FILTER (before > date), count(*) FROM (SELECT asset_type || '/' || symbol AS scope, date, lag(date) OVER (PARTITION BY asset_type, symbol ORDER BY date - CASE WHEN day(date) = 7 THEN 40 ELSE 0 END, date) AS before FROM us_bars) GROUP BY 1
+  UNION ALL SELECT 'etf/' || s_name, 'no_rows', 1, 1 FROM supplier) WHERE count > 0"""
 )
 def qc_us_findings(spark, sf):
-    return quality.us_daily_findings(_us_broken(spark, sf)).select("scope", "check", "count", "total")
+    """Also rows of the sixth without a source, those of the seventh 40 days too early in the file, and assets of the universe without rows."""
+    b = _us_broken(spark, sf)
+    d = F.dayofmonth("date")
+    late = F.date_sub("date", F.when(d == 7, 40).otherwise(0))
+    placed = b.withColumn("source", F.when(d == 6, F.lit(" ")).otherwise(F.lit("tiingo"))).withColumn("place", F.row_number().over(Window.partitionBy("asset_type", "symbol").orderBy(late, "date")))
+    universe = b.select("asset_type", "symbol").distinct().unionByName(V.table(spark, sf, "supplier").select(F.lit("etf").alias("asset_type"), F.col("s_name").alias("symbol")))
+    return quality.us_daily_findings(placed, universe).select("scope", "check", "count", "total")
 
 
 @query("SELECT l_partkey || '-' || l_suppkey AS symbol, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS present FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) < (SELECT count(DISTINCT l_returnflag) FROM lineitem)")
