@@ -518,9 +518,23 @@ def fin_safe_ratio(spark, sf):
 # -- snapshots
 
 
-@query(f"WITH {V.PROFILE} SELECT exchange, date, symbol, 'symbol' AS rule FROM profile UNION ALL SELECT exchange, date, symbol, 'exchange' FROM profile UNION ALL SELECT exchange, date, symbol, 'adjust' FROM profile WHERE volume > 40")
+@query(
+    rf"""WITH {V.PROFILE}, m AS (SELECT exchange, date, day(date) AS d, trade_status, adjust, CASE WHEN day(date) % 2 = 0 THEN lpad(regexp_replace(symbol, '\D', '', 'g'), 6, '0') || '.' || upper(exchange) ELSE symbol END AS symbol FROM profile),
+r AS (SELECT * FROM m UNION ALL SELECT * FROM m WHERE d = 14)
+SELECT exchange, date, symbol, unnest(list_filter([CASE WHEN d % 2 = 1 THEN 'symbol' END, CASE WHEN d % 2 = 1 THEN 'exchange' END, CASE WHEN d = 14 THEN 'duplicate_symbol' END, CASE WHEN d = 10 THEN 'missing_price' END, CASE WHEN d = 6 THEN 'preclose' END, CASE WHEN d = 2 THEN 'trade_status' END,
+  CASE WHEN d = 4 AND trade_status = 1 THEN 'tradable_price' END, CASE WHEN d = 4 THEN 'envelope' END, CASE WHEN d = 8 OR (d = 12 AND trade_status = 1) THEN 'activity' END, CASE WHEN adjust = 'raw' THEN 'adjust' END], lambda x: x IS NOT NULL)) AS rule FROM r"""
+)
 def snap_violations(spark, sf):
-    return snapshot.violations(V.doubles(V.profile(spark, sf)))
+    """Symbols are valid on even days; each rule is broken on a day of the month of its own."""
+    p = V.doubles(V.profile(spark, sf))
+    d = F.dayofmonth("date")
+    on = lambda day, c, value: F.when(d == day, value).otherwise(F.col(c))
+    valid = F.concat(F.lpad(F.regexp_replace("symbol", r"\D", ""), 6, "0"), F.lit("."), F.upper("exchange"))
+    rows = p.withColumns({
+        "symbol": F.when(d % 2 == 0, valid).otherwise(F.col("symbol")), "open": on(10, "open", F.lit(None)), "close": on(4, "close", F.lit(0.0)), "preclose": on(6, "preclose", F.lit(0.0)),
+        "volume": on(8, "volume", F.lit(-1.0)), "amount": on(12, "amount", F.lit(None)), "trade_status": on(2, "trade_status", F.lit(2)),
+    })
+    return snapshot.violations(rows.unionByName(rows.filter(d == 14)))
 
 
 _TEXT = "'=' || symbol || chr(31) || '=' || trade_status || chr(31) || '=' || is_st || chr(31) || '=' || adjust"
