@@ -1,8 +1,8 @@
 """WARC archives: writing with revisit records, and a salvage reader.
 
 Archives are written by Spark's text writer, so they go wherever Spark can write; each record is a gzip member of its own,
-so that damage costs one record. An archive has at most ``PARTS_PER_FILE`` parts of ``PART_BYTES`` of plain records, or of
-one larger record. The reader takes archives from Spark's binaryFile source and passes on a few records at a time. When a
+so that damage costs one record. An archive has at most ``PARTS_PER_FILE`` parts, of ``PART_BYTES`` of plain records or of one
+larger record, and at most ``FILE_BYTES`` of gzip members, or one larger record alone. The reader takes archives from Spark's binaryFile source and passes on a few records at a time. When a
 check fails, it looks for the next gzip member or version line that holds, takes up later records, and returns the bytes it
 passed over as gaps.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import column, join_checked, settle, shared_dir
 
 REVISIT_FROM = 1000
-PART_BYTES, PARTS_PER_FILE = 1 << 20, 32
+PART_BYTES, PARTS_PER_FILE, FILE_BYTES = 1 << 20, 32, 32 << 20
 _ID = "urn:marketweave:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
@@ -68,18 +68,31 @@ def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> No
     )
     record = F.concat(head, block, F.lit("\r\n\r\n")).cast("binary").alias("value")
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         part, size = [], 0
         for batch in batches:
             for x in column(batch, "value"):
                 plain = x.as_buffer()
                 if part and size + plain.size > PART_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(part)], pa.binary())], ["value"])
+                    yield b"".join(part)
                     part, size = [], 0
                 part.append(gzip.compress(plain, 6, mtime=0))
                 size += plain.size
         if part:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(part)], pa.binary())], ["value"])
+            yield b"".join(part)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the writer closes a file by its number of parts: one that is full by its bytes gets empty parts up to that
+        row = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.binary())], ["value"])
+        n = size = 0
+        for part in parts(batches):
+            if n and size + len(part) > FILE_BYTES:
+                yield row([b""] * (PARTS_PER_FILE - n))
+                n = size = 0
+            yield row([part])
+            n, size = n + 1, size + len(part)
+            if n == PARTS_PER_FILE:
+                n = size = 0
 
     # a cast to string leaves the bytes as they are, and so does the text writer
     rows = pages.select(record).mapInArrow(members, "value binary").select(F.col("value").cast("string"))
