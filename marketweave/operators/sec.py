@@ -10,7 +10,7 @@ from .findings import Check, file_order, run_checks, with_identity
 from .merge import upsert_keep_first_seen
 
 # Forms that are kept.
-FORMS = ["10-K", "10-K/A", "10-Q", "10-Q/A", "20-F", "20-F/A", "40-F", "40-F/A", "8-K", "8-K/A", "6-K", "6-K/A"]
+FORMS = ["10-K", "10-K/A", "10-Q", "10-Q/A", "8-K", "8-K/A", "20-F", "20-F/A", "40-F", "40-F/A", "6-K", "6-K/A"]
 FACT_KEY = ["symbol", "cik", "taxonomy", "tag", "unit", "start_date", "end_date", "value", "filed_date", "form", "fiscal_year", "fiscal_period", "frame", "accession"]
 
 _ARRAYS = "accessionNumber array<string>, filingDate array<string>, reportDate array<string>, acceptanceDateTime array<string>, form array<string>, primaryDocument array<string>, isXBRL array<string>, isInlineXBRL array<string>"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import bars, concepts, financial_audit, financials, findings, merge, minute, minute_audit, pit, quality, reference, search, sec, snapshot
-from ..sources import sinks
+from ..settled import folder
+from ..sources import footers, sinks
 from . import views as V
 from .queries import _BROKEN, _CODES, _REPAIRED, _ROLLED, _TEXT, _broken, _codes, _facts, _volume, query
 
@@ -27,6 +28,13 @@ def scl_values(spark, sf):
     )
 
 
+@query("""SELECT o_orderkey, (o_orderdate::DATE + (i * 7)::INT)::DATE AS first, least(o_orderdate::DATE + (i * 7 + 6)::INT, o_orderdate::DATE + 17)::DATE AS last FROM orders, range(0, 3) t(i)""")
+def scl_date_chunks(spark, sf):
+    day = F.to_date("o_orderdate")
+    chunks = V.table(spark, sf, "orders").select("o_orderkey", F.explode(S.date_chunks(day, F.date_add(day, 17), 7)).alias("c"))
+    return chunks.select("o_orderkey", F.col("c.start").alias("first"), F.col("c.end").alias("last"))
+
+
 @query(r"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, regexp_replace(regexp_replace(l_extendedprice::DECIMAL(18,2)::VARCHAR, '(\.\d*?)0+$', '\1'), '\.$', '') AS price, CASE WHEN l_discount = 0 THEN '0' ELSE regexp_replace(regexp_replace(l_discount::DECIMAL(18,2)::VARCHAR, '(\.\d*?)0+$', '\1'), '\.$', '') END AS discount FROM lineitem")
 def scl_number_text(spark, sf):
     return V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", S.number_text("l_extendedprice").alias("price"), S.number_text("l_discount").alias("discount"))
@@ -385,6 +393,21 @@ def min_production(spark, sf):
     return found.select("scope", "check", "count")
 
 
+@query(f"""WITH {_ROLLED}, tree AS (SELECT 1 AS frequency, symbol, trade_time FROM minutes UNION ALL SELECT frequency, symbol, trade_time FROM rolled WHERE frequency = 30)
+SELECT frequency, symbol AS exchange, trade_time::DATE AS trade_date, count(*) AS rows, 0::BIGINT AS nulls, 'zstd' AS codecs FROM tree GROUP BY ALL""")
+def src_footers(spark, sf):
+    """Minute and half-hour bars written as a production tree, told by its footers alone."""
+    one = _volume(V.minutes(spark, sf))
+    rows = one.withColumn("frequency", F.lit(1)).unionByName(bars.session_rollup(one, (30,)))
+    tree = folder(spark, "minute-tree")
+    sinks.minutes(rows.withColumn("exchange", F.col("symbol")).withColumn("trade_date", F.to_date("trade_time")), tree)
+    found = footers.scan(spark, tree)
+    part = lambda name, kind: F.regexp_extract(F.url_decode("path"), rf"/{name}=([^/]+)/", 1).cast(kind).alias(name)
+    nulls = F.aggregate("nulls", F.lit(0).cast("long"), lambda a, x: a + x["nulls"])
+    by = found.select(part("frequency", "int"), part("exchange", "string"), part("trade_date", "date"), "rows", nulls.alias("nulls"), F.array_join("codecs", ",").alias("codecs"))
+    return by.groupBy("frequency", "exchange", "trade_date", "codecs").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls")).select("frequency", "exchange", "trade_date", "rows", "nulls", "codecs")
+
+
 def _vendor(spark, sf, rows: DataFrame, frequency: int) -> DataFrame:
     return rows.select(F.col("symbol").alias("member"), F.col("symbol").alias("ts_code"), F.lit(f"{frequency}min").alias("freq"), "trade_time", *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], F.col("volume").cast("double").alias("vol"), F.col("amount").cast("double").alias("amount"))
 

@@ -6,18 +6,22 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as Parquet in the folder that the cluster shares (``spark.checkpoint.dir``; in local mode a temporary one where unset)."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``; in local mode a temporary one where unset)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="marketweave-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read again."""
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -65,21 +65,24 @@ def symbol_caches(spark: SparkSession, path: str, ddl: str, strict: bool = True)
 
 
 def stale_headers(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """Files whose header lacks required columns: path, missing. The first line of each file is all that a task keeps of it."""
+    """Files whose header lacks required columns: path, missing. Of each file a task reads the first bytes, up to the end of its first line."""
+    from .members import opened
+
+    def head(path: str) -> str:
+        with opened(path) as raw:
+            packed = raw.read(2) == b"\x1f\x8b"
+            raw.seek(0)
+            with gzip.open(raw) if packed else raw as f:
+                line = b""
+                while b"\n" not in line and (more := f.read(4096)):
+                    line += more
+        return line.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, heads = batch.column(0), []
-            for content in batch.column(1):
-                data = content.as_buffer()
-                with gzip.open(pa.BufferReader(data)) if bytes(data[:2]) == b"\x1f\x8b" else pa.BufferReader(data) as f:
-                    head = b""
-                    while b"\n" not in head and (more := f.read(4096)):
-                        head += more
-                    heads.append(head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r"))
-            yield pa.RecordBatch.from_arrays([names, pa.array(heads, pa.string())], ["path", "header"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInArrow(run, "path string, header string")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([head(p) for p in batch.column(0).to_pylist()], pa.string())], ["path", "header"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").mapInArrow(run, "path string, header string")
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.transform(F.split("header", ","), lambda c: F.trim(c))))
     return files.select("path", missing.alias("missing")).filter(F.size("missing") > 0)
 
