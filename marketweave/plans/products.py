@@ -311,6 +311,30 @@ def fin_standardize(spark, sf):
     return V.doubles(rows.select("symbol", "period_type", "report_period", "revenue", "net_income", "total_assets", F.round("net_margin", 6).alias("net_margin")))
 
 
+def _year_to_date_facts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Order totals of each nation as operating income that is told from the year's beginning on in every report."""
+    p = V.periods(spark, sf).groupBy("symbol", "report_period").agg(F.sum("value").cast("decimal(28,2)").alias("x"))
+    p = p.withColumn("so_far", F.sum("x").over(Window.partitionBy("symbol", F.year("report_period")).orderBy("report_period"))).withColumn("accession", F.concat_ws("-", "symbol", F.date_format("report_period", "yyyyMMdd")))
+    last, available = F.quarter("report_period") == 4, F.date_add("report_period", 40)
+    facts = p.select(
+        "symbol", F.col("accession").alias("row_id"), F.lit("us-gaap").alias("taxonomy"), F.lit("OperatingIncomeLoss").alias("tag"), F.lit("USD").alias("unit"), F.trunc("report_period", "year").alias("start_date"), F.col("report_period").alias("end_date"), F.col("so_far").cast("decimal(38,12)").alias("value"), available.alias("available_date"),
+        F.date_format(available, "yyyy-MM-dd").alias("accepted_at"), F.when(last, "10-K").otherwise("10-Q").alias("form"), F.year("report_period").cast("string").alias("fiscal_year"), F.when(last, "FY").otherwise(F.concat(F.lit("Q"), F.quarter("report_period").cast("string"))).alias("fiscal_period"), "accession", F.lit("r").alias("retrieved_at"),
+    )
+    return facts, p.select("symbol", "accession")
+
+
+@query(f"""WITH {V.PERIODS}, s AS (SELECT symbol, report_period, year(report_period) AS y, quarter(report_period) AS n, sum(value)::DECIMAL(28,2) AS x FROM periods GROUP BY symbol, report_period),
+c AS (SELECT *, sum(x) OVER (PARTITION BY symbol, y ORDER BY report_period) AS so_far, max(CASE WHEN n = 1 THEN x END) OVER w AS q1, bool_or(n = 1) OVER w AS has1, bool_or(n = 2) OVER w AS has2, bool_or(n = 3) OVER w AS has3 FROM s WINDOW w AS (PARTITION BY symbol, y)),
+q AS (SELECT symbol, report_period, n, so_far, CASE WHEN n = 1 THEN x WHEN n = 2 AND has1 THEN x WHEN n = 3 AND has2 THEN x WHEN n = 4 AND has1 AND has2 AND has3 THEN x END AS v FROM c)
+SELECT symbol, 'quarterly' AS period_type, report_period, v::DOUBLE AS operating_income, CASE WHEN n = 1 THEN '' WHEN n < 4 AND v IS NOT NULL THEN 'quarter_derived_from_ytd' WHEN n < 4 OR v IS NULL THEN 'quarter_derivation_incomplete' ELSE 'q4_derived_from_fy' END AS derivation FROM q WHERE v IS NOT NULL
+UNION ALL SELECT symbol, 'annual', report_period, so_far::DOUBLE, '' FROM q WHERE n = 4""")
+def fin_ytd_difference(spark, sf):
+    """Quarters as the year to date less the one before, and the fourth as the year less the three."""
+    rows = financials.values(financials.standardize(*_year_to_date_facts(spark, sf))).filter("period_type <> 'ttm'")
+    told = F.array_join(F.array_sort(F.filter("quality_flags", lambda x: x.startswith("quarter_der") | x.startswith("q4_"))), ",")
+    return V.doubles(rows.select("symbol", "period_type", "report_period", "operating_income", told.alias("derivation")))
+
+
 @query(f"""WITH {_QUARTERS}, f AS (SELECT symbol, 'quarterly' AS period_type, report_period, CASE WHEN n < 4 THEN 'direct' ELSE 'fy_less_q1_q2_q3' END AS calculation, CASE WHEN n < 4 THEN 1 ELSE 4 END AS c FROM q WHERE revenue IS NOT NULL
   UNION ALL SELECT symbol, 'annual', report_period, 'direct', 1 FROM a UNION ALL SELECT symbol, 'ttm', report_period, 'sum_four_quarters', 4 FROM t WHERE revenue IS NOT NULL)
 SELECT symbol, period_type, report_period, unnest(['revenue', 'net_income', 'net_margin']) AS metric, unnest([calculation, calculation, 'net_income/revenue']) AS calculation, c::BIGINT AS components FROM f
