@@ -10,8 +10,9 @@ windows share and neighbouring windows mostly share too, so a pass moves an anch
 1. All anchors are dealt by hash; those in one document drop out, the others are told back to their documents.
 2. What is left goes again, with the bytes of all the windows that have this anchor, and is sorted by the further digits.
    A share of it beyond ``MOST`` entries is passed on to a third pass, dealt by single windows, so memory stays bounded.
-Before each pass a task combines what it holds, so that a group of near copies sends one entry a task. Exact copies are
-found by digest first: every byte of the later ones goes.
+Before each pass a task combines what it holds, so that a group of near copies sends one entry a task; a task that receives
+combines too whenever it holds many entries, so of equal windows it keeps those of the least document only. Exact copies
+are found by digest first: every byte of the later ones goes.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ SPREAD = DEPTH - GRAM + 1
 CONTEXT = DEPTH + SPREAD - 1
 #: Entries that a task combines before it sends them, and that one share of the second pass may have in memory.
 CHUNK, MOST = 500_000, 400_000
+#: Entries whose single windows are made, and combined, at a time.
+SINGLES = 20_000
 #: Bytes of text for each share that the anchors are dealt into, so that shares do not grow with the input.
 SHARE_BYTES = 2 << 20
 _LOW = np.uint64((1 << 48) - 1)
@@ -362,14 +365,23 @@ def _as_dealt(spans: np.ndarray, shards: int) -> pa.RecordBatch:
     return _batch("dealt", shard=(mix(docs.view(np.uint64)) % np.uint64(shards)).astype(np.int32), kind=np.ones(len(docs), np.int8), doc_id=docs, blob=blobs)
 
 
-def _meet_contexts(most: int, shards: int):
-    """Second pass, receiving. Spans come out as kind 1; single windows of shares beyond ``most`` entries as kind 0."""
+def _combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of the least document of each context, their text, and the spans of all others."""
+    rows, text = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    stay, later = _same_contexts(rows, text)
+    return rows[stay], text[stay], _spans(rows[later], rows["pos"][later], rows["size"][later].astype(np.int32))
+
+
+def _meet_contexts(most: int, shards: int, last: bool = False):
+    """Second pass, receiving. Spans come out as kind 1; single windows of shares beyond ``most`` entries as kind 0.
+
+    Beyond ``most`` entries equal contexts are combined. If half of them or more are left the share is passed on; the last
+    pass goes on with what is left, a window's least document, until that has doubled.
+    """
 
     def solve(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
-        rows, text = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        stay, later = _same_contexts(rows, text)
-        yield _spans(rows[later], rows["pos"][later], rows["size"][later].astype(np.int32))
-        rows, text = rows[stay], text[stay]
+        rows, text, gone = _combined(parts)
+        yield gone
         order = np.argsort(rows["h"], kind="stable")
         rows, text = rows[order], text[order]
         bounds = _runs(rows["h"])
@@ -379,30 +391,40 @@ def _meet_contexts(most: int, shards: int):
             yield _sort_windows(rows[a:b], text[a:b])
             a = b
 
-    def single(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
-        rows, text = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        row, offset = _windows(rows, text)
-        own = _window_text(text, row, offset)
-        out = rows[row]
-        out["pos"], out["size"] = out["pos"] + offset, DEPTH
-        key = np.zeros(len(out), dtype=np.uint64)
-        for d in _digits(own):
-            key = mix(key ^ d)
-        out["left"], out["h"] = 0, key & _LOW
-        return _deal(out, np.pad(own, ((0, 0), (0, CONTEXT - DEPTH))), shards)
+    def single(rows: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(rows["h"], kind="stable")
+        for a in range(0, len(rows), SINGLES):
+            some = order[a : a + SINGLES]
+            row, offset = _windows(rows[some], text[some])
+            own = _window_text(text[some], row, offset)
+            out = rows[some][row]
+            out["pos"], out["size"] = out["pos"] + offset, DEPTH
+            key = np.zeros(len(out), dtype=np.uint64)
+            for d in _digits(own):
+                key = mix(key ^ d)
+            out["left"], out["h"] = 0, key & _LOW
+            out, own, gone = _combined([(out, own)])
+            if len(gone):
+                yield _as_dealt(gone, shards)
+            yield from filter(None, [_deal(out, np.pad(own, ((0, 0), (0, CONTEXT - DEPTH))), shards)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, now, held, over = [], None, 0, False
+        parts, now, held, over, room = [], None, 0, False, most
         spans: list[np.ndarray] = []
         ready = 0
 
         def close() -> Iterator[pa.RecordBatch]:
             nonlocal parts, held
             if parts and over:
-                yield from filter(None, [single(parts)])
+                rows, text, gone = _combined(parts)
+                spans.append(gone)
+                yield from single(rows, text)
             elif parts:
                 spans.extend(solve(parts))
             parts, held = [], 0
+            if sum(map(len, spans)) >= CHUNK:
+                yield _as_dealt(np.concatenate(spans), shards)
+                spans.clear()
 
         for shard, kind, doc, blob in _by_shard(batches):
             if kind:
@@ -417,15 +439,22 @@ def _meet_contexts(most: int, shards: int):
                 continue
             if shard != now:
                 yield from close()
-                now, over = shard, False
+                now, over, room = shard, False, most
+            parts.append(unpack(blob, _PLACE, CONTEXT))
+            held += len(parts[-1][0])
+            if held > room:
+                rows, text, gone = _combined(parts)
+                spans.append(gone)
+                parts, held = [(rows, text)], len(rows)
+                if last:
+                    room = max(most, 2 * held)
+                elif over or 2 * held >= most:
+                    over = True
+                    yield from single(rows, text)
+                    parts, held = [], 0
                 if sum(map(len, spans)) >= CHUNK:
                     yield _as_dealt(np.concatenate(spans), shards)
                     spans.clear()
-            parts.append(unpack(blob, _PLACE, CONTEXT))
-            held += len(parts[-1][0])
-            if held > most:
-                over = True
-                yield from close()
         yield from close()
         if spans and sum(map(len, spans)):
             yield _as_dealt(np.concatenate(spans), shards)
@@ -445,7 +474,7 @@ def repeated_spans(rows: DataFrame, most: int = MOST) -> DataFrame:
     joined = rows.join(by_doc, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "row", "copy", "text", "told")
     met = dealt(joined.mapInArrow(_send_contexts(shards), _DEALT)).mapInArrow(_meet_contexts(most, shards), _DEALT)
     # single windows of large shares meet by their bytes: exact at any size; spans pass through
-    return dealt(met).mapInArrow(_meet_contexts(1 << 62, shards), _DEALT).select("doc_id", "blob")
+    return dealt(met).mapInArrow(_meet_contexts(most, shards, last=True), _DEALT).select("doc_id", "blob")
 
 
 def remove_repeats(documents: DataFrame, most: int = MOST, with_text: bool = False) -> DataFrame:
