@@ -3,9 +3,9 @@
 Noisy channel: a word with look-alike symbols, separators, spaced-out letters or stretched letters becomes a lattice in
 which each character stands for itself, for a letter that it resembles, or for nothing, each at a price. Viterbi decoding
 finds the path that is cheapest together with a character trigram model; the model is counted over all documents, one
-fixed table of cells that tasks sum up before the shuffle. Words without such signs are a lattice of one path. Runs of
-single characters, and words with separators or of many letters, are decoded a second time with a word break, at a price,
-before any character, so that one may give several words. The work is linear in the length.
+fixed table of cells that tasks sum up before the shuffle. Words without such signs are a lattice of one path. All that is
+decoded, of any length, is decoded a second time with a word break, at a price, before any character, so that it may give
+several words; a plain word is so too if a break at one place at least makes it cheaper. The work is linear in the length.
 
 Classifier: logistic regression over the presence of words and word beginnings of the restored text. Features are chosen
 by the log-likelihood ratio over a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest hashes of doc_id), and
@@ -43,7 +43,6 @@ _PUNCTUATION = ".,;:?\"'`()[]{}<>#%&*^~=\\/_-!$@+|"
 _LEADING = "".join(c for c in _PUNCTUATION if c not in LOOKS_LIKE)
 #: Prices of a word break: between single characters, at a separator, between letters of one word.
 _RUN_BREAK, _SIGN_BREAK, _LETTER_BREAK = 0.5, 0.2, 3.0
-LONG_WORD = 40
 _STRETCHED = re.compile(r"(.)\1\1")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -95,6 +94,17 @@ class Speller:
             out.append(ways)
         return out
 
+    def joined(self, word: str, gap: float) -> bool:
+        """Whether ``word``, a spelling of letters only, is cheaper with a break of this price at some place."""
+        price, n = self.prices, len(word)
+        c = [0, 0, *map(_class, word), 0]
+        for i in range(3, n + 2):  # a break before c[i]
+            x, y, z, after = c[i - 2], c[i - 1], c[i], c[i + 1]
+            whole = price[(x * _CLASSES + y) * _CLASSES + z] + price[(y * _CLASSES + z) * _CLASSES + after]
+            if whole > gap and whole > gap + price[(x * _CLASSES + y) * _CLASSES] + price[y * _CLASSES * _CLASSES + z] + price[z * _CLASSES + after]:
+                return True
+        return False
+
     def decode(self, word: str, gap: float | None = None) -> str:
         """The cheapest restored spelling: letters only and, if ``gap`` prices them, blanks between words."""
         # a state: the last two classes; its text is a chain of (rest, letter)
@@ -162,15 +172,15 @@ class Words:
         """Lower-case words that ``word`` stands for."""
         low = word.lower().lstrip(_LEADING).rstrip(_PUNCTUATION)
         if low.isalpha() and not _STRETCHED.search(low):
-            return [low]
+            return [low, *(self.speller.decode(low, _LETTER_BREAK).split() if self.speller.joined(low, _LETTER_BREAK) else [])]
         parts = _LETTERS.findall(low)
         if not parts:
             return []
         single = len(parts) > 2 and max(map(len, parts)) == 1
         if single or any(c in LOOKS_LIKE for c in low) or _STRETCHED.search(low):
-            whole = [self.speller.decode(low), *(parts if len(parts) > 1 and not single else [])]
-            glued = len(low) > LONG_WORD or not single and any(not c.isalnum() and c not in LOOKS_LIKE for c in low)
-            return whole + (self.speller.decode(low, _LETTER_BREAK).split() if glued else [])
+            if single:  # as a run of characters that blanks part
+                return self.restore_run("".join(c for c in low if c.isalnum() or c in LOOKS_LIKE))
+            return [self.speller.decode(low), *(parts if len(parts) > 1 else []), *self.speller.decode(low, _LETTER_BREAK).split()]
         return parts
 
     def restore_run(self, run: str) -> list[str]:

@@ -31,3 +31,15 @@ def test_long_words_are_restored():
     assert "idiot" in w.restore("page/you_are_an/1d10t")
     assert "idiot" in w.restore("you" * 1 + "u" * 40 + "idi0t")
     assert w.restore("o" * 200_000 + "k1" * 1000)  # linear in the length
+
+
+def test_joined_words_of_any_length():
+    w = words()
+    for n in range(1, 60):  # plain letters, and with a look-alike in the first word
+        filler = "agoodlookatthispage" * 3
+        for head in (filler[:n], "1" + filler[1:n] if n > 1 else "a"):
+            assert "idiot" in w.restore(head + "youareidiot"), (n, head, w.restore(head + "youareidiot"))
+    lengths = {len(w.restore("1d10t" + "this" * k + "x" * m)) > 1 for k in range(7, 11) for m in range(4)}
+    assert lengths == {True}  # 33 to 48 characters: breaks are tried in all
+    assert w.restore("idiot") == ["idiot"] and not w.speller.joined("page", 3.0)
+    assert w.restore("y.o.u.a.r.e.d.u.m.b") == w.restore_run("youaredumb")
