@@ -4,15 +4,17 @@ Texts are normalised: lower case A-Z, and every run of ASCII bytes that are no l
 an anchor a random walk reads one byte per step and moves on or stays by a random bit that depends on step and byte;
 the bytes read are the embedding. Windows of small edit distance fall into step again and have small Hamming distance.
 Several walks are made and of each several samples of steps are hashed; windows that share one hash with an item's window
-are candidates. For a candidate the document's stretch of the item's size is compared by exact edit distance
-(bit-parallel; first a count of shared 4-grams that any such stretch has), and kept if that is at most ``max_edits`` of the
-item's length.
+are candidates. For a candidate the document's stretches of whole words of the item's size are compared by exact edit
+distance (bit-parallel; first a count of shared 4-grams that any such stretch has), and the nearest is kept if that is at
+most ``max_edits`` of the item's length. This is so for items of every length.
 
 An item has several windows: an anchor is a word start that a hash of the next bytes selects, in documents and items alike,
-and an item with few anchors selects more. A window has the largest of ``SIZES`` steps that the item has bytes. (One window
-over a whole item was tried by reckoning only: at 15 % edits its walk is out of step for most of its length, and a sample of
-enough steps to tell items apart agrees once in many thousand times.) How many walks are made follows from ``recall``:
-copies of the items with ``max_edits`` random edits are searched, and walks added until that share of them is found.
+and an item with few anchors selects more. A window has the largest of ``SIZES`` steps that an item has three times over, so
+that several fit in. (One window over a whole item was tried by reckoning only: at 15 % edits its walk is out of step for
+most of its length, and a sample of enough steps to tell items apart agrees once in many thousand times.) How many walks are
+made follows from ``recall``, for each size of window on its own: copies of the items with ``max_edits`` random edits are
+searched, and walks added until that share is found among items of each length (lengths are classed by doublings). Where
+``PATIENCE`` further walks find nothing more, a warning tells the share that is found.
 
 Items go to the tasks as one broadcast value; their number is checked, and larger sets are gone through in blocks, each a
 pass over the documents. Documents are not shuffled; hits are few columns.
@@ -20,7 +22,9 @@ pass over the documents. Documents are not shuffled; hits are few columns.
 
 from __future__ import annotations
 
+import logging
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +39,13 @@ from .hashing import LOWER, mix
 BLOCK_CHARS = 4_000_000
 SIZES = (1, 3, 8, 16, 40)
 SAMPLES, SAMPLED = 3, 13
-MOST_WALKS = 8
 LEAST_ANCHORS = 4
 RECALL = 0.95
-#: Items, by hash of their text, of which edited copies are searched to find the number of walks.
-TRIED = 300
-#: Items of under so many bytes are found only as whole words.
-WHOLE_WORDS = 24
+#: Walks without gain after which no more are added.
+PATIENCE = 4
+#: Items of each class of length, by hash of their text, of which edited copies are searched to find the number of walks,
+#: and the least number of copies.
+TRIED, COPIES = 300, 100
 #: Share of the steps of a candidate that must read the same bytes as the item's.
 AGREE = 0.6
 MAX_EDITS = 0.15
@@ -83,7 +87,7 @@ class Walks:
             random = np.random.Generator(np.random.PCG64([steps, w]))
             self.move[w] = random.integers(0, 2, (steps, 256))
             for s in range(SAMPLES):
-                self.sampled[w, s, random.choice(steps, min(steps, SAMPLED), replace=False)] = True
+                self.sampled[w, s, random.choice(steps, min(steps, SAMPLED, max(8, steps * 5 // 8)), replace=False)] = True
         self.times = np.uint64(0x9E3779B97F4A7C15)
 
     def keys(self, text: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
@@ -133,42 +137,52 @@ def word_starts(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, (mix(value) >> np.uint64(48)).astype(np.int64)
 
 
-def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
-    """(edit distance, end in ``text``) of the stretch of ``text`` nearest to ``pattern``, or None if it is over ``most`` edits away."""
-    m = len(pattern)
-    masks: dict[int, int] = {}
+def _masks(pattern: bytes) -> dict[int, int]:
+    out: dict[int, int] = {}
     for i, c in enumerate(pattern):
-        masks[c] = masks.get(c, 0) | 1 << i
-    full, top = (1 << m) - 1, 1 << m - 1
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _distances(masks: dict[int, int], m: int, text: bytes, anywhere: bool) -> Iterator[int]:
+    """For each end in ``text`` the edit distance of a pattern of ``m`` bytes to the stretch from the text's start to there, or from ``anywhere``."""
+    full, top, edge = (1 << m) - 1, 1 << m - 1, 0 if anywhere else 1
     up, down, score = full, 0, m
-    best = (m, 0)
-    for j, c in enumerate(text, 1):
+    for c in text:
         eq = masks.get(c, 0)
         x = (((eq & up) + up) ^ up) | eq | down
         h_up, h_down = down | (full & ~(x | up)), up & x
         score += 1 if h_up & top else -1 if h_down & top else 0
-        h_up, h_down = h_up << 1 & full, h_down << 1 & full
+        h_up, h_down = h_up << 1 & full | edge, h_down << 1 & full
         y = eq | down
         up, down = h_down | (full & ~(y | h_up)), h_up & y
-        best = min(best, (score, j))
+        yield score
+
+
+def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
+    """(edit distance, end in ``text``) of the stretch of ``text``, of any bytes, nearest to ``pattern``, or None if it is over ``most`` edits away."""
+    distances = enumerate(_distances(_masks(pattern), len(pattern), text, True), 1)
+    best = min(((edits, j) for j, edits in distances), default=(len(pattern), 0))
+    best = min(best, (len(pattern), 0))
     return best if best[0] <= most else None
 
 
-def _words_near(pattern: bytes, text: bytes, most: int, opens: bool, closes: bool) -> tuple[int, int, int] | None:
-    """(edit distance, end, start) of the nearest stretch of whole words; ``opens`` and ``closes``: a word may begin and end where ``text`` does."""
-    starts = [i for i in range(len(text)) if text[i] != 32 and (text[i - 1] == 32 if i else opens)]
-    ends = [j for j in range(1, len(text) + 1) if text[j - 1] != 32 and (text[j] == 32 if j < len(text) else closes)]
-    best = None
-    for i in starts:
-        for j in ends:
-            if abs(j - i - len(pattern)) <= most and j > i:
-                row = [*range(len(pattern) + 1)]
-                for n, c in enumerate(text[i:j], 1):
-                    corner, row[0] = row[0], n
-                    for m, p in enumerate(pattern, 1):
-                        corner, row[m] = row[m], min(row[m] + 1, row[m - 1] + 1, corner + (c != p))
-                if row[-1] <= most and (best is None or (row[-1], j, i) < best):
-                    best = (row[-1], j, i)
+def words_near(pattern: bytes, text: bytes, most: int, opens: bool = True, closes: bool = True) -> tuple[int, int, int] | None:
+    """(edit distance, end, start) of the nearest stretch of whole words, the first of equals, or None if none is within ``most`` edits.
+
+    ``opens`` and ``closes`` tell whether a word may begin and end where ``text`` does.
+    """
+    m, n, best = len(pattern), len(text), None
+    # read backwards: the least distance of all stretches that begin at a place
+    least = [*_distances(_masks(pattern[::-1]), m, text[::-1], True)][::-1]
+    starts = sorted((least[i], i) for i in range(n) if least[i] <= most and text[i] != 32 and (text[i - 1] == 32 if i else opens))
+    masks = _masks(pattern) if starts else {}
+    for bound, i in starts:
+        if best is not None and bound > best[0]:
+            break
+        for j, edits in enumerate(_distances(masks, m, text[i : i + m + most], False), i + 1):
+            if edits <= most and text[j - 1] != 32 and (text[j] == 32 if j < n else closes) and (best is None or (edits, j, i) < best):
+                best = (edits, j, i)
     return best
 
 
@@ -216,7 +230,7 @@ class Items:
         pairs = [(i, text[a:b].tobytes().strip()) for (i, _), a, b in zip(rows, *bounds, strict=True)]
         self.items = [(i, t) for i, t in pairs if t]
         self.grams = [grams(np.frombuffer(t + b"\0" * 3, dtype=np.uint8)[: max(len(t), 4)]) for _, t in self.items]
-        self.size_of = [max(s for s in SIZES if s <= len(t)) for _, t in self.items]
+        self.size_of = [max(s for s in SIZES if s <= len(t) and (s <= 8 or 3 * s <= len(t))) for _, t in self.items]
         self.steps = max(self.size_of, default=0)
         self.selected = selection()
         values = []
@@ -229,26 +243,37 @@ class Items:
             lack = LEAST_ANCHORS - (len(value) - len(less))
             if lack > 0:
                 self.selected[less[np.argsort(often[less], kind="stable")[:lack]]] = True
-        self.groups: list[Group] = []
-        if walks is not None or not self.items:
-            self._walk(walks or 1)
-            return
-        tried = sorted(range(len(self.items)), key=lambda k: (zlib.crc32(self.items[k][1]), k))[:TRIED]
-        for walks in range(1, MOST_WALKS + 1):
-            self._walk(walks)
-            if self._found(tried, max_edits) >= recall:
-                break
-
-    def _walk(self, walks: int) -> None:
-        self.walks = walks
-        self.groups = [Group(self.items, chosen, s, self.selected, walks) for s in SIZES if (chosen := [k for k, x in enumerate(self.size_of) if x == s])]
-
-    def _found(self, tried: list[int], max_edits: float) -> float:
-        """Share of the items of which a copy with the most random edits is found."""
-        texts = [b"x " + spoiled(self.items[k][1], int(max_edits * len(self.items[k][1])), n) + b" x" for n, k in enumerate(tried)]
-        at = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-        got = {(d, k) for d, k, *_ in _find(self, np.frombuffer(b"".join(texts), dtype=np.uint8), at, max_edits)}
-        return sum((d, k) in got for d, k in enumerate(tried)) / len(tried)
+        #: Share found by class (steps, bits of the length), as measured.
+        self.recall: dict[tuple[int, int], float] = {}
+        chosen = {s: [k for k, x in enumerate(self.size_of) if x == s] for s in SIZES}
+        self.groups = [self._group(s, own, max_edits, recall, walks) for s, own in chosen.items() if own]
+
+    def _group(self, steps: int, own: list[int], max_edits: float, recall: float, walks: int | None) -> Group:
+        if walks is not None:
+            return Group(self.items, own, steps, self.selected, walks)
+        classes = defaultdict(list)
+        for k in sorted(own, key=lambda k: (zlib.crc32(self.items[k][1]), k)):
+            classes[len(self.items[k][1]).bit_length()].append(k)
+        tried = [(c, k) for c, of in classes.items() for k in of[:TRIED] * -(-COPIES // len(of[:TRIED]))]
+        texts = [b"x " + spoiled(self.items[k][1], int(max_edits * len(self.items[k][1])), n) + b" x" for n, (_, k) in enumerate(tried)]
+        data, at = np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        best, idle, walks = -1, 0, 0
+        while True:
+            walks += 1
+            group = Group(self.items, own, steps, self.selected, walks)
+            got = {(d, k) for d, k, *_ in _find(self, data, at, max_edits, [group])}
+            found, of = defaultdict(int), defaultdict(int)
+            for d, (c, k) in enumerate(tried):
+                of[c] += 1
+                found[c] += (d, k) in got
+            self.recall.update({(steps, c): found[c] / of[c] for c in of})
+            if all(found[c] >= recall * of[c] for c in of):
+                return group
+            total = sum(min(found[c], recall * of[c]) for c in of)
+            best, idle = (total, 0) if total > best else (best, idle + 1)
+            if idle == PATIENCE:
+                logging.getLogger(__name__).warning("items found by %d walks of %d steps, by bits of length: %s", walks, steps, {c: round(found[c] / of[c], 3) for c in of})
+                return group
 
 
 def spoiled(text: bytes, n: int, seed: int) -> bytes:
@@ -260,11 +285,11 @@ def spoiled(text: bytes, n: int, seed: int) -> bytes:
     return bytes(out)
 
 
-def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> Iterator[tuple[int, int, int, int, int]]:
+def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float, groups: list[Group] | None = None) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, end) for each item near to a stretch of a text; start and end are bytes of the text."""
     text, (begin, end), place = normalise(data, at, items.steps + 3)
     candidates: set[tuple[int, int]] = set()
-    for group in items.groups:
+    for group in items.groups if groups is None else groups:
         # an item of one or two bytes ends within what selects an anchor; the text's own start too: an item's is a window
         all_starts = np.union1d(anchors(text, items.selected) if group.steps > 2 else word_starts(text)[0], begin[end > begin])
         for lo in range(0, len(all_starts), 1 << 14):
@@ -297,10 +322,8 @@ def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float) -> I
             marks[here] = False
             if shared < len(item) - 3 - 4 * most:
                 continue
-        if got := _words_near(item, text[lo:hi].tobytes(), most, lo == begin[d] or text[lo - 1] == 32, hi == end[d] or text[hi] == 32) if len(item) < WHOLE_WORDS else nearest(item, text[lo:hi].tobytes(), most):
-            stop = lo + got[1]
-            start = lo + got[2] if len(item) < WHOLE_WORDS else stop - (nearest(item[::-1], text[lo:stop].tobytes()[::-1], most) or got)[1]
-            found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], start, stop))
+        if got := words_near(item, text[lo:hi].tobytes(), most, lo == begin[d] or text[lo - 1] == 32, hi == end[d] or text[hi] == 32):
+            found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], lo + got[2], lo + got[1]))
     for (d, k), (edits, a, b) in sorted(found.items()):
         start, stop = int(place[a]), int(place[b - 1]) + 1
         while start > at[d] and data[start] & 0xC0 == 0x80:  # whole characters
@@ -315,8 +338,8 @@ def hits(documents: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDIT
 
     Null or empty texts and items have no hits; items that are empty once normalised neither, and an empty table of either
     gives an empty one. Repeated rows give repeated rows; of equally near stretches the first is told. Texts of any length
-    are searched whole. Items of under 24 normalised bytes are found as whole words only, by the same distance. ``recall``
-    is the share of items with ``max_edits`` random edits that the walks are to find.
+    are searched whole. Items of any length are found as stretches of whole words, and by the same distance. ``recall``
+    is the share of items with ``max_edits`` random edits that the walks are to find, among items of each length.
     """
     spark = documents.sparkSession
     sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
