@@ -285,13 +285,48 @@ def spoiled(text: bytes, n: int, seed: int) -> bytes:
     return bytes(out)
 
 
+def _likely(items: Items, text: np.ndarray, begin: np.ndarray, end: np.ndarray, candidates: np.ndarray, max_edits: float) -> Iterator[tuple[int, int, int, int]]:
+    """(item, text, start, end) of the stretches around candidates (item, start) that have 4-grams enough of their item, in order."""
+    size = np.array([len(t) for _, t in items.items], dtype=np.int64)
+    k, s = candidates
+    most = (max_edits * size).astype(np.int64)[k]
+    d = np.maximum(np.searchsorted(begin, s + size[k] // 2, "right") - 1, 0)
+    rows = np.stack([k, d, np.maximum(begin[d], s - most), np.minimum(end[d], s + size[k] + most)]) if len(k) else np.zeros((4, 0), np.int64)
+    rows = np.unique(rows[:, rows[3] - rows[2] >= size[k] - most], axis=1)
+    here, marks = grams(text) if len(text) > 3 else np.zeros(0, np.uint32), np.zeros(1 << 16, dtype=bool)
+    seen = np.zeros(1 << 16, dtype=bool)
+    bounds = np.flatnonzero(np.diff(rows[0], prepend=-1, append=-1)) if rows.shape[1] else np.zeros(1, np.int64)
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        own = int(rows[0, a])
+        # an edit spoils four 4-grams of the item at most; the others are in the stretch, each at a place of its own
+        least, width = int(size[own]) - 3 - 4 * int(max_edits * size[own]), int((rows[3, a:b] - rows[2, a:b]).max()) - 3
+        marks[items.grams[own]] = True
+        for lo in range(a, b, 1 << 12):
+            some = rows[:, lo : min(b, lo + (1 << 12))]
+            if least > 0:
+                at = some[2][:, None] + np.arange(width)
+                shared = (marks[here[np.minimum(at, len(here) - 1)]] & (at < some[3][:, None] - 3)).sum(axis=1)
+                some = some[:, shared >= least]
+            for row in zip(*some.tolist(), strict=True):
+                window = here[row[2] : row[3] - 3]
+                seen[window] = True
+                enough = least <= 0 or int(seen[items.grams[own]].sum()) >= least  # repeated ones count once
+                seen[window] = False
+                if enough:
+                    yield row
+        marks[items.grams[own]] = False
+
+
 def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float, groups: list[Group] | None = None) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, end) for each item near to a stretch of a text; start and end are bytes of the text."""
     text, (begin, end), place = normalise(data, at, items.steps + 3)
-    candidates: set[tuple[int, int]] = set()
+    candidates = [np.zeros((2, 0), dtype=np.int64)]
     for group in items.groups if groups is None else groups:
         # an item of one or two bytes ends within what selects an anchor; the text's own start too: an item's is a window
-        all_starts = np.union1d(anchors(text, items.selected) if group.steps > 2 else word_starts(text)[0], begin[end > begin])
+        is_start = np.zeros(len(text), dtype=bool)
+        is_start[anchors(text, items.selected) if group.steps > 2 else word_starts(text)[0]] = True
+        is_start[begin[end > begin]] = True
+        all_starts = np.flatnonzero(is_start)
         for lo in range(0, len(all_starts), 1 << 14):
             starts = all_starts[lo : lo + (1 << 14)]
             for number, ((keys, order, seen), mine) in enumerate(zip(group.tables, group.walks.keys(text, starts), strict=True)):
@@ -301,27 +336,12 @@ def _find(items: Items, data: np.ndarray, at: np.ndarray, max_edits: float, grou
                 at_item = order[np.repeat(first, last - first) + np.arange(len(at_doc)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)] if len(at_doc) else at_doc
                 walk = number // SAMPLES
                 near = (group.walks.traces(walk, text, at_doc) == group.embedded[walk][at_item]).mean(axis=1) >= AGREE
-                candidates.update(zip(group.owner[at_item[near]].tolist(), (at_doc[near] - group.place[at_item[near]]).tolist(), strict=True))
+                candidates.append(np.stack([group.owner[at_item[near]], at_doc[near] - group.place[at_item[near]]]))
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    tried: set[tuple[int, int]] = set()
-    marks = np.zeros(1 << 16, dtype=bool)
-    for k, s in sorted(candidates):
-        item = items.items[k][1]
-        d = max(int(np.searchsorted(begin, s + len(item) // 2, "right")) - 1, 0)
-        most = int(max_edits * len(item))
-        lo, hi = max(int(begin[d]), s - most), min(int(end[d]), s + len(item) + most)
-        if hi - lo < len(item) - most or (k, lo) in tried:
-            continue
-        tried.add((k, lo))
+    for k, d, lo, hi in _likely(items, text, begin, end, np.concatenate(candidates, axis=1), max_edits):
+        item, most = items.items[k][1], int(max_edits * len(items.items[k][1]))
         if found.get((d, k), (1,))[0] == 0:  # nothing is nearer
             continue
-        if len(item) - 3 > 4 * most:  # an edit spoils four 4-grams of the item at most
-            here = grams(text[lo:hi])
-            marks[here] = True
-            shared = int(marks[items.grams[k]].sum())
-            marks[here] = False
-            if shared < len(item) - 3 - 4 * most:
-                continue
         if got := words_near(item, text[lo:hi].tobytes(), most, lo == begin[d] or text[lo - 1] == 32, hi == end[d] or text[hi] == 32):
             found[d, k] = min(found.get((d, k), (1 << 30, 0, 0)), (got[0], lo + got[2], lo + got[1]))
     for (d, k), (edits, a, b) in sorted(found.items()):
