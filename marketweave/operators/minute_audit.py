@@ -92,10 +92,10 @@ def _found(summed: DataFrame, scope: Column, listed: list[Column], *more: str) -
     return out.withColumn("detail", F.concat(F.col("count").cast("string"), F.lit(" of "), F.col("total").cast("string"))).select(*more, *COLUMNS)
 
 
-def production(built: DataFrame, manifest: DataFrame, evidence: DataFrame | None = None, whole_sessions: bool = True) -> DataFrame:
+def production(built: DataFrame, manifest: DataFrame, evidence: DataFrame | None = None, whole_sessions: bool = True, positive: bool = True) -> DataFrame:
     """All findings of a build: frequency, exchange, trade_date and the canonical columns of every bar.
 
-    By partition: canonical checks, bars of another date or exchange than their partition's, symbols without a whole
+    By partition: canonical checks (prices over 0 unless ``positive`` is false), bars of another date or exchange than their partition's, symbols without a whole
     session (``whole_sessions``), rows out of order (where ``place``, the row's place in its file, and ``file`` are given),
     and stored roll-ups against recomputed ones. By frequency: partitions that the 1-minute bars do not have or that they
     alone have, and partitions, rows and dates against ``manifest`` (frequency, partitions, rows, first_date, last_date).
@@ -106,7 +106,7 @@ def production(built: DataFrame, manifest: DataFrame, evidence: DataFrame | None
     and all else follows from these few rows.
     """
     suffix = F.upper(F.substring_index("symbol", ".", -1))
-    checks = [c for c in minute.canonical_checks(F.col("frequency")) if c.name != "duplicate_key"]
+    checks = [c for c in minute.canonical_checks(F.col("frequency"), positive) if c.name != "duplicate_key"]
     checks += [Check("date_mismatch", F.to_date("trade_time") != F.col("trade_date")), Check("exchange_mismatch", _exchange() != F.lower("exchange"))]
     dealt = built.select(*SCOPE, *minute.COLUMNS, F.to_date("trade_time").alias("day")).repartition("symbol", "day")
     own = F.struct(F.col("frequency").cast("int").alias("frequency"), "exchange", "trade_date", F.col("trade_time").alias("label"), F.lit(True).alias("stored"))
