@@ -18,7 +18,7 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,18 @@ MOST_WORDS = 200_000
 _ODD = re.compile(r"[^\t-\r -~¡-įı-ſ]|<\|")
 
 
+class _Known(dict[str, bytes]):
+    """Ids of words, made when a word is first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.make(word)
+        return ids
+
+
 class WordTokenizer:
     """Ids, as little-endian 32-bit bytes, of the texts by a tokenizers file that drops white space and whose pre-tokens never span it."""
 
@@ -55,7 +67,7 @@ class WordTokenizer:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.visible = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(seen)))}
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._word)
         self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -74,14 +86,13 @@ class WordTokenizer:
         return b"".join([parts.get(p) or self._part(p) for p in self.split(word.lower())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words: list[list[str] | None] = [None if _ODD.search(x) else x.split() for x in texts]
         if len(self.known) > MOST_WORDS:
             self.known.clear()
             self.parts.clear()
-        for w in set().union(*filter(None, words)).difference(self.known):
-            self.known[w] = self._word(w)
-        odd = iter(self._ids([x for x, ws in zip(texts, words, strict=True) if ws is None]))
-        return [next(odd) if ws is None else b"".join(map(self.known.__getitem__, ws)) for ws in words]
+        ids_of = self.known.__getitem__  # one look at each word: those not known yet are made on the way
+        whole = [_ODD.search(x) is not None for x in texts]
+        odd = iter(self._ids([x for x, w in zip(texts, whole, strict=True) if w]))
+        return [next(odd) if w else b"".join(map(ids_of, x.split())) for x, w in zip(texts, whole, strict=True)]
 
 
 @functools.cache
