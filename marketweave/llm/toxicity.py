@@ -17,6 +17,7 @@ Scoring is per row: the fitted model is one broadcast value of at most ``FEATURE
 from __future__ import annotations
 
 import math
+import operator
 import re
 import zlib
 from collections import Counter
@@ -59,11 +60,12 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
+_LISTED = _CLASS.tolist()
 
 
 def _class(char: str) -> int:
     o = ord(char)
-    return int(_CLASS[o]) if o < 0x250 else (63 if char.isalpha() else 0)
+    return _LISTED[o] if o < 0x250 else (63 if char.isalpha() else 0)
 
 
 class Speller:
@@ -96,13 +98,16 @@ class Speller:
 
     def joined(self, word: str, gap: float) -> bool:
         """Whether ``word``, a spelling of letters only, is cheaper with a break of this price at some place."""
-        price, n = self.prices, len(word)
-        c = [0, 0, *map(_class, word), 0]
-        for i in range(3, n + 2):  # a break before c[i]
-            x, y, z, after = c[i - 2], c[i - 1], c[i], c[i + 1]
-            whole = price[(x * _CLASSES + y) * _CLASSES + z] + price[(y * _CLASSES + z) * _CLASSES + after]
-            if whole > gap and whole > gap + price[(x * _CLASSES + y) * _CLASSES] + price[y * _CLASSES * _CLASSES + z] + price[z * _CLASSES + after]:
-                return True
+        price, c = self.prices, [0, 0, *map(_class, word), 0]
+        each = [price[(x * _CLASSES + y) * _CLASSES + z] for x, y, z in zip(c, c[1:], c[2:])]
+        over = list(map(operator.add, each[1:], each[2:]))
+        if max(over, default=0.0) <= gap:
+            return False
+        for i, whole in enumerate(over, 3):  # a break before c[i]
+            if whole > gap:
+                x, y, z, after = c[i - 2 : i + 2]
+                if whole > gap + price[(x * _CLASSES + y) * _CLASSES] + price[y * _CLASSES * _CLASSES + z] + price[z * _CLASSES + after]:
+                    return True
         return False
 
     def decode(self, word: str, gap: float | None = None) -> str:
