@@ -17,11 +17,10 @@ Scoring is per row: the fitted model is one broadcast value of at most ``FEATURE
 from __future__ import annotations
 
 import math
-import operator
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, passes
+from .common import PASS_BYTES, column, passes
 
 TRAIN_ROWS = 24_000
 FEATURES = 3000
 HASHED = 1 << 22
 THRESHOLD = 0.7
 MOST_WORDS = 150_000
+#: Plain words that are priced at a time.
+_TOGETHER = 50_000
 _CLASSES = 64
 # Letters that a symbol may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
@@ -78,7 +79,8 @@ class Speller:
         p1 = uni / uni.sum()
         p2 = (pair + 20 * p1) / (pair.sum(axis=1, keepdims=True) + 20)
         self.cost = -np.log((n + 5 * p2[None]) / (n.sum(axis=2, keepdims=True) + 5))
-        self.prices = self.cost.ravel().tolist()
+        self.flat = self.cost.ravel()
+        self.prices = self.flat.tolist()
 
     @staticmethod
     def lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -98,17 +100,22 @@ class Speller:
 
     def joined(self, word: str, gap: float) -> bool:
         """Whether ``word``, a spelling of letters only, is cheaper with a break of this price at some place."""
-        price, c = self.prices, [0, 0, *map(_class, word), 0]
-        each = [price[(x * _CLASSES + y) * _CLASSES + z] for x, y, z in zip(c, c[1:], c[2:])]
-        over = list(map(operator.add, each[1:], each[2:]))
-        if max(over, default=0.0) <= gap:
-            return False
-        for i, whole in enumerate(over, 3):  # a break before c[i]
-            if whole > gap:
-                x, y, z, after = c[i - 2 : i + 2]
-                if whole > gap + price[(x * _CLASSES + y) * _CLASSES] + price[y * _CLASSES * _CLASSES + z] + price[z * _CLASSES + after]:
-                    return True
-        return False
+        return bool(self.joined_of([word], gap)[0])
+
+    def joined_of(self, words: list[str], gap: float) -> np.ndarray:
+        """``joined`` of many words, all places at once."""
+        code = np.frombuffer(f"  {'  '.join(words)}  ".encode("utf-32-le"), dtype=np.uint32)
+        c = np.where(code < 0x250, _CLASS[np.minimum(code, 0x24F)], 63)
+        inside = code != 0x20
+        at = np.flatnonzero(inside[1:] & inside[:-1]) + 1  # a break before each
+        x, y, z, after = (c[at + k] for k in (-2, -1, 0, 1))
+        price = lambda x, y, z: self.flat[(x * _CLASSES + y) * _CLASSES + z]
+        cheaper = price(x, y, z) + price(y, z, after) > gap + price(x, y, 0) + price(y, 0, z) + price(0, z, after)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        first = np.cumsum(sizes + 2) - sizes
+        out = np.zeros(len(words), dtype=bool)
+        out[np.searchsorted(first, at[cheaper], "right") - 1] = True
+        return out
 
     def decode(self, word: str, gap: float | None = None) -> str:
         """The cheapest restored spelling: letters only and, if ``gap`` prices them, blanks between words."""
@@ -163,15 +170,28 @@ def count_characters(documents: DataFrame) -> np.ndarray:
     return out
 
 
-def _hash(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % HASHED
+#: A word's features are hashes of "w" and the word, and of 4, 5 or 6 and so many of its letters: what their first character leaves.
+_WHOLE, _BEGINNINGS = zlib.crc32(b"w"), [(n, zlib.crc32(str(n).encode())) for n in (4, 5, 6)]
+
+
+def _hashes(word: str) -> list[int]:
+    """Features of a word and of its beginnings."""
+    data, n, crc32 = word.encode("utf-8", "surrogatepass"), len(word), zlib.crc32
+    out = [crc32(data, _WHOLE) % HASHED]
+    for k, first in _BEGINNINGS:
+        if n <= k:
+            break
+        out.append(crc32(data[:k] if len(data) == n else word[:k].encode("utf-8", "surrogatepass"), first) % HASHED)
+    return out
 
 
 class Words:
-    """From a text to its features; kept per distinct word, bounded."""
+    """From texts to their features; kept per distinct word, bounded. Words that are new in some texts are looked at together."""
 
     def __init__(self, speller: Speller, chosen: dict[int, int] | None = None):
-        self.speller, self.chosen, self.known = speller, chosen, {}
+        self.speller, self.chosen = speller, chosen
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.single: dict[str, str] = {}  # known words of one character, without the signs around it
 
     def restore(self, word: str) -> list[str]:
         """Lower-case words that ``word`` stands for."""
@@ -196,13 +216,34 @@ class Words:
         return [self.speller.decode(low), *self.speller.decode(low, _RUN_BREAK).split()]
 
     def _features(self, key: str, restored: list[str]) -> tuple[int, ...]:
-        all_of = {_hash(x) for w in restored for x in ("w" + w, *(f"{n}{w[:n]}" for n in (4, 5, 6) if len(w) > n))}
-        got = tuple(sorted(all_of if self.chosen is None else {self.chosen[x] for x in all_of if x in self.chosen}))
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        self.known[key] = got
+        all_of = _hashes(restored[0]) if len(restored) == 1 else [x for w in restored for x in _hashes(w)]
+        chosen = self.chosen
+        if chosen is not None:
+            all_of = [chosen[x] for x in all_of if x in chosen]
+        got = self.known[key] = tuple(sorted(set(all_of))) if len(all_of) > 1 else tuple(all_of)
         return got
 
+    def _learn(self, new: list[str]) -> None:
+        """Features of words that are not known."""
+        plain, lows = [], []
+        for w in new:
+            low = w.lower()
+            if not w.isalpha():
+                core = w.lstrip(_LEADING).rstrip(_PUNCTUATION)
+                if len(core) == 1:
+                    self.single[w] = core
+                low = low.lstrip(_LEADING).rstrip(_PUNCTUATION)
+            if len(w) == 1:
+                self.single[w] = w
+            if low.isalpha() and not _STRETCHED.search(low):
+                plain.append(w)
+                lows.append(low)
+            else:
+                self._features(w, self.restore(w))
+        if plain:
+            for w, low, joined in zip(plain, lows, self.speller.joined_of(lows, _LETTER_BREAK).tolist(), strict=True):
+                self._features(w, [low, *self.speller.decode(low, _LETTER_BREAK).split()] if joined else [low])
+
     def of_word(self, word: str) -> tuple[int, ...]:
         got = self.known.get(word)
         return self._features(word, self.restore(word)) if got is None else got
@@ -213,23 +254,24 @@ class Words:
         return self._features(key, self.restore_run(run)) if got is None else got
 
     def of_text(self, text: str) -> set[int]:
-        words = text.split()
-        found: set[int] = set()
-        known = self.known
-        single: dict[str, str] = {}  # words of one character, without the signs around it
-        for w in set(words):
-            got = known.get(w)
-            if got is None:
-                got = self.of_word(w)
-            if got:
-                found.update(got)
-            if len(w) == 1:
-                single[w] = w
-            elif not (w[0].isalnum() and w[-1].isalnum()):
-                core = w.lstrip(_LEADING).rstrip(_PUNCTUATION)
-                if len(core) == 1:
-                    single[w] = core
-        if not single:
+        return self.of_texts([text])[0]
+
+    def of_texts(self, texts: list[str]) -> list[set[int]]:
+        """Features of each text."""
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
+            self.single.clear()
+        split = [x.split() for x in texts]
+        distinct = [set(x) for x in split]
+        new = list(set().union(*distinct).difference(self.known))
+        for i in range(0, len(new), _TOGETHER):
+            self._learn(new[i : i + _TOGETHER])
+        return [self._found(*x) for x in zip(split, distinct, strict=True)]
+
+    def _found(self, words: list[str], distinct: set[str]) -> set[int]:
+        found: set[int] = set().union(*map(self.known.__getitem__, distinct))
+        single = self.single
+        if single.keys().isdisjoint(distinct):
             return found
         run: list[str] = []
         for w in [*words, ""]:
@@ -243,6 +285,21 @@ class Words:
         return found
 
 
+def _portions(texts: Iterable[str | None], most: int = PASS_BYTES) -> Iterator[list[str]]:
+    """Whole texts, null as empty, in lists of at most ``most`` characters (one text at least)."""
+    part: list[str] = []
+    size = 0
+    for x in texts:
+        x = x or ""
+        if part and size + len(x) > most:
+            yield part
+            part, size = [], 0
+        part.append(x)
+        size += len(x)
+    if part:
+        yield part
+
+
 class Model:
     def __init__(self, counts: np.ndarray, chosen: list[int], weights: np.ndarray, bias: float):
         self.counts, self.chosen, self.weights, self.bias = counts, chosen, weights, bias
@@ -250,11 +307,14 @@ class Model:
     def scorer(self):
         words = Words(Speller(self.counts), {h: i for i, h in enumerate(self.chosen)})
 
-        def score(text: str | None) -> float:
-            at = sorted(words.of_text(text or ""))
-            return round(1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + float(self.weights[at].sum()))))), 6)
+        def scores(texts: Iterable[str | None]) -> list[float]:
+            out = []
+            for part in _portions(texts):
+                sums = (self.bias + float(self.weights[sorted(at)].sum()) for at in words.of_texts(part))
+                out += [round(1 / (1 + math.exp(-max(-30.0, min(30.0, x)))), 6) for x in sums]
+            return out
 
-        return score
+        return scores
 
 
 def held_out(doc_id: Column) -> Column:
@@ -294,9 +354,9 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label_of, counts = shared.value
         words, n = Words(Speller(counts)), np.zeros((2, HASHED), dtype=np.int32)
-        for batch in batches:
-            for doc, x in zip(column(batch, "doc_id").to_pylist(), column(batch, "text").to_pylist(), strict=True):
-                n[label_of[doc], list(words.of_text(x or ""))] += 1
+        for batch, texts in passes(batches, "text"):
+            for doc, found in zip(column(batch, "doc_id").to_pylist(), words.of_texts(texts.to_pylist()), strict=True):
+                n[label_of[doc], list(found)] += 1
         at = np.flatnonzero(n.sum(axis=0))
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[0, at]), pa.array(n[1, at])], ["feature", "clean", "toxic"])
@@ -318,9 +378,9 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label_of, counts = shared.value
         words = Words(Speller(counts), {h: i for i, h in enumerate(chosen)})
-        for batch in batches:
+        for batch, texts in passes(batches, "text"):
             docs = column(batch, "doc_id").to_pylist()
-            rows = [sorted(words.of_text(x or "")) for x in column(batch, "text").to_pylist()]
+            rows = [sorted(x) for x in words.of_texts(texts.to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array([label_of[d] for d in docs], pa.int32()), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "toxic", "features"])
 
     rows = train.mapInArrow(present, "doc_id long, toxic int, features array<int>").toArrow().sort_by("doc_id")
@@ -338,7 +398,7 @@ def score_column(documents: DataFrame, model: Model, text: str = "text") -> Colu
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = shared.value.scorer()
         for texts in batches:
-            yield pd.Series([of(x) for x in texts], dtype="float64")
+            yield pd.Series(of(texts), dtype="float64")
 
     return score(F.col(text).cast("string"))
 
