@@ -56,11 +56,15 @@ def _bytes_of(c: Column, kind: T.DataType) -> Column:
     return F.lit(8)
 
 
-def join_checked(left: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with a settled table of keys (numbers, texts, structs of them): broadcast it only if its measured bytes stay under ``BROADCAST_BYTES``, else shuffle both sides."""
+def fits_broadcast(keys: DataFrame) -> bool:
+    """Whether the measured bytes of a settled table (numbers, texts, structs of them) stay under ``BROADCAST_BYTES``."""
     row = sum((_bytes_of(F.col(f.name), f.dataType) for f in keys.schema.fields), F.lit(16))
-    size = keys.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
-    return left.join(F.broadcast(keys) if size <= BROADCAST_BYTES else keys, on, how)
+    return keys.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0] <= BROADCAST_BYTES
+
+
+def join_checked(left: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a settled table of keys: broadcast it only if it ``fits_broadcast``, else shuffle both sides."""
+    return left.join(F.broadcast(keys) if fits_broadcast(keys) else keys, on, how)
 
 
 def key_equals(left: Column, right: Column) -> Column:
